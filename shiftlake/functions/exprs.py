@@ -31,7 +31,7 @@ def strip_all(c: Column | str) -> Column:
     breaks, separators and the Unicode blanks.
     """
     ws = PY_WHITESPACE_CLASS
-    return F.regexp_replace(_c(c), f"^{ws}+|{ws}+$", "")
+    return F.regexp_replace(_c(c), f"\\A{ws}+|{ws}+\\z", "")
 
 
 def round_half_away(c: Column | str, digits: int) -> Column:

@@ -12,11 +12,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import datetime as dt
+
+from shiftlake.functions.exprs import null_tokens, strip_all
+from shiftlake.operators import changes as CG
 from shiftlake.operators import silver as S
-from shiftlake.params import DEFAULT
+from shiftlake.params import DEFAULT, INGEST_COL
+from shiftlake.plans import charts as CH
 from shiftlake.plans import gold as G
-from shiftlake.session import configure
+from shiftlake.plans import pipeline
+from shiftlake.plans import quality as Q
+from shiftlake.plans import serving as SV
+from shiftlake.plans import variants as V
+from shiftlake.session import configure, scratch_path
+from shiftlake.sources import fixture_files, raw_csv
 from shiftlake.sources import fixtures as FX
+from shiftlake.sources.lake import Lake, read_silver_timesheets
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -142,4 +153,294 @@ def _gold_query(name: str) -> Query:
 for _name in G.KPI_NAMES:
     register(_name)(_gold_query(_name))
 
-_ = F  # functions used by later sections
+
+# --- sources and bronze ------------------------------------------------------------
+
+
+def _raw(spark, sf_dir):
+    configure(spark)
+    return fixture_files.write_raw(spark, sf_dir)
+
+
+@register("src_employees_csv")
+def q_src_employees_csv(spark, sf_dir):
+    return raw_csv.extract_employees(spark, _raw(spark, sf_dir)).drop(INGEST_COL)
+
+
+@register("src_timesheets_csv")
+def q_src_timesheets_csv(spark, sf_dir):
+    return raw_csv.extract_timesheets(spark, _raw(spark, sf_dir)).drop(INGEST_COL)
+
+
+DOC_TEXT_COLS = ("text", "lang", "source")
+
+
+@register("bronze_trim_strings")
+def q_bronze_trim_strings(spark, sf_dir):
+    configure(spark)
+    docs = FX.table(spark, sf_dir, "documents")
+    return docs.select(*[strip_all(c).alias(c) if c in DOC_TEXT_COLS else F.col(c) for c in docs.columns])
+
+
+@register("bronze_null_tokens")
+def q_bronze_null_tokens(spark, sf_dir):
+    configure(spark)
+    docs = FX.table(spark, sf_dir, "documents")
+    return docs.select(*[null_tokens(c).alias(c) if c in DOC_TEXT_COLS else F.col(c) for c in docs.columns])
+
+
+def _bronze(spark, sf_dir) -> Lake:
+    raw = _raw(spark, sf_dir)
+    key = ("bronze", id(spark.sparkContext), sf_dir)
+    if key not in _LAKES:
+        lake = Lake(scratch_path(spark, "lake"))
+        raw_csv.load_bronze(
+            raw_csv.extract_employees(spark, raw), raw_csv.extract_timesheets(spark, raw), f"{lake.root}/bronze"
+        )
+        _LAKES[key] = lake
+    return _LAKES[key]
+
+
+def _silver_lake(spark, sf_dir) -> Lake:
+    lake = _bronze(spark, sf_dir)
+    key = ("silver", id(spark.sparkContext), sf_dir)
+    if key not in _LAKES:
+        pipeline.build_silver(spark, lake, DEFAULT)
+        _LAKES[key] = lake
+    return lake
+
+
+_LAKES: dict = {}
+
+
+@register("bronze_employees")
+def q_bronze_employees(spark, sf_dir):
+    return _bronze(spark, sf_dir).read(spark, "bronze", "bronze_employees").drop(INGEST_COL)
+
+
+@register("bronze_timesheets")
+def q_bronze_timesheets(spark, sf_dir):
+    return _bronze(spark, sf_dir).read(spark, "bronze", "bronze_timesheets").drop(INGEST_COL)
+
+
+@register("pipeline_silver_employees")
+def q_pipeline_silver_employees(spark, sf_dir):
+    return S.public_columns(_silver_lake(spark, sf_dir).read(spark, "silver", "silver_employees"))
+
+
+@register("pipeline_silver_timesheets")
+def q_pipeline_silver_timesheets(spark, sf_dir):
+    ts = read_silver_timesheets(spark, _silver_lake(spark, sf_dir))
+    return ts.select(*TS_RAW_COLS, *TS_FLAG_COLS, "shift_label")
+
+
+# --- serving reads -------------------------------------------------------------------
+
+
+@register("read_employees")
+def q_read_employees(spark, sf_dir):
+    return SV.employees(S.public_columns(silver_employees(spark, sf_dir)))
+
+
+@register("read_employee_by_id")
+def q_read_employee_by_id(spark, sf_dir):
+    return SV.employee(S.public_columns(silver_employees(spark, sf_dir)), "7")
+
+
+@register("read_timesheets_filtered")
+def q_read_timesheets_filtered(spark, sf_dir):
+    ts = silver_timesheets(spark, sf_dir)
+    out = SV.timesheets(ts, start_date="1996-01-01", end_date="1996-06-30")
+    return out.select(*TS_RAW_COLS, *TS_FLAG_COLS)
+
+
+@register("serve_active_headcount")
+def q_serve_active_headcount(spark, sf_dir):
+    return SV.active_headcount(gold(spark, sf_dir, "kpi_active_headcount"))
+
+
+@register("serve_turnover_rate")
+def q_serve_turnover_rate(spark, sf_dir):
+    return SV.turnover_rate(gold(spark, sf_dir, "kpi_turnover_trend"), gold(spark, sf_dir, "kpi_active_headcount"))
+
+
+@register("serve_tenure")
+def q_serve_tenure(spark, sf_dir):
+    return SV.tenure(gold(spark, sf_dir, "kpi_avg_tenure"))
+
+
+@register("serve_late_arrivals")
+def q_serve_late(spark, sf_dir):
+    return SV.late_arrivals(gold(spark, sf_dir, "kpi_late_arrivals"))
+
+
+@register("serve_overtime")
+def q_serve_overtime(spark, sf_dir):
+    return SV.overtime(gold(spark, sf_dir, "kpi_overtime"))
+
+
+@register("serve_attrition")
+def q_serve_attrition(spark, sf_dir):
+    return SV.attrition(gold(spark, sf_dir, "kpi_early_attrition"))
+
+
+@register("serve_avg_working_hours")
+def q_serve_hours(spark, sf_dir):
+    return SV.avg_working_hours(gold(spark, sf_dir, "kpi_avg_working_hours"))
+
+
+@register("serve_early_departures")
+def q_serve_early(spark, sf_dir):
+    return SV.early_departures(gold(spark, sf_dir, "kpi_early_departures"))
+
+
+@register("serve_rolling_avg_hours")
+def q_serve_rolling(spark, sf_dir):
+    return SV.rolling_avg_hours(gold(spark, sf_dir, "kpi_rolling_avg"))
+
+
+# --- chart datasets ------------------------------------------------------------------
+
+_CHARTS = {
+    "chart_active_headcount": ("kpi_active_headcount", CH.active_headcount),
+    "chart_turnover": ("kpi_turnover_trend", CH.turnover),
+    "chart_tenure": ("kpi_avg_tenure", CH.tenure),
+    "chart_late_arrivals": ("kpi_late_arrivals", CH.late_arrivals),
+    "chart_overtime": ("kpi_overtime", CH.overtime),
+    "chart_attrition": ("kpi_early_attrition", CH.attrition),
+    "chart_weekly_hours": ("kpi_avg_working_hours", CH.weekly_hours),
+    "chart_early_departures": ("kpi_early_departures", CH.early_departures),
+    "chart_rolling_sample": ("kpi_rolling_avg", CH.rolling_sample),
+}
+
+
+def _chart_query(key: str) -> Query:
+    kpi, fn = _CHARTS[key]
+
+    def q(spark, sf_dir):
+        return fn(gold(spark, sf_dir, kpi))
+
+    q.__name__ = f"q_{key}"
+    return q
+
+
+for _key in _CHARTS:
+    register(_key)(_chart_query(_key))
+
+
+# --- KPI variants ----------------------------------------------------------------------
+
+
+def _var_inputs(spark, sf_dir):
+    return (
+        V.rename_employees(silver_employees(spark, sf_dir)),
+        V.rename_timesheets(silver_timesheets(spark, sf_dir)),
+    )
+
+
+@register("var_active_headcount")
+def q_var_headcount(spark, sf_dir):
+    emp, ts = _var_inputs(spark, sf_dir)
+    return V.active_headcount(emp, ts)
+
+
+@register("var_turnover")
+def q_var_turnover(spark, sf_dir):
+    return V.turnover(_var_inputs(spark, sf_dir)[0])
+
+
+@register("var_avg_tenure")
+def q_var_tenure(spark, sf_dir):
+    return V.avg_tenure(_var_inputs(spark, sf_dir)[0], DEFAULT)
+
+
+@register("var_avg_working_hours")
+def q_var_hours(spark, sf_dir):
+    return V.avg_working_hours(_var_inputs(spark, sf_dir)[1])
+
+
+@register("var_late_arrivals")
+def q_var_late(spark, sf_dir):
+    return V.late_arrivals(_var_inputs(spark, sf_dir)[1], DEFAULT)
+
+
+@register("var_early_departures")
+def q_var_early(spark, sf_dir):
+    return V.early_departures(_var_inputs(spark, sf_dir)[1], DEFAULT)
+
+
+@register("var_overtime")
+def q_var_overtime(spark, sf_dir):
+    return V.overtime(_var_inputs(spark, sf_dir)[1], DEFAULT)
+
+
+@register("var_rolling_avg")
+def q_var_rolling(spark, sf_dir):
+    return V.rolling_avg(_var_inputs(spark, sf_dir)[1], DEFAULT)
+
+
+@register("var_attrition_months")
+def q_var_attrition(spark, sf_dir):
+    return V.attrition(_var_inputs(spark, sf_dir)[0], DEFAULT)
+
+
+# --- row changes -------------------------------------------------------------------------
+
+
+def change_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A change batch derived from the driver tables (fixed rule, see the oracle):
+    suppliers join as new employees; rich customers move to their nation's
+    department; very poor ones send an empty update; some customers are deleted
+    (the richest after their update, so the delete wins); suppliers with a
+    negative balance delete ids that do not exist."""
+    supplier = FX.table(spark, sf_dir, "supplier")
+    customer = FX.table(spark, sf_dir, "customer")
+    nation = FX.table(spark, sf_dir, "nation")
+    null_s, null_t = F.lit(None).cast("string"), F.lit(None).cast("timestamp_ntz")
+
+    def row(op, cid, first, last, dept, hire, seq):
+        return [F.lit(op).alias("op"), cid.cast("bigint").alias("client_employee_id"), first.alias("first_name"),
+                last.alias("last_name"), dept.alias("department_name"), hire.alias("hire_date"),
+                F.lit(seq).cast("bigint").alias("seq")]
+
+    base_day = F.lit(dt.datetime(1996, 1, 1)).cast("timestamp_ntz")
+    inserts = supplier.select(*row(
+        "insert", -F.col("s_suppkey"), F.lit("Supplier"), F.col("s_name"), F.lit("SUPPLY"),
+        base_day + F.make_dt_interval(F.col("s_suppkey").cast("int")), 1,
+    ))
+    updates = customer.where(F.col("c_acctbal") > 9000).join(
+        F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey")
+    ).select(*row("update", F.col("c_custkey"), null_s, null_s, F.col("n_name"), null_t, 2))
+    empty = customer.where(F.col("c_acctbal") < -990).select(
+        *row("update", F.col("c_custkey"), null_s, null_s, null_s, null_t, 2)
+    )
+    deletes = customer.where(
+        ((F.col("c_acctbal") < -900) & (F.col("c_acctbal") >= -990)) | (F.col("c_acctbal") > 9900)
+    ).select(*row("delete", F.col("c_custkey"), null_s, null_s, null_s, null_t, 3))
+    unknown = supplier.where(F.col("s_acctbal") < 0).select(
+        *row("delete", -F.col("s_suppkey") - F.lit(1_000_000_000), null_s, null_s, null_s, null_t, 4)
+    )
+    return inserts.unionByName(updates).unionByName(empty).unionByName(deletes).unionByName(unknown)
+
+
+def _changes(fn):
+    def q(spark, sf_dir):
+        emp = S.public_columns(silver_employees(spark, sf_dir))
+        return fn(emp, change_batch(spark, sf_dir))
+
+    return q
+
+
+register("changes_insert")(_changes(lambda emp, ch: CG.insert(emp, ch, DEFAULT)))
+register("changes_update")(_changes(CG.update))
+register("changes_delete")(_changes(CG.delete))
+register("changes_apply")(_changes(lambda emp, ch: CG.apply(emp, ch, DEFAULT)))
+register("changes_rejects")(_changes(CG.rejects))
+
+
+# --- data quality ---------------------------------------------------------------------------
+
+
+@register("dq_row_counts")
+def q_dq_row_counts(spark, sf_dir):
+    return Q.row_counts(silver_employees(spark, sf_dir), silver_timesheets(spark, sf_dir))

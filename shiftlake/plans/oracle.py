@@ -168,3 +168,269 @@ ORACLE["silver_timesheets"] = BASE + f"SELECT {TS_SILVER_COLS} FROM silver_ts"
 # gold
 for _name, _sql in GOLD.items():
     ORACLE[_name] = BASE + _sql
+
+# --- sources / bronze: the fixture as text, as the files hold it -------------------
+
+TS_FMT = "'%Y-%m-%d %H:%M:%S'"
+SRC_EMP = f"""
+SELECT CAST(client_employee_id AS VARCHAR) AS client_employee_id, first_name, last_name, department_name,
+       strftime(hire_date, {TS_FMT}) AS hire_date, strftime(term_date, {TS_FMT}) AS term_date
+FROM fx_emp"""
+SRC_TS = f"""
+SELECT CAST(client_employee_id AS VARCHAR) AS client_employee_id,
+       strftime(punch_apply_date, {TS_FMT}) AS punch_apply_date,
+       strftime(punch_in_datetime, {TS_FMT}) AS punch_in_datetime,
+       strftime(punch_out_datetime, {TS_FMT}) AS punch_out_datetime,
+       strftime(scheduled_start_datetime, {TS_FMT}) AS scheduled_start_datetime,
+       strftime(scheduled_end_datetime, {TS_FMT}) AS scheduled_end_datetime,
+       CAST(hours_worked AS VARCHAR) AS hours_worked,
+       CASE WHEN year(scheduled_start_datetime) >= 1999 THEN strftime(scheduled_start_datetime, '%a') END AS shift_label
+FROM fx_ts"""
+ORACLE["src_employees_csv"] = BASE + SRC_EMP
+ORACLE["src_timesheets_csv"] = BASE + SRC_TS
+ORACLE["bronze_employees"] = BASE + SRC_EMP
+ORACLE["bronze_timesheets"] = BASE + SRC_TS
+
+_WS = (
+    "[\\x{9}\\x{a}\\x{b}\\x{c}\\x{d}\\x{1c}\\x{1d}\\x{1e}\\x{1f}\\x{20}\\x{85}\\x{a0}"
+    "\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
+)
+
+
+def _strip(col: str) -> str:
+    return f"regexp_replace({col}, '\\A{_WS}+|{_WS}+\\z', '', 'g') AS {col}"
+
+
+_NA = ", ".join(
+    "'" + t.replace("'", "''") + "'"
+    for t in ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+              "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
+)
+
+
+def _na(col: str) -> str:
+    return f"CASE WHEN {col} IN ({_NA}) THEN NULL ELSE {col} END AS {col}"
+
+
+ORACLE["bronze_trim_strings"] = (
+    f"SELECT doc_id, {_strip('text')}, {_strip('lang')}, {_strip('source')}, n_chars FROM documents"
+)
+ORACLE["bronze_null_tokens"] = f"SELECT doc_id, {_na('text')}, {_na('lang')}, {_na('source')}, n_chars FROM documents"
+
+ORACLE["pipeline_silver_employees"] = BASE + "SELECT * FROM silver_emp"
+ORACLE["pipeline_silver_timesheets"] = BASE + (
+    f"SELECT {TS_SILVER_COLS}, CASE WHEN year(scheduled_start_datetime) >= 1999 "
+    "THEN strftime(scheduled_start_datetime, '%a') END AS shift_label FROM silver_ts"
+)
+
+# --- serving reads ------------------------------------------------------------------------
+
+ORACLE["read_employees"] = BASE + "SELECT * FROM silver_emp ORDER BY client_employee_id NULLS LAST LIMIT 100"
+ORACLE["read_employee_by_id"] = BASE + "SELECT * FROM silver_emp WHERE client_employee_id = 7 LIMIT 1"
+ORACLE["read_timesheets_filtered"] = BASE + f"""
+SELECT {TS_SILVER_COLS} FROM silver_ts
+WHERE punch_apply_date >= TIMESTAMP '1996-01-01' AND punch_apply_date <= TIMESTAMP '1996-06-30'
+ORDER BY punch_apply_date DESC NULLS LAST, client_employee_id ASC NULLS LAST,
+         punch_in_datetime ASC NULLS LAST, k1, k2, k3, k4, k5
+LIMIT 100"""
+ORACLE["serve_active_headcount"] = with_gold(
+    "SELECT month, active_headcount FROM kpi_active_headcount ORDER BY month DESC NULLS LAST LIMIT 12"
+)
+ORACLE["serve_turnover_rate"] = with_gold("""
+SELECT t.month, t.terminations,
+       CASE WHEN h.active_headcount > 0 THEN CAST(t.terminations AS DOUBLE) / h.active_headcount END AS turnover_rate
+FROM kpi_turnover_trend t LEFT JOIN kpi_active_headcount h ON h.month = t.month
+ORDER BY t.month DESC NULLS LAST LIMIT 12""")
+ORACLE["serve_tenure"] = with_gold(
+    "SELECT department_name AS department, round(avg_tenure_years, 2) AS avg_years, employee_count AS count "
+    "FROM kpi_avg_tenure"
+)
+ORACLE["serve_late_arrivals"] = with_gold("""
+SELECT client_employee_id AS employee_id, late_count, round(avg_minutes_late, 1) AS avg_min_late
+FROM kpi_late_arrivals ORDER BY late_count DESC, client_employee_id NULLS LAST LIMIT 20""")
+ORACLE["serve_overtime"] = with_gold("""
+SELECT client_employee_id AS employee_id, overtime_days, round(total_extra_hours, 1) AS extra_hours
+FROM kpi_overtime ORDER BY overtime_days DESC, client_employee_id NULLS LAST LIMIT 20""")
+ORACLE["serve_attrition"] = with_gold("SELECT attrition_type AS type, count FROM kpi_early_attrition")
+ORACLE["serve_avg_working_hours"] = with_gold("""
+SELECT client_employee_id AS employee, week, round(avg_hours, 1) AS avg_hours, days_worked AS days
+FROM kpi_avg_working_hours ORDER BY week DESC NULLS LAST, client_employee_id NULLS LAST LIMIT 20""")
+ORACLE["serve_early_departures"] = with_gold("""
+SELECT client_employee_id AS employee_id, early_count, round(avg_minutes_early, 1) AS avg_min_early
+FROM kpi_early_departures ORDER BY early_count DESC, client_employee_id NULLS LAST LIMIT 20""")
+ORACLE["serve_rolling_avg_hours"] = with_gold("""
+SELECT client_employee_id AS employee, punch_apply_date AS date, round(rolling_30day_avg, 1) AS rolling_30d_avg
+FROM kpi_rolling_avg
+ORDER BY punch_apply_date DESC NULLS LAST, client_employee_id NULLS LAST, rolling_30day_avg NULLS LAST
+LIMIT 50""")
+
+# --- chart datasets ------------------------------------------------------------------------
+
+ORACLE["chart_active_headcount"] = with_gold(
+    "SELECT strftime(month, '%Y-%m') AS month, active_headcount FROM kpi_active_headcount"
+)
+ORACLE["chart_turnover"] = with_gold("SELECT strftime(month, '%Y-%m') AS month, terminations FROM kpi_turnover_trend")
+ORACLE["chart_tenure"] = with_gold("SELECT * FROM kpi_avg_tenure")
+ORACLE["chart_late_arrivals"] = with_gold(
+    "SELECT * FROM kpi_late_arrivals ORDER BY late_count DESC, client_employee_id NULLS LAST LIMIT 20"
+)
+ORACLE["chart_overtime"] = with_gold(
+    "SELECT * FROM kpi_overtime ORDER BY overtime_days DESC, client_employee_id NULLS LAST LIMIT 20"
+)
+ORACLE["chart_attrition"] = with_gold("SELECT attrition_type, count FROM kpi_early_attrition")
+ORACLE["chart_weekly_hours"] = with_gold("""
+SELECT strftime(wk, '%Y-%m-%d') AS week, avg_hours_all, num_employees FROM (
+  SELECT week AS wk, round(avg(avg_hours), 2) AS avg_hours_all,
+         count(DISTINCT client_employee_id) AS num_employees
+  FROM kpi_avg_working_hours GROUP BY week
+  ORDER BY wk DESC NULLS LAST LIMIT 50)""")
+ORACLE["chart_early_departures"] = with_gold(
+    "SELECT * FROM kpi_early_departures ORDER BY early_count DESC, client_employee_id NULLS LAST LIMIT 20"
+)
+ORACLE["chart_rolling_sample"] = with_gold("""
+SELECT client_employee_id, strftime(punch_apply_date, '%Y-%m-%d') AS punch_apply_date, rolling_30day_avg
+FROM kpi_rolling_avg
+WHERE client_employee_id IN (
+  SELECT client_employee_id FROM (
+    SELECT DISTINCT client_employee_id FROM kpi_rolling_avg WHERE client_employee_id IS NOT NULL)
+  ORDER BY md5('42' || CAST(client_employee_id AS VARCHAR)), client_employee_id
+  LIMIT 10)""")
+
+# --- KPI variants ---------------------------------------------------------------------------
+
+ORACLE["var_active_headcount"] = BASE + """
+SELECT date_trunc('month', t.date) AS month,
+       count(DISTINCT CASE WHEN e.date_joined <= t.date
+                            AND (e.termination_date IS NULL OR e.termination_date > t.date)
+                           THEN e.employee_id END) AS active_headcount
+FROM (SELECT DISTINCT punch_apply_date AS date FROM silver_ts) t
+CROSS JOIN (SELECT client_employee_id AS employee_id, hire_date AS date_joined,
+                   term_date AS termination_date FROM silver_emp) e
+GROUP BY 1"""
+ORACLE["var_turnover"] = BASE + (
+    "SELECT date_trunc('month', term_date) AS month, count(*) AS terminations "
+    "FROM silver_emp WHERE term_date IS NOT NULL GROUP BY 1"
+)
+ORACLE["var_avg_tenure"] = BASE + f"""
+SELECT department_name AS department,
+       avg(CAST(trunc(date_diff('microsecond', hire_date, coalesce(term_date, {AS_OF})) / 86400000000.0) AS BIGINT))
+         / 365.25 AS avg_tenure_years
+FROM silver_emp GROUP BY 1"""
+ORACLE["var_avg_working_hours"] = BASE + (
+    "SELECT client_employee_id AS employee_id, date_trunc('week', punch_apply_date) AS week, "
+    "avg(hours_worked) AS avg_hours FROM silver_ts GROUP BY 1, 2"
+)
+ORACLE["var_late_arrivals"] = BASE + (
+    "SELECT client_employee_id AS employee_id, count(*) AS late_arrivals FROM silver_ts "
+    "WHERE epoch(punch_in_datetime - scheduled_start_datetime) / 60 > 5 GROUP BY 1"
+)
+ORACLE["var_early_departures"] = BASE + (
+    "SELECT client_employee_id AS employee_id, count(*) AS early_departures FROM silver_ts "
+    "WHERE epoch(scheduled_end_datetime - punch_out_datetime) / 60 > 5 GROUP BY 1"
+)
+ORACLE["var_overtime"] = BASE + (
+    "SELECT client_employee_id AS employee_id, count(*) AS overtime_days FROM silver_ts "
+    "WHERE hours_worked > 8.5 GROUP BY 1"
+)
+ORACLE["var_rolling_avg"] = BASE + """
+SELECT client_employee_id AS employee_id, punch_apply_date AS date,
+       avg(hours_worked) OVER (
+         PARTITION BY client_employee_id
+         ORDER BY punch_apply_date ASC NULLS LAST, punch_in_datetime ASC NULLS LAST, k1, k2, k3, k4, k5
+         ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS rolling_30day_avg
+FROM silver_ts"""
+ORACLE["var_attrition_months"] = BASE + """
+SELECT CASE WHEN 12 * (year(term_date) - year(hire_date)) + (month(term_date) - month(hire_date))
+                 - CASE WHEN day(term_date) < day(hire_date) THEN 1 ELSE 0 END <= 3
+            THEN 'Early Attrition' ELSE 'Other' END AS attrition_type,
+       count(*) AS count
+FROM silver_emp WHERE term_date IS NOT NULL GROUP BY 1"""
+
+# --- row changes ----------------------------------------------------------------------------
+
+CHANGES = """,
+changes AS (
+  SELECT 'insert' AS op, -s_suppkey AS client_employee_id, 'Supplier' AS first_name, s_name AS last_name,
+         'SUPPLY' AS department_name, TIMESTAMP '1996-01-01' + to_days(CAST(s_suppkey AS INTEGER)) AS hire_date,
+         1 AS seq
+  FROM supplier
+  UNION ALL
+  SELECT 'update', c_custkey, NULL, NULL, n_name, NULL, 2
+  FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal > 9000
+  UNION ALL
+  SELECT 'update', c_custkey, NULL, NULL, NULL, NULL, 2 FROM customer WHERE c_acctbal < -990
+  UNION ALL
+  SELECT 'delete', c_custkey, NULL, NULL, NULL, NULL, 3 FROM customer
+  WHERE (c_acctbal < -900 AND c_acctbal >= -990) OR c_acctbal > 9900
+  UNION ALL
+  SELECT 'delete', -s_suppkey - 1000000000, NULL, NULL, NULL, NULL, 4 FROM supplier WHERE s_acctbal < 0
+),
+last_change AS (
+  SELECT * FROM changes QUALIFY row_number() OVER (PARTITION BY client_employee_id ORDER BY seq DESC) = 1
+)
+"""
+CH_BASE = BASE.rstrip() + CHANGES
+
+
+def _inserted(src: str) -> str:
+    return f"""
+SELECT client_employee_id, first_name, last_name, department_name, hire_date, CAST(NULL AS TIMESTAMP) AS term_date,
+       CAST(1 AS BIGINT) AS is_active,
+       CAST(floor(date_diff('microsecond', hire_date, {AS_OF}) / 86400000000.0) AS BIGINT) AS tenure_days
+FROM {src} WHERE op = 'insert'"""
+
+
+def _updated(base: str, src: str) -> str:
+    return f"""
+SELECT s.client_employee_id, coalesce(u.first_name, s.first_name) AS first_name,
+       coalesce(u.last_name, s.last_name) AS last_name,
+       coalesce(u.department_name, s.department_name) AS department_name,
+       s.hire_date, s.term_date, s.is_active, s.tenure_days
+FROM {base} s LEFT JOIN (
+  SELECT * FROM {src}
+  WHERE op = 'update' AND (first_name IS NOT NULL OR last_name IS NOT NULL OR department_name IS NOT NULL)
+  QUALIFY row_number() OVER (PARTITION BY client_employee_id ORDER BY seq DESC) = 1
+) u ON u.client_employee_id = s.client_employee_id"""
+
+
+def _kept(src: str) -> str:
+    return f"""
+SELECT * FROM silver_emp WHERE client_employee_id NOT IN (
+  SELECT client_employee_id FROM {src} WHERE op = 'delete' AND client_employee_id IS NOT NULL)"""
+
+
+ORACLE["changes_insert"] = CH_BASE + "SELECT * FROM silver_emp UNION ALL" + _inserted("changes")
+ORACLE["changes_update"] = CH_BASE + _updated("silver_emp", "changes")
+ORACLE["changes_delete"] = CH_BASE + _kept("changes")
+ORACLE["changes_apply"] = (
+    CH_BASE.rstrip() + ",\nkept AS (" + _kept("last_change") + "\n)\n"
+    + _updated("kept", "last_change") + "\nUNION ALL" + _inserted("last_change")
+)
+ORACLE["changes_rejects"] = CH_BASE + """
+SELECT c.*, 'not found' AS reason FROM changes c
+WHERE c.op IN ('update', 'delete')
+  AND NOT EXISTS (SELECT 1 FROM silver_emp s WHERE s.client_employee_id = c.client_employee_id)
+UNION ALL
+SELECT c.*, 'no fields to update' AS reason FROM changes c
+WHERE c.op = 'update' AND c.first_name IS NULL AND c.last_name IS NULL AND c.department_name IS NULL
+  AND EXISTS (SELECT 1 FROM silver_emp s WHERE s.client_employee_id = c.client_employee_id)"""
+
+# --- data quality -------------------------------------------------------------------------------
+
+ORACLE["dq_row_counts"] = BASE + """
+SELECT 'silver_employees' AS table_name, metric, value FROM (
+  SELECT 'rows' AS metric, count(*) AS value FROM silver_emp
+  UNION ALL SELECT 'null_id', count(*) FILTER (WHERE client_employee_id IS NULL) FROM silver_emp
+  UNION ALL SELECT 'duplicate_id', count(client_employee_id) - count(DISTINCT client_employee_id) FROM silver_emp
+  UNION ALL SELECT 'null_hire_date', count(*) FILTER (WHERE hire_date IS NULL) FROM silver_emp
+  UNION ALL SELECT 'active', count(*) FILTER (WHERE is_active = 1) FROM silver_emp)
+UNION ALL
+SELECT 'silver_timesheets', metric, value FROM (
+  SELECT 'rows' AS metric, count(*) AS value FROM silver_ts
+  UNION ALL SELECT 'null_id', count(*) FILTER (WHERE client_employee_id IS NULL) FROM silver_ts
+  UNION ALL SELECT 'orphan_id', count(*) FILTER (
+      WHERE client_employee_id IS NOT NULL
+        AND client_employee_id NOT IN (SELECT client_employee_id FROM silver_emp WHERE client_employee_id IS NOT NULL))
+    FROM silver_ts
+  UNION ALL SELECT 'null_apply_date', count(*) FILTER (WHERE punch_apply_date IS NULL) FROM silver_ts
+  UNION ALL SELECT 'null_hours', count(*) FILTER (WHERE hours_worked IS NULL) FROM silver_ts)"""

@@ -1,0 +1,102 @@
+"""The batch job: raw files -> bronze -> silver -> quality -> gold.
+
+Each layer is written, and the next one reads the written tables, so every
+layer can be rerun alone and a lost executor only repeats tasks of the
+current stage. Gold KPIs fail one at a time: an error is recorded in the
+report and the next KPI runs.
+"""
+
+from __future__ import annotations
+
+import logging
+import traceback
+
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from shiftlake.operators.silver import transform_employees, transform_timesheets
+from shiftlake.params import DEFAULT, EMPLOYEE_KEY, Params
+from shiftlake.plans import gold as G
+from shiftlake.plans.quality import row_counts
+from shiftlake.session import configure
+from shiftlake.sources.lake import (
+    Lake,
+    read_silver_timesheets,
+    write_gold,
+    write_silver_employees,
+    write_silver_timesheets,
+)
+from shiftlake.sources.raw_csv import extract_employees, extract_timesheets, load_bronze
+
+log = logging.getLogger(__name__)
+
+
+def ids_are_integers(*frames: DataFrame) -> bool:
+    """True when every non-null employee id in all frames reads as an integer
+    (one aggregate per frame, like a type inference pass)."""
+    for df in frames:
+        bad = df.select(
+            F.count_if(F.col(EMPLOYEE_KEY).isNotNull() & F.col(EMPLOYEE_KEY).try_cast("bigint").isNull())
+        ).first()[0]
+        if bad:
+            return False
+    return True
+
+
+def type_ids(df: DataFrame, integer: bool) -> DataFrame:
+    if integer and dict(df.dtypes).get(EMPLOYEE_KEY) == "string":
+        return df.withColumn(EMPLOYEE_KEY, F.col(EMPLOYEE_KEY).try_cast("bigint"))
+    return df
+
+
+def build_silver(spark: SparkSession, lake: Lake, params: Params = DEFAULT) -> dict[str, str]:
+    """Silver from the written bronze tables."""
+    b_emp = lake.read(spark, "bronze", "bronze_employees")
+    b_ts = lake.read(spark, "bronze", "bronze_timesheets")
+    integer = ids_are_integers(b_emp, b_ts)
+    s_emp = transform_employees(type_ids(b_emp, integer), params)
+    s_ts = transform_timesheets(type_ids(b_ts, integer), params)
+    return {
+        "silver_employees": write_silver_employees(s_emp, lake),
+        "silver_timesheets": write_silver_timesheets(s_ts, lake),
+    }
+
+
+def build_gold(spark: SparkSession, lake: Lake, params: Params = DEFAULT) -> tuple[dict[str, int], dict[str, str]]:
+    """All KPI tables from the written silver tables; failures are isolated."""
+    emp = lake.read(spark, "silver", "silver_employees")
+    ts = read_silver_timesheets(spark, lake)
+    kpis = G.build_all(emp, ts, params)
+    shared, per_employee = G.flag_summaries(ts, params)
+    per_employee.persist(StorageLevel.MEMORY_AND_DISK)  # recomputed from silver if lost
+    kpis.update(shared)
+    rows, failures = {}, {}
+    try:
+        for name in G.KPI_NAMES:
+            try:
+                rows[name] = write_gold(kpis[name], lake, name)
+                log.info("%s: %d rows", name, rows[name])
+            except Exception as exc:  # one KPI failing does not stop the others
+                failures[name] = "".join(traceback.format_exception_only(type(exc), exc)).strip()
+                log.warning("%s: %s", name, failures[name])
+    finally:
+        per_employee.unpersist()
+    return rows, failures
+
+
+def run(spark: SparkSession, raw_dir: str, lake_root: str, params: Params = DEFAULT) -> dict:
+    """Run every layer; returns a report (paths, quality counts, gold rows, failures)."""
+    configure(spark)
+    lake = Lake(lake_root)
+    emp = extract_employees(spark, raw_dir)
+    ts = extract_timesheets(spark, raw_dir)
+    bronze = load_bronze(emp, ts, f"{lake.root.rstrip('/')}/bronze")
+    silver = build_silver(spark, lake, params)
+    quality = row_counts(
+        lake.read(spark, "silver", "silver_employees"), read_silver_timesheets(spark, lake)
+    )
+    write_gold(quality, lake, "dq_row_counts")
+    dq = {(r.table_name, r.metric): r.value for r in lake.read(spark, "gold", "dq_row_counts").collect()}
+    rows, failures = build_gold(spark, lake, params)
+    return {"bronze": bronze, "silver": silver, "quality": dq, "gold_rows": rows, "failures": failures}

@@ -4,20 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order_col: str) -> DataFrame:
     """One row per key: the row with the smallest ``order_col`` (first in file order).
 
-    Null keys form one group, as in a pandas ``drop_duplicates``. Written as an
-    aggregate, not a window: ``min_by`` combines map-side before the shuffle, so a
-    key holding a large share of the rows costs one partial row per input split
-    instead of one sorted task holding them all.
+    Null keys form one group, as in a pandas ``drop_duplicates``. Written as
+    ``row_number() == 1`` so Spark plans a *partial* group limit before the
+    shuffle (each input split keeps one row per key) and a final one after
+    it: a key holding a large share of the rows reaches the shuffle as one row
+    per split, not as all its rows in one task.
     """
-    others = [c for c in df.columns if c not in keys]
-    picked = F.min_by(F.struct(*[F.col(c) for c in others]), F.col(order_col)).alias("_row")
-    return df.groupBy(*keys).agg(picked).select(*keys, *[F.col(f"_row.{c}").alias(c) for c in others]).select(
-        *df.columns
-    )
+    w = Window.partitionBy(*keys).orderBy(F.col(order_col).asc_nulls_last())
+    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")

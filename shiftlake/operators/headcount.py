@@ -8,11 +8,12 @@ months; a null month always counts 0.
 
 Plan (a sweep, linear in the inputs):
 
-1. Day summary: group the apply dates by calendar day -> (min, max, distinct
-   count). Only days inside the timestamp range exist, so this table has at
-   most ~213k rows whatever the data size; a calendar built from it (one row
-   per day between the first and last observed day, plus one on each side)
-   is broadcast with that bound.
+1. Day summary: group the apply dates by calendar day -> (min, max). Only
+   days inside the timestamp range exist, so this table has at most ~213k
+   rows whatever the data size; a calendar built from it (one row per day
+   between the first and last observed day, plus one on each side) is
+   broadcast with that bound. Both are checkpointed to the shared folder, so
+   the timesheets are scanned once and the plan below reads small files.
 2. For an employee let ``lo`` be the first observed date at or after hire and
    ``hi`` the last one before termination. The months in which they count are
    exactly the observed months from month(lo) to month(hi). Both months come
@@ -33,6 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiftlake.functions.exprs import month_start
+from shiftlake.session import checkpoint_root
 
 
 def _scalar(df: DataFrame) -> Column:
@@ -49,12 +51,15 @@ def headcount_by_month(
 ) -> DataFrame:
     """Returns ``(month DATE, active_headcount BIGINT)`` sorted by month desc."""
     d = F.col(date_col)
+    checkpoint_root(timesheets.sparkSession)  # reliable checkpoints go to the shared folder
 
-    # 1. day summary (one shuffle of partial aggregates over the apply-date column)
+    # 1. day summary: one scan of the apply-date column, partial aggregates, one
+    #    small shuffle; written once (bounded by the calendar) and reused below
     days = (
         timesheets.select(d.alias("d"))
         .groupBy(F.col("d").cast("date").alias("day"))
-        .agg(F.min("d").alias("dmin"), F.max("d").alias("dmax"), F.count_distinct("d").alias("dn"))
+        .agg(F.min("d").alias("dmin"), F.max("d").alias("dmax"))
+        .checkpoint()
     )
     months = days.select(month_start(F.col("day")).alias("month")).distinct()
     observed = days.where(F.col("day").isNotNull())
@@ -73,6 +78,7 @@ def headcount_by_month(
             "prev_max",
             F.max("dmax").over(Window.orderBy("day").rowsBetween(Window.unboundedPreceding, -1)),
         )
+        .checkpoint()
     )
 
     # 2. one look-up per employee on the hire day and on the termination day
@@ -89,7 +95,7 @@ def headcount_by_month(
         "tday", clamp(F.coalesce(F.col("term").cast("date"), hi_edge))
     )
     cal_h = F.broadcast(calendar.select(
-        F.col("day").alias("hday"), F.col("dmax").alias("h_dmax"), F.col("dn").alias("h_dn"),
+        F.col("day").alias("hday"), F.col("dmax").alias("h_dmax"), (F.col("dmin") < F.col("dmax")).alias("h_multi"),
         F.col("next_min").alias("h_next"),
     ))
     cal_t = F.broadcast(calendar.select(
@@ -102,11 +108,12 @@ def headcount_by_month(
     emp = emp.withColumn("lo_day", F.when(h_same, F.col("hday")).otherwise(F.col("h_next").cast("date")))
     emp = emp.withColumn("hi_day", F.when(t_same, F.col("tday")).otherwise(F.col("t_prev").cast("date")))
     # 3. hire and termination inside one day with several distinct apply times
-    needs_points = h_same & t_same & (F.col("hday") == F.col("tday")) & (F.col("h_dn") > 1)
+    needs_points = h_same & t_same & (F.col("hday") == F.col("tday")) & F.col("h_multi")
     emp = emp.withColumn("needs_points", needs_points)
-    by_days = emp.where(~F.col("needs_points") & (F.col("lo_day") <= F.col("hi_day")))
-    by_points = _same_day_check(timesheets.select(d.alias("d")), emp.where(F.col("needs_points")))
-    spans = by_days.select("id", "lo_day", "hi_day").unionByName(by_points)
+    spans = emp.where(~F.col("needs_points") & (F.col("lo_day") <= F.col("hi_day"))).select("id", "lo_day", "hi_day")
+    point_emps = emp.where(F.col("needs_points"))
+    if not point_emps.isEmpty():  # rare: skip the second timesheet scan when nobody needs it
+        spans = spans.unionByName(_same_day_check(timesheets.select(d.alias("d")), point_emps))
 
     # 4. merge the spans of one id, count starts and ends per month
     spans = spans.select(

@@ -27,7 +27,7 @@ from shiftlake.plans import variants as V
 from shiftlake.session import configure, scratch_path
 from shiftlake.sources import fixture_files, raw_csv
 from shiftlake.sources import fixtures as FX
-from shiftlake.sources.lake import Lake, read_silver_timesheets
+from shiftlake.sources.lake import Lake, read_silver_timesheets, write_silver_employees, write_silver_timesheets
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -48,16 +48,44 @@ def register(name: str):
     return deco
 
 
-def silver_employees(spark: SparkSession, sf_dir: str) -> DataFrame:
+def silver_employees_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver employees computed from the driver tables in the query plan."""
     configure(spark)
     return S.transform_employees(FX.employees_raw(spark, sf_dir), DEFAULT)
 
 
-def silver_timesheets(spark: SparkSession, sf_dir: str) -> DataFrame:
+def silver_timesheets_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver timesheets computed from the driver tables in the query plan."""
     configure(spark)
     return S.transform_timesheets(FX.timesheets_raw(spark, sf_dir), DEFAULT)
 
 
+_SILVER: dict = {}
+
+
+def _silver_written(spark: SparkSession, sf_dir: str) -> Lake:
+    """The fixture silver written once per session and input folder, as the job
+    writes it; the KPI, read, chart, variant and change queries read it, as the
+    gold layer reads the written silver layer."""
+    key = (id(spark.sparkContext), sf_dir)
+    if key not in _SILVER:
+        lake = Lake(scratch_path(spark, "fixture-lake"))
+        write_silver_employees(silver_employees_plan(spark, sf_dir), lake)
+        write_silver_timesheets(silver_timesheets_plan(spark, sf_dir), lake)
+        _SILVER[key] = lake
+    return _SILVER[key]
+
+
+def silver_employees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    return _silver_written(spark, sf_dir).read(spark, "silver", "silver_employees")
+
+
+def silver_timesheets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    return read_silver_timesheets(spark, _silver_written(spark, sf_dir))
+
+
 # --- silver: employees ----------------------------------------------------------
 
 
@@ -76,17 +104,17 @@ def q_emp_coerce_dates(spark, sf_dir):
 
 @register("emp_is_active")
 def q_emp_is_active(spark, sf_dir):
-    return silver_employees(spark, sf_dir).select("client_employee_id", "is_active")
+    return silver_employees_plan(spark, sf_dir).select("client_employee_id", "is_active")
 
 
 @register("emp_tenure_days")
 def q_emp_tenure_days(spark, sf_dir):
-    return silver_employees(spark, sf_dir).select("client_employee_id", "tenure_days")
+    return silver_employees_plan(spark, sf_dir).select("client_employee_id", "tenure_days")
 
 
 @register("silver_employees")
 def q_silver_employees(spark, sf_dir):
-    return S.public_columns(silver_employees(spark, sf_dir))
+    return S.public_columns(silver_employees_plan(spark, sf_dir))
 
 
 # --- silver: timesheets ---------------------------------------------------------
@@ -107,7 +135,7 @@ def q_ts_coerce(spark, sf_dir):
 
 def _flag_query(col: str) -> Query:
     def q(spark, sf_dir):
-        return silver_timesheets(spark, sf_dir).select("client_employee_id", "punch_in_datetime", col)
+        return silver_timesheets_plan(spark, sf_dir).select("client_employee_id", "punch_in_datetime", col)
 
     q.__name__ = f"q_ts_{col}"
     return q
@@ -119,7 +147,7 @@ for _c in TS_FLAG_COLS:
 
 @register("silver_timesheets")
 def q_silver_timesheets(spark, sf_dir):
-    return silver_timesheets(spark, sf_dir).select(*TS_RAW_COLS, *TS_FLAG_COLS)
+    return silver_timesheets_plan(spark, sf_dir).select(*TS_RAW_COLS, *TS_FLAG_COLS)
 
 
 # --- gold -----------------------------------------------------------------------

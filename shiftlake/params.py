@@ -21,7 +21,14 @@ NA_TOKENS = (
     "n/a", "nan", "null",
 )
 
-# Characters Python's ``str.strip()`` removes (``str.isspace``), as a regex class.
+# Characters Python's ``str.strip()`` removes (``str.isspace``), by code point,
+# and the same set as a regex class.
+PY_WHITESPACE_CODES = (
+    0x9, 0xA, 0xB, 0xC, 0xD, 0x1C, 0x1D, 0x1E, 0x1F, 0x20, 0x85, 0xA0, 0x1680,
+    0x2000, 0x2001, 0x2002, 0x2003, 0x2004, 0x2005, 0x2006, 0x2007, 0x2008, 0x2009, 0x200A,
+    0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
+)
+PY_WHITESPACE_CHARS = tuple(chr(c) for c in PY_WHITESPACE_CODES)
 PY_WHITESPACE_CLASS = (
     "[\\x{9}\\x{a}\\x{b}\\x{c}\\x{d}\\x{1c}\\x{1d}\\x{1e}\\x{1f}\\x{20}\\x{85}\\x{a0}"
     "\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
@@ -71,15 +78,11 @@ EMPLOYEE_KEY = "client_employee_id"
 TIMESHEET_KEY = ("client_employee_id", "punch_in_datetime")
 INGEST_COL = "_ingest"  # struct giving the original row order (file order)
 
-# Default text formats tried, in order, for timestamp columns.
-DEFAULT_TS_FORMATS = (
-    "yyyy-MM-dd HH:mm:ss.SSSSSS",
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "yyyy-MM-dd HH:mm",
-    "yyyy-MM-dd",
-)
+# Default text format for timestamp columns: ISO date, optionally followed by
+# a time (space or 'T', seconds and up to six fraction digits optional). One
+# pattern with optional sections parses in one pass; more formats can be
+# listed in ``Params.ts_formats`` and are tried in order.
+DEFAULT_TS_FORMATS = ("yyyy-MM-dd[['T'][ ]HH:mm[:ss][.SSSSSS]]",)
 
 
 @dataclass(frozen=True)

@@ -42,26 +42,17 @@ def timesheets(
     """A3: optional AND-ed filters (empty text = no filter), latest first.
 
     ``end_date`` compares as midnight of that day, as a date-time literal would.
-    The predicates reach the Parquet scan (and the month partition filter when
-    silver is partitioned by month).
+    The predicates reach the Parquet scan as pushed filters; silver files are
+    sorted by apply date, so row groups outside the range are skipped.
     """
     preds = []
     if client_employee_id:
         preds.append(F.col(ID) == _id_literal(silver_ts, client_employee_id))
-    part = "apply_month" in silver_ts.columns  # month-partitioned silver: prune folders too
     if start_date:
-        lo = F.lit(start_date).try_cast("timestamp_ntz")
-        preds.append(F.col("punch_apply_date") >= lo)
-        if part:
-            preds.append(F.col("apply_month") >= F.trunc(lo.cast("date"), "month"))
+        preds.append(F.col("punch_apply_date") >= F.lit(start_date).try_cast("timestamp_ntz"))
     if end_date:
-        hi = F.lit(end_date).try_cast("timestamp_ntz")
-        preds.append(F.col("punch_apply_date") <= hi)
-        if part:
-            preds.append(F.col("apply_month") <= F.trunc(hi.cast("date"), "month"))
+        preds.append(F.col("punch_apply_date") <= F.lit(end_date).try_cast("timestamp_ntz"))
     df = silver_ts.where(reduce(lambda a, b: a & b, preds)) if preds else silver_ts
-    if part:
-        df = df.drop("apply_month")
     order = [F.col("punch_apply_date").desc_nulls_last(), F.col(ID).asc_nulls_last(),
              F.col("punch_in_datetime").asc_nulls_last()]
     if "_ingest" in df.columns:

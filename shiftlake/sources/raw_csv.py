@@ -16,6 +16,7 @@ from __future__ import annotations
 import fnmatch
 import logging
 from collections import OrderedDict
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +26,8 @@ from shiftlake.params import CSV_QUOTE, CSV_SEP, EMPLOYEE_GLOB, INGEST_COL, TIME
 
 log = logging.getLogger(__name__)
 
+HEADER_PROBES = 16  # concurrent header-probe jobs
+
 
 def list_files(spark: SparkSession, raw_dir: str, pattern: str) -> list[str]:
     """Paths matching ``raw_dir/pattern``, sorted. A match that is a folder of
@@ -77,9 +80,11 @@ def read_delimited(spark: SparkSession, paths: list[str]) -> DataFrame:
     """S2 core: files grouped by header, each group one read, unioned by name."""
     if not paths:
         raise FileNotFoundError("no input files")
+    # one small job per file that reads its first line; run them side by side
+    with ThreadPoolExecutor(max_workers=HEADER_PROBES) as pool:
+        headers = list(pool.map(lambda p: tuple(_reader(spark).csv(p).columns), paths))
     groups: OrderedDict[tuple, list[str]] = OrderedDict()
-    for p in paths:
-        header = tuple(_reader(spark).csv(p).columns)  # reads the first line only
+    for p, header in zip(paths, headers):
         groups.setdefault(header, []).append(p)
     frames = [_read_group(spark, ps) for ps in groups.values()]
     out = frames[0]

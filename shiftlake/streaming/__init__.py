@@ -1,0 +1,7 @@
+"""No streaming operators.
+
+The workload is a batch job over bounded files: no source is read
+incrementally, nothing uses watermarks, windows over event time or state
+across micro-batches. This package stays empty on purpose rather than
+adding stream operators the workload does not have.
+"""

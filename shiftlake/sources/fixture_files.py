@@ -30,9 +30,12 @@ EMP_COLS = ["client_employee_id", "first_name", "last_name", "department_name",
 _written: dict[tuple[int, str], str] = {}
 
 
+PARTS_PER_FILE = 4  # part files per raw file folder
+
+
 def _write(df: DataFrame, cols: list[str], path: str) -> None:
     (
-        df.repartitionByRange(INGEST_COL)
+        df.repartitionByRange(PARTS_PER_FILE, INGEST_COL)
         .sortWithinPartitions(INGEST_COL)
         .select(*cols)
         .write.mode("overwrite")

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import datetime as dt
+import threading
 
 from shiftlake.functions.exprs import null_tokens, strip_all
 from shiftlake.operators import changes as CG
@@ -61,6 +62,7 @@ def silver_timesheets_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _SILVER: dict = {}
+_LOCK = threading.RLock()
 
 
 def _silver_written(spark: SparkSession, sf_dir: str) -> Lake:
@@ -68,12 +70,13 @@ def _silver_written(spark: SparkSession, sf_dir: str) -> Lake:
     writes it; the KPI, read, chart, variant and change queries read it, as the
     gold layer reads the written silver layer."""
     key = (id(spark.sparkContext), sf_dir)
-    if key not in _SILVER:
-        lake = Lake(scratch_path(spark, "fixture-lake"))
-        write_silver_employees(silver_employees_plan(spark, sf_dir), lake)
-        write_silver_timesheets(silver_timesheets_plan(spark, sf_dir), lake)
-        _SILVER[key] = lake
-    return _SILVER[key]
+    with _LOCK:
+        if key not in _SILVER:
+            lake = Lake(scratch_path(spark, "fixture-lake"))
+            write_silver_employees(silver_employees_plan(spark, sf_dir), lake)
+            write_silver_timesheets(silver_timesheets_plan(spark, sf_dir), lake)
+            _SILVER[key] = lake
+        return _SILVER[key]
 
 
 def silver_employees(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -220,21 +223,23 @@ def q_bronze_null_tokens(spark, sf_dir):
 def _bronze(spark, sf_dir) -> Lake:
     raw = _raw(spark, sf_dir)
     key = ("bronze", id(spark.sparkContext), sf_dir)
-    if key not in _LAKES:
-        lake = Lake(scratch_path(spark, "lake"))
-        raw_csv.load_bronze(
-            raw_csv.extract_employees(spark, raw), raw_csv.extract_timesheets(spark, raw), f"{lake.root}/bronze"
-        )
-        _LAKES[key] = lake
-    return _LAKES[key]
+    with _LOCK:
+        if key not in _LAKES:
+            lake = Lake(scratch_path(spark, "lake"))
+            raw_csv.load_bronze(
+                raw_csv.extract_employees(spark, raw), raw_csv.extract_timesheets(spark, raw), f"{lake.root}/bronze"
+            )
+            _LAKES[key] = lake
+        return _LAKES[key]
 
 
 def _silver_lake(spark, sf_dir) -> Lake:
     lake = _bronze(spark, sf_dir)
     key = ("silver", id(spark.sparkContext), sf_dir)
-    if key not in _LAKES:
-        pipeline.build_silver(spark, lake, DEFAULT)
-        _LAKES[key] = lake
+    with _LOCK:
+        if key not in _LAKES:
+            pipeline.build_silver(spark, lake, DEFAULT)
+            _LAKES[key] = lake
     return lake
 
 

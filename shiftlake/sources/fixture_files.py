@@ -14,6 +14,8 @@ path order followed by row order is that ingest order.
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +30,7 @@ TS_COLS = [
 EMP_COLS = ["client_employee_id", "first_name", "last_name", "department_name", "hire_date", "term_date"]
 
 _written: dict[tuple[int, str], str] = {}
+_LOCK = threading.Lock()
 
 
 PARTS_PER_FILE = 4  # part files per raw file folder
@@ -51,8 +54,13 @@ def _write(df: DataFrame, cols: list[str], path: str) -> None:
 def write_raw(spark: SparkSession, sf_dir: str) -> str:
     """Write (once per session and input folder) and return the raw folder."""
     key = (id(spark.sparkContext), sf_dir)
-    if key in _written:
+    with _LOCK:
+        if key not in _written:
+            _written[key] = _write_all(spark, sf_dir)
         return _written[key]
+
+
+def _write_all(spark: SparkSession, sf_dir: str) -> str:
     raw = scratch_path(spark, "raw")
     _write(FX.employees_raw(spark, sf_dir), EMP_COLS, f"{raw}/employee.csv")
     ts = FX.timesheets_raw(spark, sf_dir)
@@ -64,5 +72,4 @@ def write_raw(spark: SparkSession, sf_dir: str) -> str:
         TS_COLS + ["shift_label"],
         f"{raw}/timesheet_3.csv",
     )
-    _written[key] = raw
     return raw

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 import math
+import os
 import sys
 import time
 
@@ -40,7 +41,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return repr(round(v, 9) + 0.0)
+        return repr(v + 0.0) if os.environ.get("ORACLE_EXACT") else repr(round(v, 9) + 0.0)
     if isinstance(v, pd.Timestamp):
         if pd.isna(v):
             return None

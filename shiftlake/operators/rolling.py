@@ -92,3 +92,79 @@ def rolling_top(ts: DataFrame, limit: int, rows: int = 30, digits: int = 2, out:
     avg = round_half_away(F.avg("hours_worked").over(rolling_window(rows)), digits)
     scored = cand.select(ID, DATE, PIN, INGEST_COL, avg.alias(out))
     return scored.orderBy(*report_order()).limit(limit)
+
+
+# --- all rows, safe against one employee holding a large share of the rows ----------
+
+
+def hot_ids(ts: DataFrame, min_rows: int = 100_000, share: float = 0.5) -> list:
+    """Employee ids with more rows than ``share`` of one task's fair part
+    (rows / shuffle partitions), and at least ``min_rows``.
+
+    One grouped count (combined map-side) and a filter; at most
+    ``1 / (share / partitions)`` ids can pass, so the collected list is bounded.
+    """
+    parts = int(ts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = ts.groupBy(ID).agg(F.count("*").alias("n"))
+    total = counts.select(F.sum("n")).scalar()
+    limit = F.greatest(F.lit(min_rows), total * F.lit(share / parts))
+    return [r[ID] for r in counts.where(F.col("n") > limit).select(ID).collect()]
+
+
+def _chunked_window(rows_df: DataFrame, rows: int, chunk: int, parts: int) -> DataFrame:
+    """Rolling average for rows of a few very large employees.
+
+    Rows are range-partitioned on (employee, order) so one employee spreads over
+    many tasks; each row gets its exact position inside its employee from
+    per-task counts; positions are cut into chunks of ``chunk`` rows and the
+    last ``rows - 1`` rows of every chunk are copied into the next one, so a
+    window over (employee, chunk) sees the same frame as one over the employee.
+    """
+    key = [F.col(ID), F.col(DATE).isNull(), F.col(DATE), F.col(PIN).isNull(), F.col(PIN), F.col(INGEST_COL)]
+    ranged = rows_df.repartitionByRange(parts, *key).withColumn("_pid", F.spark_partition_id())
+    local = Window.partitionBy("_pid", ID).orderBy(*window_order())
+    ranged = ranged.withColumn("_local", F.row_number().over(local))
+    per_task = ranged.groupBy("_pid", ID).agg(F.count("*").alias("_n"))
+    before = Window.partitionBy(ID).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_task.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    # at most (tasks x hot ids) rows
+    offsets = offsets.withColumnRenamed(ID, "_oid").withColumnRenamed("_pid", "_opid")
+    placed = ranged.join(
+        F.broadcast(offsets), (F.col("_pid") == F.col("_opid")) & F.col(ID).eqNullSafe(F.col("_oid")), "inner"
+    ).withColumn("_pos", F.col("_off") + F.col("_local") - 1).drop("_opid", "_oid", "_off")
+    halo = F.col("_pos") % chunk >= chunk - (rows - 1)
+    copies = F.when(halo, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    spread = placed.select("*", F.explode(copies).alias("_copy")).withColumn(
+        "_chunk", F.floor(F.col("_pos") / chunk).cast("long") + F.col("_copy")
+    )
+    w = Window.partitionBy(ID, "_chunk").orderBy("_pos").rowsBetween(-(rows - 1), 0)
+    return (
+        spread.withColumn("_avg", F.avg("hours_worked").over(w))
+        .where(F.col("_copy") == 0)
+        .drop("_pid", "_local", "_pos", "_copy", "_chunk")
+    )
+
+
+def rolling_all_balanced(
+    ts: DataFrame, rows: int = 30, out: str = "rolling_30day_avg", hot: list | None = None, chunk: int = 10_000
+) -> DataFrame:
+    """Every row with its rolling average (as ``rolling_all``), with very large
+    employees split into chunks instead of one task each.
+
+    Ordinary employees keep the plain plan (one shuffle by employee). The ids
+    found by ``hot_ids`` (or given) take the chunked plan; the two parts are
+    disjoint and unioned.
+    """
+    hot = hot_ids(ts) if hot is None else hot
+    base = ts.select(ID, DATE, PIN, INGEST_COL, "hours_worked")
+    if not hot:
+        return base.select(ID, DATE, PIN, INGEST_COL, F.avg("hours_worked").over(rolling_window(rows)).alias(out))
+    hot_df = ts.sparkSession.createDataFrame([(h,) for h in hot], base.select(ID).schema)
+    is_hot = F.broadcast(hot_df.withColumn("_hot", F.lit(True)).withColumnRenamed(ID, "_hid"))
+    marked = base.join(is_hot, F.col(ID).eqNullSafe(F.col("_hid")), "left").drop("_hid")
+    normal = marked.where(F.col("_hot").isNull()).drop("_hot")
+    heavy = marked.where(F.col("_hot")).drop("_hot")
+    parts = int(ts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    normal = normal.withColumn("_avg", F.avg("hours_worked").over(rolling_window(rows)))
+    heavy = _chunked_window(heavy, rows, chunk, parts)
+    return normal.unionByName(heavy).select(ID, DATE, PIN, INGEST_COL, F.col("_avg").alias(out))

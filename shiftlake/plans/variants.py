@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from shiftlake.functions.exprs import as_ntz, days_trunc, micros_between, month_start_ts, week_start
 from shiftlake.operators.headcount import headcount_by_month
+from shiftlake.operators.rolling import rolling_all_balanced
 from shiftlake.params import DEFAULT, INGEST_COL, VAR_EARLY_LABEL, VAR_OTHER_LABEL, Params
 
 
@@ -92,18 +93,23 @@ def overtime(ts: DataFrame, params: Params = DEFAULT) -> DataFrame:
 
 
 def rolling_avg(ts: DataFrame, params: Params = DEFAULT) -> DataFrame:
-    """V8: unrounded rolling average over all rows (one shuffle by employee),
-    sorted by employee and date."""
-    from pyspark.sql import Window
-
-    w = (
-        Window.partitionBy("employee_id")
-        .orderBy(F.col("date").asc_nulls_last(), F.col("actual_start_time").asc_nulls_last(), F.col(INGEST_COL))
-        .rowsBetween(-(params.rolling_rows - 1), 0)
-    )
-    return ts.select("employee_id", "date", F.avg("hours_worked").over(w).alias("rolling_30day_avg")).orderBy(
-        F.col("employee_id").asc_nulls_last(), F.col("date").asc_nulls_last()
+    """V8: unrounded rolling average over all rows, sorted by employee and date.
+
+    One shuffle by employee; employees holding a large share of the rows are
+    split into chunks (``rolling_all_balanced``)."""
+    silver_named = ts.select(
+        F.col("employee_id").alias("client_employee_id"),
+        F.col("date").alias("punch_apply_date"),
+        F.col("actual_start_time").alias("punch_in_datetime"),
+        INGEST_COL,
+        "hours_worked",
     )
+    scored = rolling_all_balanced(silver_named, rows=params.rolling_rows)
+    return scored.select(
+        F.col("client_employee_id").alias("employee_id"),
+        F.col("punch_apply_date").alias("date"),
+        "rolling_30day_avg",
+    ).orderBy(F.col("employee_id").asc_nulls_last(), F.col("date").asc_nulls_last())
 
 
 def whole_months(start: str, end: str) -> F.Column:

@@ -73,3 +73,28 @@ def test_keep_first_is_idempotent_and_first(spark):
     twice = keep_first(once, ["k"], "o")
     assert sorted(map(tuple, once.collect()), key=str) == sorted(map(tuple, twice.collect()), key=str)
     assert {r.k: r.v for r in once.collect()} == {1: "b", None: "d", 2: "e"}
+
+
+def test_chunked_rolling_equals_full_window(spark):
+    rng = random.Random(5)
+    rows = []
+    for k in range(600):
+        emp = rng.choice([1, 1, 1, 1, 2, 3, None, None])
+        day = None if rng.random() < 0.05 else dt.datetime(2021, 1, 1) + dt.timedelta(days=rng.randrange(0, 30))
+        pin = dt.datetime(2021, 1, 1, 9) + dt.timedelta(minutes=rng.randrange(0, 3))
+        hours = None if rng.random() < 0.1 else rng.randrange(1, 48) / 4
+        rows.append((emp, day, pin, hours, k))
+    ts = spark.createDataFrame(
+        rows, "client_employee_id long, punch_apply_date timestamp_ntz, punch_in_datetime timestamp_ntz, "
+        "hours_worked double, k long").withColumn("_ingest", F.struct("k")).drop("k")
+    plain = {tuple(r) for r in R.rolling_all(ts, rows=5).collect()}
+    for hot, chunk in (([1, None], 7), ([1], 40), ([], 10)):
+        got = R.rolling_all_balanced(ts, rows=5, hot=hot, chunk=chunk).collect()
+        assert len(got) == len(rows)
+        assert {tuple(r) for r in got} == plain, (hot, chunk)
+
+
+def test_hot_ids_finds_the_large_employee(spark):
+    rows = [(1, k) for k in range(300)] + [(k, k) for k in range(2, 40)]
+    ts = spark.createDataFrame(rows, "client_employee_id long, x long")
+    assert R.hot_ids(ts, min_rows=50) == [1]

@@ -10,8 +10,8 @@ ID = "client_employee_id"
 
 def row_counts(emp: DataFrame, ts: DataFrame) -> DataFrame:
     """Long table ``(table_name, metric, value)``: row counts plus null, duplicate
-    and orphan counts. One aggregate per table; the timesheet pass marks known
-    ids through a join with the distinct employee ids."""
+    and orphan counts. One aggregate per table; the timesheet counts are taken
+    per id before they meet the distinct employee ids."""
     e = emp.agg(
         F.count("*").alias("rows"),
         F.count_if(F.col(ID).isNull()).alias("null_id"),
@@ -25,13 +25,23 @@ def row_counts(emp: DataFrame, ts: DataFrame) -> DataFrame:
         )
     ).select(F.lit("silver_employees").alias("table_name"), "metric", "value")
 
+    # per-id counts first (combined map-side): the join to the employee ids then
+    # sees one row per id, however many punches one id has
+    per_id = ts.groupBy(ID).agg(
+        F.count("*").alias("n"),
+        F.count_if(F.col("punch_apply_date").isNull()).alias("n_null_date"),
+        F.count_if(F.col("hours_worked").isNull()).alias("n_null_hours"),
+    )
     known = emp.where(F.col(ID).isNotNull()).select(ID).distinct().withColumn("_known", F.lit(True))
-    t = ts.join(known, ID, "left").agg(
-        F.count("*").alias("rows"),
-        F.count_if(F.col(ID).isNull()).alias("null_id"),
-        F.count_if(F.col(ID).isNotNull() & F.col("_known").isNull()).alias("orphan_id"),
-        F.count_if(F.col("punch_apply_date").isNull()).alias("null_apply_date"),
-        F.count_if(F.col("hours_worked").isNull()).alias("null_hours"),
+    def total(c):
+        return F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+
+    t = per_id.join(known, ID, "left").agg(
+        total("n").alias("rows"),
+        total(F.when(F.col(ID).isNull(), F.col("n")).otherwise(0)).alias("null_id"),
+        total(F.when(F.col(ID).isNotNull() & F.col("_known").isNull(), F.col("n")).otherwise(0)).alias("orphan_id"),
+        total("n_null_date").alias("null_apply_date"),
+        total("n_null_hours").alias("null_hours"),
     ).select(
         F.expr(
             "stack(5, 'rows', rows, 'null_id', null_id, 'orphan_id', orphan_id, "

@@ -105,11 +105,16 @@ def rolling_avg(ts: DataFrame, params: Params = DEFAULT) -> DataFrame:
         "hours_worked",
     )
     scored = rolling_all_balanced(silver_named, rows=params.rolling_rows)
-    return scored.select(
+    # the sort also carries punch-in and ingest order: the range partitioning of
+    # the sort then splits even one employee's rows on one date over tasks
+    return scored.orderBy(
+        F.col("client_employee_id").asc_nulls_last(), F.col("punch_apply_date").asc_nulls_last(),
+        F.col("punch_in_datetime").asc_nulls_last(), F.col(INGEST_COL),
+    ).select(
         F.col("client_employee_id").alias("employee_id"),
         F.col("punch_apply_date").alias("date"),
         "rolling_30day_avg",
-    ).orderBy(F.col("employee_id").asc_nulls_last(), F.col("date").asc_nulls_last())
+    )
 
 
 def whole_months(start: str, end: str) -> F.Column:

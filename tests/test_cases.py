@@ -176,3 +176,52 @@ def test_pipeline_runs_and_reruns(spark, tmp_path):
     assert second["gold_rows"] == first["gold_rows"]
     hc = spark.read.parquet(f"{lake}/gold/kpi_active_headcount").collect()
     assert [(r.month, r.active_headcount) for r in hc] == [(dt.date(2020, 1, 1), 2)]
+
+
+def test_reads_by_id_and_optional_filters(spark):
+    from shiftlake.plans import serving as SV
+
+    d = dt.datetime
+    ts = spark.createDataFrame(
+        [(1, d(2020, 1, 6), d(2020, 1, 6, 9), k) for k in range(3)]
+        + [(2, d(2020, 1, 7, 0), d(2020, 1, 7, 9), 9), (2, d(2020, 1, 8, 12), d(2020, 1, 8, 9), 10)],
+        "client_employee_id long, punch_apply_date timestamp_ntz, punch_in_datetime timestamp_ntz, k long",
+    ).withColumn("_ingest", F.struct("k")).drop("k")
+    assert SV.timesheets(ts, client_employee_id="2").count() == 2
+    assert SV.timesheets(ts, client_employee_id="", start_date="", end_date="").count() == 5
+    # the end date compares as midnight: a punch later that day drops out
+    assert SV.timesheets(ts, end_date="2020-01-08").count() == 4
+    assert SV.timesheets(ts, client_employee_id="abc").count() == 0   # bad id finds nothing
+    emp = spark.createDataFrame([(1, "A"), (2, "B")], "client_employee_id long, first_name string")
+    assert SV.employee(emp, "2").first().first_name == "B"
+    assert SV.employee(emp, "3").count() == 0
+
+
+def test_batch_changes(spark):
+    from shiftlake.operators import changes as CG
+    from shiftlake.operators.changes import CHANGE_SCHEMA
+
+    d = dt.datetime
+    silver = spark.createDataFrame(
+        [(1, "A", "a", "Ops", d(2020, 1, 1), None, 1, 100), (2, "B", "b", "Ops", d(2020, 1, 1), None, 1, 100)],
+        "client_employee_id long, first_name string, last_name string, department_name string, "
+        "hire_date timestamp_ntz, term_date timestamp_ntz, is_active long, tenure_days long",
+    )
+    changes = spark.createDataFrame([
+        ("insert", 1, "A2", "dup", "HR", d(2021, 1, 1), 1),      # duplicate id allowed
+        ("update", 2, None, None, "Sales", None, 1),
+        ("delete", 2, None, None, None, None, 2),                 # later delete wins in a batch
+        ("update", 1, None, None, None, None, 0),                 # empty update: rejected
+        ("delete", 9, None, None, None, None, 3),                 # unknown id: rejected
+    ], CHANGE_SCHEMA)
+    ins = CG.insert(silver, changes)
+    assert ins.where("client_employee_id = 1").count() == 2
+    new = ins.where("last_name = 'dup'").first()
+    assert new.is_active == 1 and new.term_date is None and new.tenure_days is not None
+    assert CG.update(silver, changes).where("client_employee_id = 2").first().department_name == "Sales"
+    assert CG.delete(silver, changes).count() == 1
+    rej = {(r.client_employee_id, r.reason) for r in CG.rejects(silver, changes).collect()}
+    assert rej == {(1, "no fields to update"), (9, "not found")}
+    applied = CG.apply(silver, changes)
+    # per id the last change applies: id 1 -> insert (seq 1 beats the empty update), id 2 -> delete
+    assert sorted((r.client_employee_id, r.last_name) for r in applied.collect()) == [(1, "a"), (1, "dup")]

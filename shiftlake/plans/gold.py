@@ -67,7 +67,7 @@ def avg_working_hours(ts: DataFrame, params: Params = DEFAULT, limit: int = LIMI
     )
 
 
-def _per_employee_flags(ts: DataFrame, params: Params) -> DataFrame:
+def per_employee_flags(ts: DataFrame, params: Params = DEFAULT) -> DataFrame:
     """G5-G7 share one scan and one group-by: conditional aggregates per employee."""
     return ts.where((F.col("is_late") == 1) | (F.col("is_early") == 1) | (F.col("is_overtime") == 1)).groupBy(ID).agg(
         F.count_if(F.col("is_late") == 1).alias("late_count"),
@@ -81,7 +81,8 @@ def _per_employee_flags(ts: DataFrame, params: Params) -> DataFrame:
     )
 
 
-def _top(df: DataFrame, count_col: str, value_col: str, limit: int) -> DataFrame:
+def top_by(df: DataFrame, count_col: str, value_col: str, limit: int) -> DataFrame:
+    """Top ``limit`` employees of a per-employee aggregate by a count (id breaks ties)."""
     return (
         df.where(F.col(count_col) > 0)
         .select(ID, count_col, value_col)
@@ -92,27 +93,17 @@ def _top(df: DataFrame, count_col: str, value_col: str, limit: int) -> DataFrame
 
 def late_arrivals(ts: DataFrame, params: Params = DEFAULT, limit: int = LIMIT_LATE) -> DataFrame:
     """Punches more than the grace late, per employee; top by count."""
-    return _top(_per_employee_flags(ts, params), "late_count", "avg_minutes_late", limit)
+    return top_by(per_employee_flags(ts, params), "late_count", "avg_minutes_late", limit)
 
 
 def early_departures(ts: DataFrame, params: Params = DEFAULT, limit: int = LIMIT_EARLY) -> DataFrame:
     """Punches out more than the grace early, per employee; top by count."""
-    return _top(_per_employee_flags(ts, params), "early_count", "avg_minutes_early", limit)
+    return top_by(per_employee_flags(ts, params), "early_count", "avg_minutes_early", limit)
 
 
 def overtime(ts: DataFrame, params: Params = DEFAULT, limit: int = LIMIT_OVERTIME) -> DataFrame:
     """Overtime punches and hours beyond the base day, per employee; top by count."""
-    return _top(_per_employee_flags(ts, params), "overtime_days", "total_extra_hours", limit)
-
-
-def flag_summaries(ts: DataFrame, params: Params = DEFAULT) -> tuple[dict[str, DataFrame], DataFrame]:
-    """G5, G6, G7 over one shared per-employee aggregate (the pipeline persists it)."""
-    per = _per_employee_flags(ts, params)
-    return {
-        "kpi_late_arrivals": _top(per, "late_count", "avg_minutes_late", LIMIT_LATE),
-        "kpi_early_departures": _top(per, "early_count", "avg_minutes_early", LIMIT_EARLY),
-        "kpi_overtime": _top(per, "overtime_days", "total_extra_hours", LIMIT_OVERTIME),
-    }, per
+    return top_by(per_employee_flags(ts, params), "overtime_days", "total_extra_hours", limit)
 
 
 def rolling_avg(ts: DataFrame, params: Params = DEFAULT, limit: int = LIMIT_ROLLING) -> DataFrame:

@@ -2,14 +2,16 @@
 
 Each layer is written, and the next one reads the written tables, so every
 layer can be rerun alone and a lost executor only repeats tasks of the
-current stage. Gold KPIs fail one at a time: an error is recorded in the
-report and the next KPI runs.
+current stage. Independent writes of one layer are submitted as concurrent
+jobs. Gold KPIs fail one at a time: an error is recorded in the report and
+the other KPIs still run.
 """
 
 from __future__ import annotations
 
 import logging
 import traceback
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -31,17 +33,18 @@ from shiftlake.sources.raw_csv import extract_employees, extract_timesheets, loa
 
 log = logging.getLogger(__name__)
 
+GOLD_CONCURRENCY = 4  # KPI jobs submitted at once
+
 
 def ids_are_integers(*frames: DataFrame) -> bool:
     """True when every non-null employee id in all frames reads as an integer
-    (one aggregate per frame, like a type inference pass)."""
+    (one aggregate over the id columns, like a type inference pass)."""
+    ids = None
     for df in frames:
-        bad = df.select(
-            F.count_if(F.col(EMPLOYEE_KEY).isNotNull() & F.col(EMPLOYEE_KEY).try_cast("bigint").isNull())
-        ).first()[0]
-        if bad:
-            return False
-    return True
+        one = df.select(F.col(EMPLOYEE_KEY).cast("string").alias("id"))
+        ids = one if ids is None else ids.unionByName(one)
+    bad = ids.select(F.count_if(F.col("id").isNotNull() & F.col("id").try_cast("bigint").isNull())).first()[0]
+    return not bad
 
 
 def type_ids(df: DataFrame, integer: bool) -> DataFrame:
@@ -57,29 +60,65 @@ def build_silver(spark: SparkSession, lake: Lake, params: Params = DEFAULT) -> d
     integer = ids_are_integers(b_emp, b_ts)
     s_emp = transform_employees(type_ids(b_emp, integer), params)
     s_ts = transform_timesheets(type_ids(b_ts, integer), params)
-    return {
-        "silver_employees": write_silver_employees(s_emp, lake),
-        "silver_timesheets": write_silver_timesheets(s_ts, lake),
+    with ThreadPoolExecutor(max_workers=2) as pool:  # two independent writes side by side
+        emp_path = pool.submit(write_silver_employees, s_emp, lake)
+        ts_path = pool.submit(write_silver_timesheets, s_ts, lake)
+        return {"silver_employees": emp_path.result(), "silver_timesheets": ts_path.result()}
+
+
+def _builders(emp: DataFrame, ts: DataFrame, params: Params, per_employee: DataFrame) -> dict:
+    """KPI name -> function building its DataFrame (G1 writes its small
+    checkpoints when built, so building happens inside the KPI's own task)."""
+    shared = {
+        "kpi_late_arrivals": ("late_count", "avg_minutes_late", G.LIMIT_LATE),
+        "kpi_early_departures": ("early_count", "avg_minutes_early", G.LIMIT_EARLY),
+        "kpi_overtime": ("overtime_days", "total_extra_hours", G.LIMIT_OVERTIME),
+    }
+    out = {
+        "kpi_active_headcount": lambda: G.active_headcount(emp, ts, params),
+        "kpi_turnover_trend": lambda: G.turnover_trend(emp, params),
+        "kpi_avg_tenure": lambda: G.avg_tenure(emp, params),
+        "kpi_avg_working_hours": lambda: G.avg_working_hours(ts, params),
+        "kpi_rolling_avg": lambda: G.rolling_avg(ts, params),
+        "kpi_early_attrition": lambda: G.early_attrition(emp, params),
     }
+    for name, (count_col, value_col, limit) in shared.items():
+        out[name] = lambda c=count_col, v=value_col, n=limit: G.top_by(per_employee, c, v, n)
+    return out
 
 
-def build_gold(spark: SparkSession, lake: Lake, params: Params = DEFAULT) -> tuple[dict[str, int], dict[str, str]]:
-    """All KPI tables from the written silver tables; failures are isolated."""
+def build_gold(
+    spark: SparkSession, lake: Lake, params: Params = DEFAULT, concurrency: int = GOLD_CONCURRENCY
+) -> tuple[dict[str, int], dict[str, str]]:
+    """All KPI tables from the written silver tables.
+
+    The nine KPIs are independent jobs; they are submitted side by side so
+    small ones fill the cores a large one leaves idle. A failure is recorded
+    for its KPI and the others still run.
+    """
     emp = lake.read(spark, "silver", "silver_employees")
     ts = read_silver_timesheets(spark, lake)
-    kpis = G.build_all(emp, ts, params)
-    shared, per_employee = G.flag_summaries(ts, params)
-    per_employee.persist(StorageLevel.MEMORY_AND_DISK)  # recomputed from silver if lost
-    kpis.update(shared)
+    per_employee = G.per_employee_flags(ts, params).persist(StorageLevel.MEMORY_AND_DISK)  # recomputed if lost
+    builders = _builders(emp, ts, params, per_employee)
+
+    def one(name: str):
+        try:
+            n = write_gold(builders[name](), lake, name)
+            log.info("%s: %d rows", name, n)
+            return name, n, None
+        except Exception as exc:  # one KPI failing does not stop the others
+            msg = "".join(traceback.format_exception_only(type(exc), exc)).strip()
+            log.warning("%s: %s", name, msg)
+            return name, None, msg
+
     rows, failures = {}, {}
     try:
-        for name in G.KPI_NAMES:
-            try:
-                rows[name] = write_gold(kpis[name], lake, name)
-                log.info("%s: %d rows", name, rows[name])
-            except Exception as exc:  # one KPI failing does not stop the others
-                failures[name] = "".join(traceback.format_exception_only(type(exc), exc)).strip()
-                log.warning("%s: %s", name, failures[name])
+        with ThreadPoolExecutor(max_workers=max(1, concurrency)) as pool:
+            for name, n, err in pool.map(one, G.KPI_NAMES):
+                if err is None:
+                    rows[name] = n
+                else:
+                    failures[name] = err
     finally:
         per_employee.unpersist()
     return rows, failures

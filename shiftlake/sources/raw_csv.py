@@ -124,10 +124,10 @@ def extract_timesheets(spark: SparkSession, raw_dir: str, pattern: str = TIMESHE
 
 
 def load_bronze(emp: DataFrame, ts: DataFrame, bronze_dir: str) -> dict[str, str]:
-    """Replace both bronze tables (text cells + ingest order)."""
-    out = {}
-    for name, df in (("bronze_employees", emp), ("bronze_timesheets", ts)):
-        path = f"{bronze_dir.rstrip('/')}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        out[name] = path
-    return out
+    """Replace both bronze tables (text cells + ingest order); the two
+    writes are independent jobs and run side by side."""
+    targets = {name: f"{bronze_dir.rstrip('/')}/{name}" for name in ("bronze_employees", "bronze_timesheets")}
+    frames = {"bronze_employees": emp, "bronze_timesheets": ts}
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        list(pool.map(lambda n: frames[n].write.mode("overwrite").parquet(targets[n]), targets))
+    return targets

@@ -6,7 +6,7 @@ Layers:
   operators/  keep-first de-duplication, silver cleaning, headcount sweep,
               rolling average, ordered top-k, batch row changes
   plans/      gold KPIs, SQL-file KPI variants, serving reads, chart datasets,
-              data quality, the end-to-end pipeline job
+              data quality, the end-to-end job
   streaming/  nothing: the workload is batch only (see its module docstring)
 """
 

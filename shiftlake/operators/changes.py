@@ -2,7 +2,7 @@
 
 A change table has columns ``(op, client_employee_id, first_name, last_name,
 department_name, hire_date, seq)`` with ``op`` in insert / update / delete.
-Every function returns a new DataFrame; the pipeline writes it to a new
+Every function returns a new DataFrame; the job writes it to a new
 folder and swaps, so a failed job never leaves a half-changed table.
 """
 

@@ -1,4 +1,4 @@
-"""Parameters and fixed values of the workforce pipeline.
+"""Parameters and fixed values of the workforce job.
 
 Everything a run can vary is a field of :class:`Params`; the module-level
 constants below are fixed values that results depend on.
@@ -87,7 +87,7 @@ DEFAULT_TS_FORMATS = ("yyyy-MM-dd[['T'][ ]HH:mm[:ss][.SSSSSS]]",)
 
 @dataclass(frozen=True)
 class Params:
-    """Knobs of one pipeline run."""
+    """Knobs of one job run."""
 
     as_of: _dt.datetime = _dt.datetime(2002, 1, 1)  # replaces "today at midnight"
     grace_minutes: float = 5.0

@@ -21,7 +21,7 @@ from shiftlake.operators import silver as S
 from shiftlake.params import DEFAULT, INGEST_COL
 from shiftlake.plans import charts as CH
 from shiftlake.plans import gold as G
-from shiftlake.plans import pipeline
+from shiftlake.plans import job
 from shiftlake.plans import quality as Q
 from shiftlake.plans import serving as SV
 from shiftlake.plans import variants as V
@@ -238,7 +238,7 @@ def _silver_lake(spark, sf_dir) -> Lake:
     key = ("silver", id(spark.sparkContext), sf_dir)
     with _LOCK:
         if key not in _LAKES:
-            pipeline.build_silver(spark, lake, DEFAULT)
+            job.build_silver(spark, lake, DEFAULT)
             _LAKES[key] = lake
     return lake
 
@@ -256,13 +256,13 @@ def q_bronze_timesheets(spark, sf_dir):
     return _bronze(spark, sf_dir).read(spark, "bronze", "bronze_timesheets").drop(INGEST_COL)
 
 
-@register("pipeline_silver_employees")
-def q_pipeline_silver_employees(spark, sf_dir):
+@register("silver_employees_from_files")
+def q_silver_employees_from_files(spark, sf_dir):
     return S.public_columns(_silver_lake(spark, sf_dir).read(spark, "silver", "silver_employees"))
 
 
-@register("pipeline_silver_timesheets")
-def q_pipeline_silver_timesheets(spark, sf_dir):
+@register("silver_timesheets_from_files")
+def q_silver_timesheets_from_files(spark, sf_dir):
     ts = read_silver_timesheets(spark, _silver_lake(spark, sf_dir))
     return ts.select(*TS_RAW_COLS, *TS_FLAG_COLS, "shift_label")
 

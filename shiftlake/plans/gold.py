@@ -1,7 +1,7 @@
 """Gold KPI tables (G1-G9) over silver employees and timesheets.
 
 Each builder takes silver DataFrames and returns the KPI DataFrame; the
-pipeline writes them. Top-k reports break ties on the employee id (and, for
+job writes them. Top-k reports break ties on the employee id (and, for
 the rolling report, on punch-in time and ingest order) so results are stable.
 """
 

@@ -217,8 +217,8 @@ ORACLE["bronze_trim_strings"] = (
 )
 ORACLE["bronze_null_tokens"] = f"SELECT doc_id, {_na('text')}, {_na('lang')}, {_na('source')}, n_chars FROM documents"
 
-ORACLE["pipeline_silver_employees"] = BASE + "SELECT * FROM silver_emp"
-ORACLE["pipeline_silver_timesheets"] = BASE + (
+ORACLE["silver_employees_from_files"] = BASE + "SELECT * FROM silver_emp"
+ORACLE["silver_timesheets_from_files"] = BASE + (
     f"SELECT {TS_SILVER_COLS}, CASE WHEN year(scheduled_start_datetime) >= 1999 "
     "THEN strftime(scheduled_start_datetime, '%a') END AS shift_label FROM silver_ts"
 )

@@ -1,4 +1,4 @@
-"""Spark session settings the pipeline relies on, and the shared scratch folder."""
+"""Spark session settings the job relies on, and the shared scratch folder."""
 
 from __future__ import annotations
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from shiftlake.operators import silver as S
 from shiftlake.params import EARLY_ATTRITION_LABEL, OTHER_ATTRITION_LABEL
 from shiftlake.plans import gold as G
-from shiftlake.plans.pipeline import run
+from shiftlake.plans.job import run
 from shiftlake.sources import raw_csv
 
 EMP_HEADER = "client_employee_id|first_name|last_name|department_name|hire_date|term_date|dob"
@@ -161,7 +161,7 @@ def test_exactly_ninety_days_is_other(spark):
     assert rows == {EARLY_ATTRITION_LABEL: 1, OTHER_ATTRITION_LABEL: 1}
 
 
-def test_pipeline_runs_and_reruns(spark, tmp_path):
+def test_job_runs_and_reruns(spark, tmp_path):
     raw = tmp_path / "raw"
     raw.mkdir()
     write(raw / "employee_2024.csv", [EMP_HEADER, "1|A|B|Sales|2020-01-01||", "2|C|D||2020-01-01|2020-02-01|"])

@@ -172,8 +172,13 @@ def test_job_runs_and_reruns(spark, tmp_path):
     assert not first["failures"]
     assert first["quality"][("silver_timesheets", "rows")] == 28
     assert set(first["gold_rows"]) == set(G.KPI_NAMES)
+    def snapshot():
+        return {n: sorted(map(repr, spark.read.parquet(f"{lake}/gold/{n}").collect())) for n in G.KPI_NAMES}
+
+    before = snapshot()
     second = run(spark, str(raw), lake)
     assert second["gold_rows"] == first["gold_rows"]
+    assert snapshot() == before  # a rerun gives the same results
     hc = spark.read.parquet(f"{lake}/gold/kpi_active_headcount").collect()
     assert [(r.month, r.active_headcount) for r in hc] == [(dt.date(2020, 1, 1), 2)]
 
@@ -225,3 +230,14 @@ def test_batch_changes(spark):
     applied = CG.apply(silver, changes)
     # per id the last change applies: id 1 -> insert (seq 1 beats the empty update), id 2 -> delete
     assert sorted((r.client_employee_id, r.last_name) for r in applied.collect()) == [(1, "a"), (1, "dup")]
+
+
+def test_attrition_classes_add_up(spark):
+    import __spark_entry__ as E
+    from shiftlake.plans import catalog as C
+
+    emp = C.silver_employees(spark, "/root/testdata/sf0.001")
+    split = {r.attrition_type: r["count"] for r in G.early_attrition(emp).collect()}
+    known = emp.where("term_date IS NOT NULL AND hire_date IS NOT NULL").count()
+    assert sum(split.values()) == known
+    assert E.queries()["kpi_early_attrition"](spark, "/root/testdata/sf0.001").count() == 2

@@ -112,7 +112,9 @@ def headcount_by_month(
     emp = emp.withColumn("needs_points", needs_points)
     spans = emp.where(~F.col("needs_points") & (F.col("lo_day") <= F.col("hi_day"))).select("id", "lo_day", "hi_day")
     point_emps = emp.where(F.col("needs_points"))
-    if not point_emps.isEmpty():  # rare: skip the second timesheet scan when nobody needs it
+    # rare: only days holding several distinct apply times can need it (checked
+    # on the small day summary first), then only employees hired and gone that day
+    if not observed.where(F.col("dmin") < F.col("dmax")).isEmpty() and not point_emps.isEmpty():
         spans = spans.unionByName(_same_day_check(timesheets.select(d.alias("d")), point_emps))
 
     # 4. merge the spans of one id, count starts and ends per month

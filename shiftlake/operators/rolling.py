@@ -52,43 +52,40 @@ def _wkey() -> Column:
     )
 
 
-def _dkey() -> Column:
-    return F.struct(F.col(DATE).isNull().alias("dn"), F.col(DATE).alias("d"))
-
-
 def rolling_top(ts: DataFrame, limit: int, rows: int = 30, digits: int = 2, out: str = "rolling_30day_avg") -> DataFrame:
     """The first ``limit`` rows in report order with their rolling averages.
 
     Only these rows are reported, so the window runs only over the rows they
     need: the selected rows and, per selected employee, the ``rows - 1``
-    predecessors of its earliest selected row (widened to whole apply dates).
+    predecessors of its earliest selected row.
 
     1. top-k of the report order (per-split top-k, no shuffle of the table);
     2. per selected employee (at most ``limit`` ids, broadcast) the earliest
-       selected position, and the row count per older apply date, walked back
-       with a running sum until ``rows - 1`` predecessors are covered;
-    3. the window over the remaining candidate rows, then the same top-k.
+       selected position and its ``rows - 1`` predecessors (a per-employee
+       top-k, limited map-side);
+    3. the window over those candidate rows (at most ``limit * rows`` plus the
+       later rows of the selected employees), then the same top-k.
     """
-    base = ts.select(ID, DATE, PIN, INGEST_COL, "hours_worked").withColumn("_w", _wkey()).withColumn("_dk", _dkey())
+    base = ts.select(ID, DATE, PIN, INGEST_COL, "hours_worked").withColumn("_w", _wkey())
     top = base.select(ID, DATE, PIN, INGEST_COL, "_w").orderBy(*report_order()).limit(limit)
     # at most `limit` ids; null ids are an employee too, hence the null-safe joins
     first_sel = F.broadcast(top.groupBy(F.col(ID).alias("_sid")).agg(F.min("_w").alias("_first")))
     same_emp = F.col(ID).eqNullSafe(F.col("_sid"))
 
-    older = base.join(first_sel, same_emp, "inner").where(F.col("_w") < F.col("_first")).drop("_sid")
-    per_date = older.groupBy(ID, "_dk").agg(F.count("*").alias("n"))
-    w_back = Window.partitionBy(ID).orderBy(F.col("_dk").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    per_date = per_date.withColumn("before", F.coalesce(F.sum("n").over(w_back), F.lit(0)))
-    needed_from = per_date.where(F.col("before") < rows - 1).groupBy(ID).agg(F.min("_dk").alias("_from"))
+    # the rows - 1 rows just before each employee's earliest selected row: a
+    # per-employee top-k, which Spark cuts map-side (partial group limit) before
+    # the shuffle, so even a very large employee sends only rows - 1 rows per split
+    older = base.join(first_sel, same_emp, "inner").where(F.col("_w") < F.col("_first")).select(ID, "_w")
+    back = Window.partitionBy(ID).orderBy(F.col("_w").desc())
+    kept = older.withColumn("_rk", F.row_number().over(back)).where(F.col("_rk") <= rows - 1)
+    needed_from = kept.groupBy(F.col(ID).alias("_nid")).agg(F.min("_w").alias("_from"))
 
-    # _from <= date of _first, so "on or after _from" also keeps every selected row
-    needed_from = needed_from.withColumnRenamed(ID, "_nid")
+    # at most `limit` rows each side
     bounds = F.broadcast(
-        first_sel.join(needed_from, F.col("_sid").eqNullSafe(F.col("_nid")), "left").select("_sid", "_from", "_first")
-    )
-    cand = base.join(bounds, same_emp, "inner").where(
-        F.when(F.col("_from").isNull(), F.col("_w") >= F.col("_first")).otherwise(F.col("_dk") >= F.col("_from"))
+        first_sel.join(F.broadcast(needed_from), F.col("_sid").eqNullSafe(F.col("_nid")), "left")
+        .select("_sid", F.coalesce("_from", "_first").alias("_start"))
     )
+    cand = base.join(bounds, same_emp, "inner").where(F.col("_w") >= F.col("_start"))
     avg = round_half_away(F.avg("hours_worked").over(rolling_window(rows)), digits)
     scored = cand.select(ID, DATE, PIN, INGEST_COL, avg.alias(out))
     return scored.orderBy(*report_order()).limit(limit)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from shiftlake.functions.exprs import round_half_away
 from shiftlake.params import INGEST_COL
+from shiftlake.session import checkpoint_root
 
 ID = "client_employee_id"
 DATE = "punch_apply_date"
@@ -118,7 +119,12 @@ def _chunked_window(rows_df: DataFrame, rows: int, chunk: int, parts: int) -> Da
     window over (employee, chunk) sees the same frame as one over the employee.
     """
     key = [F.col(ID), F.col(DATE).isNull(), F.col(DATE), F.col(PIN).isNull(), F.col(PIN), F.col(INGEST_COL)]
-    ranged = rows_df.repartitionByRange(parts, *key).withColumn("_pid", F.spark_partition_id())
+    # the task index is part of each row's position, so it must be fixed once:
+    # the range split is sampled when it runs, and a second run (another
+    # branch of the plan, or a recomputation after a lost executor) could cut
+    # elsewhere. A reliable checkpoint keeps one split.
+    checkpoint_root(rows_df.sparkSession)
+    ranged = rows_df.repartitionByRange(parts, *key).withColumn("_pid", F.spark_partition_id()).checkpoint()
     local = Window.partitionBy("_pid", ID).orderBy(*window_order())
     ranged = ranged.withColumn("_local", F.row_number().over(local))
     per_task = ranged.groupBy("_pid", ID).agg(F.count("*").alias("_n"))

@@ -98,3 +98,22 @@ def test_hot_ids_finds_the_large_employee(spark):
     rows = [(1, k) for k in range(300)] + [(k, k) for k in range(2, 40)]
     ts = spark.createDataFrame(rows, "client_employee_id long, x long")
     assert R.hot_ids(ts, min_rows=50) == [1]
+
+
+def test_chunked_rolling_on_skewed_table(spark):
+    """A third of the rows relabelled to one employee; big enough that the
+    range split is sampled, which once made two plan branches disagree."""
+    from shiftlake.plans import catalog as C
+
+    ts = C.silver_timesheets(spark, "/root/testdata/sf0.01")
+    skewed = ts.withColumn(
+        "client_employee_id",
+        F.when(F.col("_ingest.l_orderkey") % 3 == 0, F.lit(1)).otherwise(F.col("client_employee_id")),
+    )
+    assert R.hot_ids(skewed, min_rows=1000) == [1]
+
+    def digest(df):
+        h = F.xxhash64("client_employee_id", "punch_apply_date", "punch_in_datetime", "_ingest", "rolling_30day_avg")
+        return df.select(F.count("*"), F.bit_xor(h)).first()
+
+    assert digest(R.rolling_all_balanced(skewed, hot=[1], chunk=1000)) == digest(R.rolling_all(skewed))

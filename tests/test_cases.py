@@ -241,3 +241,18 @@ def test_attrition_classes_add_up(spark):
     known = emp.where("term_date IS NOT NULL AND hire_date IS NOT NULL").count()
     assert sum(split.values()) == known
     assert E.queries()["kpi_early_attrition"](spark, "/root/testdata/sf0.001").count() == 2
+
+
+def test_one_failing_kpi_does_not_stop_the_others(spark, tmp_path, monkeypatch):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    write(raw / "employee.csv", [EMP_HEADER, "1|A|B|Sales|2020-01-01||"])
+    write(raw / "timesheet.csv", [TS_HEADER] + [ts_line(1, f"2020-01-{d:02d}") for d in range(6, 12)])
+
+    def broken(*args, **kwargs):
+        raise RuntimeError("boom")
+
+    monkeypatch.setattr(G, "rolling_avg", broken)
+    report = run(spark, str(raw), str(tmp_path / "lake"))
+    assert set(report["failures"]) == {"kpi_rolling_avg"} and "boom" in report["failures"]["kpi_rolling_avg"]
+    assert set(report["gold_rows"]) == set(G.KPI_NAMES) - {"kpi_rolling_avg"}

@@ -1,8 +1,10 @@
 """Gold KPI tables (G1-G9) over silver employees and timesheets.
 
 Each builder takes silver DataFrames and returns the KPI DataFrame; the
-job writes them. Top-k reports break ties on the employee id (and, for
-the rolling report, on punch-in time and ingest order) so results are stable.
+job writes them. Months and weeks are the naive timestamp of their first
+instant (midnight of the 1st / of the Monday). Top-k reports break ties on
+the employee id (and, for the rolling report, on punch-in time and ingest
+order) so results are stable.
 """
 
 from __future__ import annotations
@@ -10,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shiftlake.functions.exprs import micros_between, month_start, round_half_away, week_start
+from shiftlake.functions.exprs import as_ntz, micros_between, month_start_ts, round_half_away, week_start
 from shiftlake.operators.headcount import headcount_by_month
 from shiftlake.operators.rolling import rolling_top
 from shiftlake.params import (
@@ -30,14 +32,15 @@ ID = "client_employee_id"
 
 def active_headcount(emp: DataFrame, ts: DataFrame, params: Params = DEFAULT) -> DataFrame:
     """G1: (month, active_headcount), month desc."""
-    return headcount_by_month(ts, emp)
+    hc = headcount_by_month(ts, emp)
+    return hc.select(as_ntz(F.col("month")).alias("month"), "active_headcount").orderBy(F.col("month").desc_nulls_last())
 
 
 def turnover_trend(emp: DataFrame, params: Params = DEFAULT) -> DataFrame:
     """Terminations per month of the termination date, month desc."""
     return (
         emp.where(F.col("term_date").isNotNull())
-        .groupBy(month_start("term_date").alias("month"))
+        .groupBy(month_start_ts("term_date").alias("month"))
         .agg(F.count("*").alias("terminations"))
         .orderBy(F.col("month").desc_nulls_last())
     )
@@ -60,7 +63,7 @@ def avg_working_hours(ts: DataFrame, params: Params = DEFAULT, limit: int = LIMI
     """Weekly average hours of normal-hours punches; latest weeks first."""
     return (
         ts.where(F.col("is_normal_work") == 1)
-        .groupBy(ID, week_start("punch_apply_date").alias("week"))
+        .groupBy(ID, as_ntz(week_start("punch_apply_date")).alias("week"))
         .agg(round_half_away(F.avg("hours_worked"), 2).alias("avg_hours"), F.count("*").alias("days_worked"))
         .orderBy(F.col("week").desc_nulls_last(), F.col(ID).asc_nulls_last())
         .limit(limit)

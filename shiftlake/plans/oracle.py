@@ -91,7 +91,7 @@ BASE = "WITH " + ",".join([FX_EMP, SILVER_EMP, FX_TS, TS_DEDUP, SILVER_TS]) + "\
 
 GOLD = {
     "kpi_active_headcount": """
-  SELECT CAST(date_trunc('month', t.punch_apply_date) AS DATE) AS month,
+  SELECT date_trunc('month', t.punch_apply_date) AS month,
          count(DISTINCT CASE WHEN e.hire_date <= t.punch_apply_date
                               AND (e.term_date IS NULL OR e.term_date > t.punch_apply_date)
                              THEN e.client_employee_id END) AS active_headcount
@@ -99,14 +99,14 @@ GOLD = {
   CROSS JOIN (SELECT DISTINCT client_employee_id, hire_date, term_date FROM silver_emp) e
   GROUP BY 1""",
     "kpi_turnover_trend": """
-  SELECT CAST(date_trunc('month', term_date) AS DATE) AS month, count(*) AS terminations
+  SELECT date_trunc('month', term_date) AS month, count(*) AS terminations
   FROM silver_emp WHERE term_date IS NOT NULL GROUP BY 1""",
     "kpi_avg_tenure": """
   SELECT department_name, round(avg(tenure_days) / 365.25, 2) AS avg_tenure_years,
          count(*) AS employee_count
   FROM silver_emp WHERE department_name IS NOT NULL GROUP BY department_name""",
     "kpi_avg_working_hours": """
-  SELECT client_employee_id, CAST(date_trunc('week', punch_apply_date) AS DATE) AS week,
+  SELECT client_employee_id, date_trunc('week', punch_apply_date) AS week,
          round(avg(hours_worked), 2) AS avg_hours, count(*) AS days_worked
   FROM silver_ts WHERE is_normal_work = 1
   GROUP BY 1, 2

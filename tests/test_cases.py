@@ -125,7 +125,7 @@ def test_headcount_zero_months_and_null_month(spark):
     emp = _emp(spark, [(1, d(2020, 3, 1), None)])
     ts = _ts(spark, [d(2020, 1, 15), d(2020, 3, 2), None])
     out = {r.month: r.active_headcount for r in G.active_headcount(emp, ts).collect()}
-    assert out == {dt.date(2020, 1, 1): 0, dt.date(2020, 3, 1): 1, None: 0}
+    assert out == {dt.datetime(2020, 1, 1): 0, dt.datetime(2020, 3, 1): 1, None: 0}
 
 
 def test_headcount_no_employees_gives_no_rows(spark):
@@ -144,7 +144,7 @@ def test_headcount_same_day_hire_and_termination(spark):
         (3, d(2020, 5, 4, 12), d(2020, 5, 4, 12, 1)),  # hire equal to a time counts
     ])
     out = {r.month: r.active_headcount for r in G.active_headcount(emp, ts).collect()}
-    assert out == {dt.date(2020, 5, 1): 2, dt.date(2020, 6, 1): 0}
+    assert out == {dt.datetime(2020, 5, 1): 2, dt.datetime(2020, 6, 1): 0}
 
 
 def test_no_terminations_two_zero_rows(spark):
@@ -180,7 +180,7 @@ def test_job_runs_and_reruns(spark, tmp_path):
     assert second["gold_rows"] == first["gold_rows"]
     assert snapshot() == before  # a rerun gives the same results
     hc = spark.read.parquet(f"{lake}/gold/kpi_active_headcount").collect()
-    assert [(r.month, r.active_headcount) for r in hc] == [(dt.date(2020, 1, 1), 2)]
+    assert [(r.month, r.active_headcount) for r in hc] == [(dt.datetime(2020, 1, 1), 2)]
 
 
 def test_reads_by_id_and_optional_filters(spark):

@@ -352,7 +352,7 @@ CHANGES = """,
 changes AS (
   SELECT 'insert' AS op, -s_suppkey AS client_employee_id, 'Supplier' AS first_name, s_name AS last_name,
          'SUPPLY' AS department_name, TIMESTAMP '1996-01-01' + to_days(CAST(s_suppkey AS INTEGER)) AS hire_date,
-         1 AS seq
+         CAST(1 AS BIGINT) AS seq
   FROM supplier
   UNION ALL
   SELECT 'update', c_custkey, NULL, NULL, n_name, NULL, 2

@@ -22,14 +22,22 @@ def _id_literal(df: DataFrame, emp_id: str):
     return F.lit(emp_id).try_cast(df.schema[ID].dataType)
 
 
+def _employee_order(df: DataFrame) -> list:
+    """Id, then hire date and names: rows inserted with an existing id get a fixed place."""
+    extra = [c for c in ("hire_date", "last_name", "first_name") if c in df.columns]
+    return [F.col(ID).asc_nulls_last()] + [F.col(c).asc_nulls_last() for c in extra]
+
+
 def employees(silver_emp: DataFrame, limit: int = SERVE_EMPLOYEES) -> DataFrame:
     """A1: the first ``limit`` employees by id."""
-    return silver_emp.orderBy(F.col(ID).asc_nulls_last()).limit(limit)
+    return silver_emp.orderBy(*_employee_order(silver_emp)).limit(limit)
 
 
 def employee(silver_emp: DataFrame, emp_id: str) -> DataFrame:
-    """A2: the employee with this id (first row by id order; empty if not found)."""
-    return silver_emp.where(F.col(ID) == _id_literal(silver_emp, emp_id)).limit(1)
+    """A2: the employee with this id (empty if not found); with several rows for
+    the id (inserts do not check uniqueness) the earliest hired is returned."""
+    rows = silver_emp.where(F.col(ID) == _id_literal(silver_emp, emp_id))
+    return rows.orderBy(*_employee_order(rows)).limit(1)
 
 
 def timesheets(

@@ -32,3 +32,12 @@ def test_timesheet_read_pushes_filters_and_prunes_columns(spark):
     p = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(punch_apply_date), GreaterThanOrEqual(punch_apply_date" in p
     assert "ReadSchema: struct<client_employee_id:bigint,punch_apply_date:timestamp_ntz,punch_in_datetime" in p
+
+
+def test_rolling_report_windows_only_candidates(spark):
+    from shiftlake.plans import gold as G
+
+    p = plan(G.rolling_avg(C.silver_timesheets(spark, SF)))
+    # predecessor search limited map-side, candidates filtered by a broadcast join
+    assert "WindowGroupLimit" in p and "Partial" in p
+    assert "BroadcastHashJoin" in p and "TakeOrderedAndProject" in p

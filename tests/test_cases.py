@@ -256,3 +256,17 @@ def test_one_failing_kpi_does_not_stop_the_others(spark, tmp_path, monkeypatch):
     report = run(spark, str(raw), str(tmp_path / "lake"))
     assert set(report["failures"]) == {"kpi_rolling_avg"} and "boom" in report["failures"]["kpi_rolling_avg"]
     assert set(report["gold_rows"]) == set(G.KPI_NAMES) - {"kpi_rolling_avg"}
+
+
+def test_quoted_cells(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    write(raw / "employee.csv", [
+        EMP_HEADER,
+        '1|"Ann|Marie"|"O""Neil"|"Sales"|2020-01-01||',
+        '2|""|" NA "|Ops|2020-01-01||',
+    ])
+    rows = {r.client_employee_id: r for r in raw_csv.extract_employees(spark, str(raw)).collect()}
+    assert rows["1"].first_name == "Ann|Marie" and rows["1"].last_name == 'O"Neil'
+    assert rows["2"].first_name is None          # quoted empty cell is missing
+    assert rows["2"].last_name == "NA"           # quoted padded token stays text, then stripped

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -28,14 +27,16 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "shiftlake") -> SparkSession:
+def local_session(
+    cores: int = 8, shuffle_partitions: int = 8, app: str = "shiftlake", driver_memory: str = "8g"
+) -> SparkSession:
     """A local session for tests and the benchmark (the UI server stays off)."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.driver.memory", os.environ.get("SHIFTLAKE_DRIVER_MEMORY", "8g"))
+        .config("spark.driver.memory", driver_memory)
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     for key, value in REQUIRED_CONF.items():

@@ -10,9 +10,9 @@ Plan (a sweep, linear in the inputs):
 
 1. Day summary: group the apply dates by calendar day -> (min, max). Only
    days inside the timestamp range exist, so this table has at most ~213k
-   rows whatever the data size; a calendar built from it (one row per day
+   rows whatever the data size. A calendar built from it (one row per day
    between the first and last observed day, plus one on each side) is
-   broadcast with that bound. Both are checkpointed to the shared folder, so
+   broadcast with that bound. It is checkpointed to the shared folder, so
    the timesheets are scanned once and the plan below reads small files.
 2. For an employee let ``lo`` be the first observed date at or after hire and
    ``hi`` the last one before termination. The months in which they count are
@@ -54,22 +54,19 @@ def headcount_by_month(
     checkpoint_root(timesheets.sparkSession)  # reliable checkpoints go to the shared folder
 
     # 1. day summary: one scan of the apply-date column, partial aggregates, one
-    #    small shuffle; written once (bounded by the calendar) and reused below
+    #    small shuffle. The calendar built from it carries the summary columns,
+    #    plus one row with a null day when some apply date is null; it is
+    #    bounded by the timestamp range, written once and reused below.
     days = (
         timesheets.select(d.alias("d"))
         .groupBy(F.col("d").cast("date").alias("day"))
         .agg(F.min("d").alias("dmin"), F.max("d").alias("dmax"))
-        .checkpoint()
     )
-    months = days.select(month_start(F.col("day")).alias("month")).distinct()
-    observed = days.where(F.col("day").isNotNull())
-
-    first_day = _scalar(observed.select(F.min("day")))
-    last_day = _scalar(observed.select(F.max("day")))
+    observed_days = days.where(F.col("day").isNotNull())
     calendar = (
-        observed.agg(F.date_sub(F.min("day"), 1).alias("a"), F.date_add(F.max("day"), 1).alias("b"))
+        observed_days.agg(F.date_sub(F.min("day"), 1).alias("a"), F.date_add(F.max("day"), 1).alias("b"))
         .select(F.explode(F.sequence("a", "b")).alias("day"))
-        .join(observed, "day", "left")
+        .join(observed_days, "day", "left")
         .withColumn(
             "next_min",
             F.min("dmin").over(Window.orderBy("day").rowsBetween(1, Window.unboundedFollowing)),
@@ -78,8 +75,23 @@ def headcount_by_month(
             "prev_max",
             F.max("dmax").over(Window.orderBy("day").rowsBetween(Window.unboundedPreceding, -1)),
         )
+        .unionByName(
+            days.where(F.col("day").isNull()).select(
+                "day", "dmin", "dmax",
+                F.lit(None).cast(days.schema["dmin"].dataType).alias("next_min"),
+                F.lit(None).cast(days.schema["dmax"].dataType).alias("prev_max"),
+            )
+        )
         .checkpoint()
     )
+    observed = calendar.where(F.col("dmin").isNotNull())
+    months = observed.select(month_start(F.col("day")).alias("month")).distinct().unionByName(
+        calendar.where(F.col("day").isNull()).select(F.lit(None).cast("date").alias("month"))
+    )
+    calendar = calendar.where(F.col("day").isNotNull())
+
+    first_day = _scalar(observed.select(F.min("day")))
+    last_day = _scalar(observed.select(F.max("day")))
 
     # 2. one look-up per employee on the hire day and on the termination day
     lo_edge = F.date_sub(first_day, 1)

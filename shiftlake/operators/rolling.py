@@ -53,6 +53,13 @@ def _wkey() -> Column:
     )
 
 
+MAX_BROADCAST_ROWS = 1_000_000  # report sizes up to this are broadcast
+
+
+def _bounded_broadcast(df: DataFrame) -> DataFrame:
+    return F.broadcast(df)
+
+
 def rolling_top(ts: DataFrame, limit: int, rows: int = 30, digits: int = 2, out: str = "rolling_30day_avg") -> DataFrame:
     """The first ``limit`` rows in report order with their rolling averages.
 
@@ -69,8 +76,10 @@ def rolling_top(ts: DataFrame, limit: int, rows: int = 30, digits: int = 2, out:
     """
     base = ts.select(ID, DATE, PIN, INGEST_COL, "hours_worked").withColumn("_w", _wkey())
     top = base.select(ID, DATE, PIN, INGEST_COL, "_w").orderBy(*report_order()).limit(limit)
-    # at most `limit` ids; null ids are an employee too, hence the null-safe joins
-    first_sel = F.broadcast(top.groupBy(F.col(ID).alias("_sid")).agg(F.min("_w").alias("_first")))
+    # at most `limit` ids: broadcast while that bound is small; null ids are an
+    # employee too, hence the null-safe joins
+    small = _bounded_broadcast if limit <= MAX_BROADCAST_ROWS else (lambda df: df)
+    first_sel = small(top.groupBy(F.col(ID).alias("_sid")).agg(F.min("_w").alias("_first")))
     same_emp = F.col(ID).eqNullSafe(F.col("_sid"))
 
     # the rows - 1 rows just before each employee's earliest selected row: a
@@ -82,8 +91,8 @@ def rolling_top(ts: DataFrame, limit: int, rows: int = 30, digits: int = 2, out:
     needed_from = kept.groupBy(F.col(ID).alias("_nid")).agg(F.min("_w").alias("_from"))
 
     # at most `limit` rows each side
-    bounds = F.broadcast(
-        first_sel.join(F.broadcast(needed_from), F.col("_sid").eqNullSafe(F.col("_nid")), "left")
+    bounds = small(
+        first_sel.join(small(needed_from), F.col("_sid").eqNullSafe(F.col("_nid")), "left")
         .select("_sid", F.coalesce("_from", "_first").alias("_start"))
     )
     cand = base.join(bounds, same_emp, "inner").where(F.col("_w") >= F.col("_start"))

@@ -40,3 +40,12 @@ def test_timesheet_counts(spark):
     assert tuple(r) == (49905, 49803, 43875, 47756, 15172, 4733, 1880, 303086.5, 22344, 5007, 13749)
     raw = C.FX.timesheets_raw(spark, SF).count()
     assert raw == 60000
+
+
+def test_grouping_counts(spark):
+    ts = C.silver_timesheets(spark, SF)
+    multi = ts.groupBy("client_employee_id", "punch_apply_date").count().where("count > 1").count()
+    per_emp = ts.groupBy("client_employee_id").count().agg(F.min("count"), F.max("count")).first()
+    weeks = ts.where("is_normal_work = 1").select(
+        "client_employee_id", F.date_trunc("week", "punch_apply_date").alias("w")).distinct().count()
+    assert (multi, tuple(per_emp), weeks) == (13341, (3, 77), 4109)

@@ -136,11 +136,13 @@ GOLD = {
            punch_in_datetime ASC NULLS LAST, k1, k2, k3, k4, k5
   LIMIT 5000""",
     "kpi_early_attrition": """
-  SELECT 'Early Attrition (<90 days)' AS attrition_type, count(*) AS count
-  FROM silver_emp WHERE term_date IS NOT NULL AND (term_date - hire_date) < INTERVAL '90 days'
-  UNION ALL
-  SELECT 'Other Attrition (≥90 days)' AS attrition_type, count(*) AS count
-  FROM silver_emp WHERE term_date IS NOT NULL AND (term_date - hire_date) >= INTERVAL '90 days'""",
+  UNPIVOT (
+    SELECT count(*) FILTER (WHERE date_diff('microsecond', hire_date, term_date) < 90 * 86400000000)
+             AS "Early Attrition (<90 days)",
+           count(*) FILTER (WHERE date_diff('microsecond', hire_date, term_date) >= 90 * 86400000000)
+             AS "Other Attrition (≥90 days)"
+    FROM silver_emp WHERE term_date IS NOT NULL
+  ) ON COLUMNS(*) INTO NAME attrition_type VALUE count""",
 }
 
 

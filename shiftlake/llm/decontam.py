@@ -26,7 +26,9 @@ kept; empty tables give no rows; other columns of the input are left out.
 
 from __future__ import annotations
 
+import functools
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -139,32 +141,43 @@ def _candidates(grams: np.ndarray, bounds: np.ndarray, index: ItemIndex) -> np.n
     return np.unique(np.concatenate(out))
 
 
-def _search(indexes: list[ItemIndex], sets: list[np.ndarray], ids: list, percent: int, schema: pa.Schema):
-    def run(batches):
-        for batch, texts in blocks(batches):
-            words, bounds = hash_words(texts, lower=True)
-            rows = []
-            for index in indexes:
-                ok = inside(bounds, index.width)
-                grams = hash_windows(words, index.width)[ok]
-                before = np.searchsorted(per_text(bounds)[: len(ok)][ok], np.arange(len(texts) + 1))
-                doc, own = -1, None
-                for pair in _candidates(grams, before, index).tolist():
-                    if pair >> 32 != doc:
-                        doc = pair >> 32
-                        own = np.unique(grams[before[doc] : before[doc + 1]])
-                    item = pair & 0xFFFFFFFF
-                    common = len(np.intersect1d(own, sets[item], assume_unique=True))
-                    if 100 * common >= percent * len(sets[item]):
-                        rows.append((doc, item, len(sets[item]), common))
-            if rows:
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("id").take(pa.array([r[0] for r in rows])), pa.array([ids[r[1]] for r in rows], schema.field(1).type),
-                     pa.array([r[2] for r in rows], pa.int64()), pa.array([r[3] for r in rows], pa.int64())],
-                    schema=schema,
-                )
-
-    return run
+@dataclass
+class ItemBlock:
+    """A bounded block of test items, ready to be looked for in texts."""
+
+    indexes: list[ItemIndex]
+    sets: list[np.ndarray]
+    ids: list
+    percent: int
+
+    def find(self, texts: list[bytes]) -> list[tuple[int, int, int]]:
+        """(number of the text, number of the item, common shingles) of all contained items."""
+        words, bounds = hash_words(texts, lower=True)
+        rows = []
+        for index in self.indexes:
+            ok = inside(bounds, index.width)
+            grams = hash_windows(words, index.width)[ok]
+            before = np.searchsorted(per_text(bounds)[: len(ok)][ok], np.arange(len(texts) + 1))
+            doc, own = -1, None
+            for pair in _candidates(grams, before, index).tolist():
+                if pair >> 32 != doc:
+                    doc = pair >> 32
+                    own = np.unique(grams[before[doc] : before[doc + 1]])
+                item = pair & 0xFFFFFFFF
+                common = len(np.intersect1d(own, self.sets[item], assume_unique=True))
+                if 100 * common >= self.percent * len(self.sets[item]):
+                    rows.append((doc, item, common))
+        return rows
+
+
+def item_blocks(items: DataFrame, item_id: str, item_text: str, width: int, percent: int, block_items: int) -> Iterator[ItemBlock]:
+    """All items in blocks of about ``block_items`` (dealt by a hash)."""
+    query = items.select(F.col(item_id).alias("id"), F.col(item_text).cast("string").alias("text"))
+    n_blocks = max(1, -(-query.count() // block_items))
+    for b in range(n_blocks):
+        held = query.where(F.pmod(F.xxhash64("id", "text"), F.lit(n_blocks)) == b).toArrow()
+        indexes, sets = item_indexes(text_bytes(held.column("text").combine_chunks()), width, percent)
+        yield ItemBlock(indexes, sets, held.column("id").to_pylist(), percent)
 
 
 def contained_items(
@@ -174,28 +187,46 @@ def contained_items(
     """Rows (document id, item id, n_shingles of the item, n_common): the document holds ``percent`` of the item's shingles."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    spark = docs.sparkSession
-    bounded_batches(spark)
-    names = [id_col, item_id if item_id != id_col else f"item_{item_id}"]
+    bounded_batches(docs.sparkSession)
     rows = T.StructType([
-        T.StructField(names[0], docs.schema[id_col].dataType), T.StructField(names[1], items.schema[item_id].dataType),
+        T.StructField(id_col, docs.schema[id_col].dataType), T.StructField(item_id if item_id != id_col else f"item_{item_id}", items.schema[item_id].dataType),
         T.StructField("n_shingles", T.LongType()), T.StructField("n_common", T.LongType()),
     ])
-    query = items.select(F.col(item_id).alias("id"), F.col(item_text).cast("string").alias("text"))
-    total = query.count()
-    n_blocks = max(1, -(-total // block_items))  # hashed evenly, so of about block_items each
+    schema = to_arrow_schema(rows)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    found = spark.createDataFrame([], rows)
-    for b in range(n_blocks):
-        part = query if n_blocks == 1 else query.where(F.pmod(F.xxhash64("id", "text"), F.lit(n_blocks)) == b)
-        held = part.toArrow()
-        indexes, sets = item_indexes(text_bytes(held.column("text").combine_chunks()), width, percent)
-        run = _search(indexes, sets, held.column("id").to_pylist(), percent, to_arrow_schema(rows))
-        found = texts.mapInArrow(run, rows) if n_blocks == 1 else found.union(texts.mapInArrow(run, rows))
-    return found
 
+    def search(block: ItemBlock):
+        def run(batches):
+            for batch, own in blocks(batches):
+                if found := block.find(own):
+                    yield pa.RecordBatch.from_arrays([
+                        batch.column("id").take(pa.array([d for d, _, _ in found])), pa.array([block.ids[i] for _, i, _ in found], schema.field(1).type),
+                        pa.array([len(block.sets[i]) for _, i, _ in found], pa.int64()), pa.array([n for _, _, n in found], pa.int64()),
+                    ], schema=schema)
+
+        return texts.mapInArrow(run, rows)
+
+    return functools.reduce(DataFrame.union, [search(b) for b in item_blocks(items, item_id, item_text, width, percent, block_items)])
 
-def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The documents (all columns) that hold no test item; rows without an id are kept."""
-    hit = contained_items(docs, items, id_col, **options).select(F.col(id_col).alias("_hit")).distinct()
-    return docs.join(hit, docs[id_col] == hit["_hit"], "left_anti")
+
+def decontaminate(
+    docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text",
+    width: int = 5, percent: int = 80, block_items: int = BLOCK_ITEMS,
+) -> DataFrame:
+    """The documents (all columns) that hold no test item."""
+    bounded_batches(docs.sparkSession)
+
+    def holds(block: ItemBlock) -> F.Column:
+        def run(column: pa.Array) -> pa.Array:
+            out = [np.empty(0, bool)]
+            for _, own in blocks([pa.RecordBatch.from_arrays([column], names=["text"])]):
+                hit = np.zeros(len(own), bool)
+                hit[[d for d, _, _ in block.find(own)]] = True
+                out.append(hit)
+            return pa.array(np.concatenate(out))
+
+        return F.arrow_udf(run, "boolean")(F.col(text_col).cast("string"))
+
+    for block in item_blocks(items, item_id, item_text, width, percent, block_items):
+        docs = docs.where(~holds(block))
+    return docs

@@ -126,15 +126,11 @@ def sample_labelled(docs: DataFrame, labels: DataFrame, label: str, id_col: str,
     return text.join(F.broadcast(chosen), "id").dropDuplicates(["id"])  # bounded by max_rows
 
 
-def score_texts(docs: DataFrame, id_col: str, text_col: str, scorer) -> DataFrame:
-    """(id, score) of every row; ``scorer``: list of texts -> scores."""
-    from pyspark.sql import types as T
+def score_column(text: F.Column, scorer) -> F.Column:
+    """Score of a text column; ``scorer``: list of texts (bytes) -> scores. Texts are taken in bounded blocks."""
 
-    bounded_batches(docs.sparkSession)
+    def run(column: pa.Array) -> pa.Array:
+        batch = pa.RecordBatch.from_arrays([column], names=["text"])
+        return pa.array(np.concatenate([np.empty(0), *(scorer(texts) for _, texts in blocks([batch]))]), pa.float64())
 
-    def run(batches):
-        for batch, texts in blocks(batches):
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(scorer(texts), pa.float64())], names=[id_col, "score"])
-
-    rows = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("score", T.DoubleType())])
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, rows)
+    return F.arrow_udf(run, "double")(text.cast("string"))

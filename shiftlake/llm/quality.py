@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shiftlake.llm.common import blocks, bounded_batches
-from shiftlake.llm.linear import BITS, Example, Ftrl, features, sample_labelled, score_texts, sigmoid, tokens
+from shiftlake.llm.linear import BITS, Example, Ftrl, features, sample_labelled, score_column, sigmoid, tokens
 
 #: Labelled texts that training takes, about.
 MAX_ROWS = 6000
@@ -58,8 +58,8 @@ def train_quality(
     return Ftrl(alpha=0.5, l1=0.02, l2=0.02, epochs=6).fit(rows).model()
 
 
-def score_quality(docs: DataFrame, model: tuple[np.ndarray, float], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, score): the probability that the label is 1."""
+def quality_score(text: F.Column, model: tuple[np.ndarray, float]) -> F.Column:
+    """The probability that the label is 1, for a text column."""
     weights, bias = model
 
     def scorer(texts: list[bytes]) -> np.ndarray:
@@ -68,4 +68,4 @@ def score_quality(docs: DataFrame, model: tuple[np.ndarray, float], id_col: str
         size = np.maximum(np.bincount(doc, minlength=len(texts)), 1)
         return sigmoid(bias + SCALE * np.bincount(doc, weights=weights[index], minlength=len(texts)) / size)
 
-    return score_texts(docs, id_col, text_col, scorer)
+    return score_column(text, scorer)

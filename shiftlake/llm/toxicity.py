@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shiftlake.llm.common import blocks, bounded_batches
-from shiftlake.llm.linear import BITS, Example, Ftrl, features, sample_labelled, score_texts, sigmoid, tokens
+from shiftlake.llm.linear import BITS, Example, Ftrl, features, sample_labelled, score_column, sigmoid, tokens
 
 MAX_ROWS = 12000
 PARITY = 1.0
@@ -81,8 +81,8 @@ def train_toxicity(
     return Ftrl(alpha=0.5, l1=6.0, l2=0.05, epochs=6, parity=parity).fit(rows).model()
 
 
-def score_toxicity(docs: DataFrame, model: tuple[np.ndarray, float], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, score): the probability that the label is 1."""
+def toxicity_score(text: F.Column, model: tuple[np.ndarray, float]) -> F.Column:
+    """The probability that the label is 1, for a text column."""
     weights, bias = model
 
     def scorer(texts: list[bytes]) -> np.ndarray:
@@ -92,4 +92,4 @@ def score_toxicity(docs: DataFrame, model: tuple[np.ndarray, float], id_col: str
         code = np.unique((doc[weighty].astype(np.int64) << BITS) | index[weighty])
         return sigmoid(bias + np.bincount(code >> BITS, weights=weights[code & ((1 << BITS) - 1)], minlength=len(texts)))
 
-    return score_texts(docs, id_col, text_col, scorer)
+    return score_column(text, scorer)

@@ -11,13 +11,15 @@ Plan: documents with equal sets form a class, represented by its smallest
 doc_id, so exact copies never become pairs. In a band bucket every member is
 first compared with the bucket's smallest id only. Components are then found;
 in buckets that still hold several components, pivots of each component are
-compared with the members of the others, in rounds with twice as many pivots
-each, until every pair of different components was compared. So no link
+compared with the members of the others, in rounds with eight times as many
+pivots each, until every pair of different components was compared. So no link
 between candidates is lost, and a bucket of near copies costs one comparison a
-member. With 32 bands of 4 rows a pair at similarity 0.8 shares no band with
-probability 5e-8.
+member. Sets are fetched for pairs only whose sketches (the lowest four bits of
+256 coordinates) agree often enough. With 48 bands of 6 rows a pair at
+similarity 0.8 shares no band with probability 5e-7, and its sketches agree too
+rarely with a probability of the same order.
 
-Scale: shuffled are 32 short rows a class, the texts once (to fetch the sets
+Scale: shuffled are 48 short rows a class, the texts once (to fetch the sets
 of candidates) and the candidates' sets. Group statistics are partially
 aggregated before the shuffle; joins on a hot class, bucket or pivot are plain
 sort-merge joins, which adaptive execution splits. Every round starts from
@@ -42,13 +44,16 @@ from pyspark.sql.window import Window
 
 from shiftlake.llm.common import U64, Scratch, blocks, hash_windows, hash_words, inside, mix, per_text
 
-BANDS, ROWS = 32, 4
+BANDS, ROWS = 48, 6
 COORDINATES = BANDS * ROWS
 POSITION_BITS = 20
 POSITIONS = 1 << POSITION_BITS
 SEED = 20240607
 #: Shingles whose coordinates are gathered at a time.
-STEP = 8192
+STEP = 4096
+#: Longs of a sketch; each holds four bits of 16 coordinates.
+SKETCH = 16
+PIVOTS = 16
 
 
 @functools.lru_cache(maxsize=1)
@@ -102,18 +107,38 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
     return key
 
 
+def sketches(signature: np.ndarray) -> np.ndarray:
+    """The lowest four bits of the first coordinates, 16 in each long."""
+    part = (signature[:, : 16 * SKETCH].astype(U64) & U64(15)).reshape(len(signature), SKETCH, 16)
+    return (part << (U64(4) * np.arange(16, dtype=U64))).sum(axis=2, dtype=U64)
+
+
+def _alike(x: str, y: str, percent: int) -> F.Column:
+    """Whether two sketches agree as often as a pair at the threshold does, less five standard deviations."""
+    n, ones = 16 * SKETCH, 0x1111111111111111
+    agree = percent / 100 + (1 - percent / 100) / 16
+    least = n * agree - 5 * (n * agree * (1 - agree)) ** 0.5
+    differ = F.lit(0)
+    for k in range(SKETCH):
+        d = F.col(x)[k].bitwiseXOR(F.col(y)[k])
+        any_bit = d.bitwiseOR(F.shiftrightunsigned(d, 1)).bitwiseOR(F.shiftrightunsigned(d, 2)).bitwiseOR(F.shiftrightunsigned(d, 3))
+        differ = differ + F.bit_count(any_bit.bitwiseAND(F.lit(ones)))
+    return differ <= n - least
+
+
 def _sign(width: int):
     def run(batches):
         for batch, texts in blocks(batches):
             grams, bounds = shingle_sets(texts, width)
             n = np.diff(bounds)
-            keys = band_keys(signatures(grams, bounds)).view(np.int64)
+            signed = signatures(grams, bounds)
+            keys, short = band_keys(signed).view(np.int64), sketches(signed).view(np.int64)
             sums = [np.concatenate(([0], np.cumsum(mix(grams + U64(add))))).astype(U64) for add in (17, 91)]
             prints = [(s[bounds[1:]] - s[bounds[:-1]]).view(np.int64) for s in sums]
-            bands = pa.ListArray.from_arrays(np.arange(0, keys.size + 1, BANDS, dtype=np.int32), keys.ravel())
+            bands, sketch = (pa.ListArray.from_arrays(np.arange(0, x.size + 1, x.shape[1], dtype=np.int32), x.ravel()) for x in (keys, short))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text_key"), pa.array(n, pa.int64()), pa.array(prints[0]), pa.array(prints[1]), bands],
-                names=["doc_id", "text_key", "n", "f1", "f2", "bands"],
+                [batch.column("doc_id"), batch.column("text_key"), pa.array(n, pa.int64()), pa.array(prints[0]), pa.array(prints[1]), bands, sketch],
+                names=["doc_id", "text_key", "n", "f1", "f2", "bands", "sketch"],
             )
 
     return run
@@ -170,11 +195,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     scratch = Scratch(docs.sparkSession, "neardup")
     text = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).withColumn("text_key", F.xxhash64("text"))
-    signed = scratch.save(text.mapInArrow(_sign(width), "doc_id long, text_key long, n long, f1 long, f2 long, bands array<long>"), "signed")
+    signed = scratch.save(text.mapInArrow(_sign(width), "doc_id long, text_key long, n long, f1 long, f2 long, bands array<long>, sketch array<long>"), "signed")
 
     real = signed.where("n > 0 and doc_id is not null")
-    classes = real.groupBy("n", "f1", "f2").agg(F.min(F.struct("doc_id", "text_key", "bands")).alias("r"))
-    classes = scratch.save(classes.select("n", "f1", "f2", F.col("r.doc_id").alias("node"), "r.text_key", "r.bands"), "classes")
+    classes = real.groupBy("n", "f1", "f2").agg(F.min(F.struct("doc_id", "text_key", "bands", "sketch")).alias("r"))
+    classes = scratch.save(classes.select("n", "f1", "f2", F.col("r.doc_id").alias("node"), "r.text_key", "r.bands", "r.sketch"), "classes")
 
     banded = classes.select("node", "n", F.explode("bands").alias("bucket"))
     hubs = banded.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("top")).where("hub != top").drop("top")
@@ -193,9 +218,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def like(x: str, y: str) -> F.Column:
         return F.least(x, y) * 100 >= F.greatest(x, y) * percent
 
-    size = members.groupBy("node").agg(F.first("n").alias("n"))
-    first = members.where("node != hub").select(F.col("hub").alias("a"), F.col("node").alias("b"), F.col("n").alias("nb")).distinct()
-    first = first.join(size.select(F.col("node").alias("a"), F.col("n").alias("na")), "a").where(like("na", "nb")).select("a", "b")
+    first = members.where("node != hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+    for c in "ab":
+        first = first.join(classes.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"s{c}")), c)
+    first = first.where(like("na", "nb") & _alike("sa", "sb", percent)).select("a", "b")
     tested, edges = linked(first, 0)
     groups = scratch.save(components(edges, scratch, "stars-0"), "groups-0")
 
@@ -204,16 +230,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     while True:
         own = members.join(groups, "node", "left").select("bucket", "node", "n", F.coalesce("component", "node").alias("component"))
         mixed = own.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("bucket")
-        own = scratch.save(own.join(mixed, "bucket"), f"own-{turn}")
+        own = own.join(mixed, "bucket").join(classes.select("node", "sketch"), "node")
+        own = scratch.save(own, f"own-{turn}")
         left = own if served is None else own.join(served, ["bucket", "node"], "left_anti")
-        pivots = left.groupBy("bucket", "component").agg(F.min(F.struct("node", "n")).alias("p"))
+        pivots = left.groupBy("bucket", "component").agg(F.min(F.struct("node", "n", "sketch")).alias("p"))
         order = Window.partitionBy("bucket").orderBy("p.node")
-        pivots = pivots.withColumn("k", F.row_number().over(order)).where(F.col("k") <= 2 << turn)
-        pivots = scratch.save(pivots.select("bucket", F.col("component").alias("pc"), F.col("p.node").alias("pivot"), F.col("p.n").alias("pn")), f"pivots-{turn}")
+        pivots = pivots.withColumn("k", F.row_number().over(order)).where(F.col("k") <= PIVOTS * 8 ** (turn - 1))
+        pivots = scratch.save(pivots.select("bucket", F.col("component").alias("pc"), F.col("p.node").alias("pivot"), F.col("p.n").alias("pn"), F.col("p.sketch").alias("ps")), f"pivots-{turn}")
         # a bucket is done when all that is unserved lies in one component
         if pivots.groupBy("bucket").agg(F.min("pc").alias("lo"), F.max("pc").alias("hi")).where("lo != hi").isEmpty():
             break
-        pairs = own.join(pivots, "bucket").where((F.col("component") != F.col("pc")) & like("n", "pn"))
+        pairs = own.join(pivots, "bucket").where((F.col("component") != F.col("pc")) & like("n", "pn") & _alike("sketch", "ps", percent))
         pairs = pairs.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
         pairs, links = linked(pairs.join(tested, ["a", "b"], "left_anti"), turn)
         tested = tested.union(pairs)
@@ -221,6 +248,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         served = now if served is None else served.union(now)
         stars = groups.where("node != component").select(F.col("node").alias("a"), F.col("component").alias("b"))
         groups = scratch.save(components(stars.union(links), scratch, f"stars-{turn}"), f"groups-{turn}")
+        scratch.drop(f"own-{turn}")
         turn += 1
 
     named = classes.select("n", "f1", "f2", "node").join(groups, "node", "left")

@@ -2,13 +2,14 @@
 
 A change table has columns ``(op, client_employee_id, first_name, last_name,
 department_name, hire_date, seq)`` with ``op`` in insert / update / delete.
-Every function returns a new DataFrame; the job writes it to a new
-folder and swaps, so a failed job never leaves a half-changed table.
+A batch has the effect of its changes applied one after another: by ``seq``
+(a missing one first), then delete before insert before update, then by the
+values. ``plans/job.apply_changes`` writes the result as a new version.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiftlake.operators.silver import with_is_active, with_tenure_days
@@ -30,12 +31,7 @@ def insert(silver: DataFrame, changes: DataFrame, params: Params = DEFAULT) -> D
     """M1: append the inserted employees (five fields, the rest null); no uniqueness
     check. The hire date is stored as ``hire_date`` and the derived columns are
     computed for the new rows."""
-    new = changes.where(F.col("op") == "insert").select(
-        ID, "first_name", "last_name", "department_name", F.col("hire_date").cast("timestamp_ntz").alias("hire_date")
-    )
-    new = new.withColumn("term_date", F.lit(None).cast("timestamp_ntz"))
-    new = with_tenure_days(with_is_active(new), params)
-    return silver.unionByName(new, allowMissingColumns=True)
+    return silver.unionByName(_inserted(changes, params).drop("_born"), allowMissingColumns=True)
 
 
 def reduce_or(conds):
@@ -50,21 +46,33 @@ def _updates(changes: DataFrame) -> DataFrame:
     return changes.where((F.col("op") == "update") & reduce_or([F.col(c).isNotNull() for c in UPDATABLE]))
 
 
+def _place() -> Column:
+    """A change's place in the replay order, as one comparable value."""
+    return F.struct("seq", "op", "first_name", "last_name", "department_name", "hire_date")
+
+
+def _summary(changes: DataFrame) -> DataFrame:
+    """Per id: the last delete's place, and for each field the last value set, with its place.
+
+    Aggregates that are combined map-side, so an id changed very often costs
+    no single large task.
+    """
+    place = _place()
+    is_update = F.col("op") == "update"
+    return changes.where(F.col(ID).isNotNull()).groupBy(F.col(ID).alias("_id")).agg(
+        F.max(F.when(F.col("op") == "delete", place)).alias("_deleted"),
+        *[F.max(F.when(is_update & F.col(c).isNotNull(), F.struct(place.alias("at"), F.col(c).alias("v")))).alias(f"_set_{c}") for c in UPDATABLE],
+    )
+
+
 def update(silver: DataFrame, changes: DataFrame) -> DataFrame:
-    """M2: set the supplied (non-null) fields of existing ids.
+    """M2: every field as the last update that sets it left it, for existing ids.
 
-    The update side is cut to one row per id (the last by ``seq``) and joins by
-    id; a hash join, not a broadcast, as its size follows the batch.
+    The batch is cut to one row per id and joins by hash, as its size follows
+    the batch.
     """
-    ups = last_per_id(_updates(changes)).select(ID, *[F.col(c).alias(f"_new_{c}") for c in UPDATABLE])
-    joined = silver.join(ups, ID, "left")
-    cols = []
-    for c in silver.columns:
-        if c in UPDATABLE:
-            cols.append(F.coalesce(F.col(f"_new_{c}"), F.col(c)).alias(c))
-        else:
-            cols.append(F.col(c))
-    return joined.select(*cols)
+    joined = silver.join(_summary(_updates(changes)), F.col(ID) == F.col("_id"), "left")
+    return joined.select(*[F.coalesce(F.col(f"_set_{c}.v"), F.col(c)).alias(c) if c in UPDATABLE else F.col(c) for c in silver.columns])
 
 
 def delete(silver: DataFrame, changes: DataFrame) -> DataFrame:
@@ -74,35 +82,41 @@ def delete(silver: DataFrame, changes: DataFrame) -> DataFrame:
 
 
 def rejects(silver: DataFrame, changes: DataFrame) -> DataFrame:
-    """Changes that cannot apply: update or delete of an unknown id, or an
-    update with no field (the 404 / 400 answers of a row-at-a-time service)."""
-    known = _ids(silver)
-    upd_del = changes.where(F.col("op").isin("update", "delete"))
-    unknown = upd_del.join(known, ID, "left_anti").withColumn("reason", F.lit("not found"))
-    empty = (
-        changes.where(F.col("op") == "update")
-        .where(~reduce_or([F.col(c).isNotNull() for c in UPDATABLE]))
-        .join(known, ID, "left_semi")
-        .withColumn("reason", F.lit("no fields to update"))
+    """Changes that cannot apply: an update or delete of an id that does not exist
+    at its turn, or an update with no field (the 404 / 400 answers of a
+    row-at-a-time service)."""
+    before = Window.partitionBy(ID).orderBy(_place()).rowsBetween(Window.unboundedPreceding, -1)
+    last = {op: F.max(F.when(F.col("op") == op, _place())).over(before) for op in ("delete", "insert")}
+    known = _ids(silver).withColumn("_known", F.lit(True))
+    judged = changes.withColumn("_del", last["delete"]).withColumn("_ins", last["insert"]).join(known, ID, "left")
+    there = F.when(F.col("_del").isNull(), F.col("_known").isNotNull() | F.col("_ins").isNotNull()).otherwise(
+        F.col("_ins").isNotNull() & F.coalesce(F.col("_ins") > F.col("_del"), F.lit(False))
+    ) & F.col(ID).isNotNull()
+    empty = (F.col("op") == "update") & ~reduce_or([F.col(c).isNotNull() for c in UPDATABLE])
+    reason = F.when(~there, "not found").when(empty, "no fields to update")
+    out = judged.where(F.col("op").isin("update", "delete")).withColumn("reason", reason).where(F.col("reason").isNotNull())
+    return out.select(*changes.columns, "reason")
+
+
+def _inserted(changes: DataFrame, params: Params) -> DataFrame:
+    """The inserted rows (the fields a change has, derived columns, the rest missing) with their places."""
+    rows = changes.where(F.col("op") == "insert").select(
+        ID, "first_name", "last_name", "department_name", F.col("hire_date").cast("timestamp_ntz").alias("hire_date"), _place().alias("_born")
     )
-    return unknown.unionByName(empty)
-
-
-def last_per_id(changes: DataFrame) -> DataFrame:
-    """The change with the highest ``seq`` per id (insert, update or delete).
-
-    An aggregate with ``max_by``: combined map-side, so an id changed very
-    often costs no single large task.
-    """
-    row = F.struct(*[F.col(c) for c in changes.columns if c != ID])
-    last = changes.groupBy(ID).agg(F.max_by(row, F.col("seq")).alias("_c")).select(ID, "_c.*")
-    return last.select(*changes.columns)
+    rows = rows.withColumn("term_date", F.lit(None).cast("timestamp_ntz"))
+    return with_tenure_days(with_is_active(rows), params)
 
 
 def apply(silver: DataFrame, changes: DataFrame, params: Params = DEFAULT) -> DataFrame:
-    """M4: the whole batch. Per id only its last change applies, so the deletes,
-    updates and inserts touch disjoint ids and their order does not matter."""
-    batch = last_per_id(changes)
-    out = delete(silver, batch)
-    out = update(out, batch)
-    return insert(out, batch, params)
+    """M4: the whole batch in order. A row that exists from the start lives on if
+    its id is never deleted, an inserted one if its id isn't deleted later; of
+    the fields set, those count that were set after the row's insert."""
+    per_id = _summary(changes)
+    new = _inserted(changes, params)
+    rows = silver.withColumn("_born", F.lit(None).cast(new.schema["_born"].dataType)).unionByName(new, allowMissingColumns=True)
+    joined = rows.join(per_id, F.col(ID) == F.col("_id"), "left")
+    later = lambda at: at.isNotNull() & (F.col("_born").isNull() | (at > F.col("_born")))
+    alive = joined.where(~F.coalesce(later(F.col("_deleted")), F.lit(False)))
+    return alive.select(*[
+        F.when(later(F.col(f"_set_{c}.at")), F.col(f"_set_{c}.v")).otherwise(F.col(c)).alias(c) if c in UPDATABLE else F.col(c) for c in silver.columns
+    ])

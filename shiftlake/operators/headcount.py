@@ -69,7 +69,8 @@ def headcount_by_month(
         .join(observed_days, "day", "left")
         .withColumn(
             "next_min",
-            F.min("dmin").over(Window.orderBy("day").rowsBetween(1, Window.unboundedFollowing)),
+            # the days after, as a running frame over the reverse order (a following frame is recomputed for every row)
+            F.min("dmin").over(Window.orderBy(F.col("day").desc()).rowsBetween(Window.unboundedPreceding, -1)),
         )
         .withColumn(
             "prev_max",

@@ -53,13 +53,6 @@ def _wkey() -> Column:
     )
 
 
-MAX_BROADCAST_ROWS = 1_000_000  # report sizes up to this are broadcast
-
-
-def _bounded_broadcast(df: DataFrame) -> DataFrame:
-    return F.broadcast(df)
-
-
 def rolling_top(ts: DataFrame, limit: int, rows: int = 30, digits: int = 2, out: str = "rolling_30day_avg") -> DataFrame:
     """The first ``limit`` rows in report order with their rolling averages.
 
@@ -67,19 +60,26 @@ def rolling_top(ts: DataFrame, limit: int, rows: int = 30, digits: int = 2, out:
     need: the selected rows and, per selected employee, the ``rows - 1``
     predecessors of its earliest selected row.
 
-    1. top-k of the report order (per-split top-k, no shuffle of the table);
-    2. per selected employee (at most ``limit`` ids, broadcast) the earliest
-       selected position and its ``rows - 1`` predecessors (a per-employee
-       top-k, limited map-side);
-    3. the window over those candidate rows (at most ``limit * rows`` plus the
-       later rows of the selected employees), then the same top-k.
+    1. rows per day (one small aggregate) give the cut-off: the latest day from
+       which on there are ``limit`` rows; only rows from that day on are ordered
+       for the top-k (the filter reaches the Parquet scan);
+    2. per selected employee (at most ``limit`` ids) the earliest and latest
+       selected position and the ``rows - 1`` predecessors of the earliest (a
+       per-employee top-k, limited map-side);
+    3. the window over those candidate rows (between both positions, and the
+       predecessors), then the same top-k.
     """
     base = ts.select(ID, DATE, PIN, INGEST_COL, "hours_worked").withColumn("_w", _wkey())
-    top = base.select(ID, DATE, PIN, INGEST_COL, "_w").orderBy(*report_order()).limit(limit)
-    # at most `limit` ids: broadcast while that bound is small; null ids are an
-    # employee too, hence the null-safe joins
-    small = _bounded_broadcast if limit <= MAX_BROADCAST_ROWS else (lambda df: df)
-    first_sel = small(top.groupBy(F.col(ID).alias("_sid")).agg(F.min("_w").alias("_first")))
+    days = ts.where(F.col(DATE).isNotNull()).groupBy(F.col(DATE).cast("date").alias("day")).count()
+    from_day = F.sum("count").over(Window.orderBy(F.col("day").desc()))  # as many rows as days
+    cut = days.withColumn("rows", from_day).where(F.col("rows") >= limit).agg(F.max("day")).scalar()
+    kind = ts.schema[DATE].dataType
+    late = base.where(F.col(DATE) >= F.coalesce(cut, F.lit("0001-01-01").cast("date")).cast(kind))
+    undated = base.where(F.col(DATE).isNull() & cut.isNull())  # wanted only if there are fewer dated rows
+    top = late.unionByName(undated).select(ID, DATE, PIN, INGEST_COL, "_w").orderBy(*report_order()).limit(limit)
+    # null ids are an employee too, hence the null-safe joins
+    first_sel = F.broadcast(  # at most ``limit`` rows, as are the bounds below
+        top.groupBy(F.col(ID).alias("_sid")).agg(F.min("_w").alias("_first"), F.max("_w").alias("_last")))
     same_emp = F.col(ID).eqNullSafe(F.col("_sid"))
 
     # the rows - 1 rows just before each employee's earliest selected row: a
@@ -90,12 +90,10 @@ def rolling_top(ts: DataFrame, limit: int, rows: int = 30, digits: int = 2, out:
     kept = older.withColumn("_rk", F.row_number().over(back)).where(F.col("_rk") <= rows - 1)
     needed_from = kept.groupBy(F.col(ID).alias("_nid")).agg(F.min("_w").alias("_from"))
 
-    # at most `limit` rows each side
-    bounds = small(
-        first_sel.join(small(needed_from), F.col("_sid").eqNullSafe(F.col("_nid")), "left")
-        .select("_sid", F.coalesce("_from", "_first").alias("_start"))
-    )
-    cand = base.join(bounds, same_emp, "inner").where(F.col("_w") >= F.col("_start"))
+    bounds = F.broadcast(first_sel.join(needed_from, F.col("_sid").eqNullSafe(F.col("_nid")), "left").select(
+        "_sid", F.coalesce("_from", "_first").alias("_start"), "_last"
+    ))
+    cand = base.join(bounds, same_emp, "inner").where(F.col("_w").between(F.col("_start"), F.col("_last")))
     avg = round_half_away(F.avg("hours_worked").over(rolling_window(rows)), digits)
     scored = cand.select(ID, DATE, PIN, INGEST_COL, avg.alias(out))
     return scored.orderBy(*report_order()).limit(limit)

@@ -50,12 +50,7 @@ OTHER_ATTRITION_LABEL = "Other Attrition (≥90 days)"
 VAR_EARLY_LABEL = "Early Attrition"
 VAR_OTHER_LABEL = "Other"
 
-# Result limits of gold KPIs, serving reads and chart datasets.
-LIMIT_WEEKLY_HOURS = 1000
-LIMIT_LATE = 100
-LIMIT_EARLY = 100
-LIMIT_OVERTIME = 100
-LIMIT_ROLLING = 5000
+# Result limits of serving reads and chart datasets (those of the reports are fields of ``Params``).
 SERVE_MONTHS = 12
 SERVE_TOP = 20
 SERVE_ROLLING = 50
@@ -85,11 +80,15 @@ INGEST_COL = "_ingest"  # struct giving the original row order (file order)
 DEFAULT_TS_FORMATS = ("yyyy-MM-dd[['T'][ ]HH:mm[:ss][.SSSSSS]]",)
 
 
+def _today() -> _dt.datetime:
+    return _dt.datetime.combine(_dt.date.today(), _dt.time())
+
+
 @dataclass(frozen=True)
 class Params:
     """Knobs of one job run."""
 
-    as_of: _dt.datetime = _dt.datetime(2002, 1, 1)  # replaces "today at midnight"
+    as_of: _dt.datetime = field(default_factory=_today)  # end of tenure of those still employed
     grace_minutes: float = 5.0
     normal_min_hours: float = 7.5
     normal_max_hours: float = 8.5
@@ -100,6 +99,12 @@ class Params:
     var_early_months: int = 3
     ts_formats: tuple = field(default=DEFAULT_TS_FORMATS)
     sample_seed: str = "42"
+    # rows of the top reports
+    limit_weekly_hours: int = 1000
+    limit_late: int = 100
+    limit_early: int = 100
+    limit_overtime: int = 100
+    limit_rolling: int = 5000
 
 
 DEFAULT = Params()

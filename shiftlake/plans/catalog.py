@@ -18,7 +18,7 @@ import threading
 from shiftlake.functions.exprs import null_tokens, strip_all
 from shiftlake.operators import changes as CG
 from shiftlake.operators import silver as S
-from shiftlake.params import DEFAULT, INGEST_COL
+from shiftlake.params import INGEST_COL, Params
 from shiftlake.plans import charts as CH
 from shiftlake.plans import gold as G
 from shiftlake.plans import job
@@ -30,6 +30,9 @@ from shiftlake.sources import fixture_files, raw_csv
 from shiftlake.sources import fixtures as FX
 from shiftlake.sources.lake import Lake, read_silver_timesheets, write_silver_employees, write_silver_timesheets
 
+#: The driver tables end in 2001: tenure runs to the day after.
+FIXTURE = Params(as_of=dt.datetime(2002, 1, 1))
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -52,13 +55,13 @@ def register(name: str):
 def silver_employees_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver employees computed from the driver tables in the query plan."""
     configure(spark)
-    return S.transform_employees(FX.employees_raw(spark, sf_dir), DEFAULT)
+    return S.transform_employees(FX.employees_raw(spark, sf_dir), FIXTURE)
 
 
 def silver_timesheets_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver timesheets computed from the driver tables in the query plan."""
     configure(spark)
-    return S.transform_timesheets(FX.timesheets_raw(spark, sf_dir), DEFAULT)
+    return S.transform_timesheets(FX.timesheets_raw(spark, sf_dir), FIXTURE)
 
 
 _SILVER: dict = {}
@@ -69,7 +72,7 @@ def _silver_written(spark: SparkSession, sf_dir: str) -> Lake:
     """The fixture silver written once per session and input folder, as the job
     writes it; the KPI, read, chart, variant and change queries read it, as the
     gold layer reads the written silver layer."""
-    key = (id(spark.sparkContext), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     with _LOCK:
         if key not in _SILVER:
             lake = Lake(scratch_path(spark, "fixture-lake"))
@@ -102,7 +105,7 @@ def q_emp_dedup_first(spark, sf_dir):
 def q_emp_coerce_dates(spark, sf_dir):
     configure(spark)
     emp = S.dedup_employees(FX.employees_raw(spark, sf_dir))
-    return S.coerce_employee_dates(emp, DEFAULT).select(*EMP_COLS)
+    return S.coerce_employee_dates(emp, FIXTURE).select(*EMP_COLS)
 
 
 @register("emp_is_active")
@@ -133,7 +136,7 @@ def q_ts_dedup_first(spark, sf_dir):
 def q_ts_coerce(spark, sf_dir):
     configure(spark)
     ts = S.dedup_timesheets(FX.timesheets_raw(spark, sf_dir))
-    return S.coerce_timesheet_datetimes(ts, DEFAULT).select(*TS_RAW_COLS)
+    return S.coerce_timesheet_datetimes(ts, FIXTURE).select(*TS_RAW_COLS)
 
 
 def _flag_query(col: str) -> Query:
@@ -160,15 +163,15 @@ def gold(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     emp = silver_employees(spark, sf_dir)
     ts = silver_timesheets(spark, sf_dir)
     builders = {
-        "kpi_active_headcount": lambda: G.active_headcount(emp, ts, DEFAULT),
-        "kpi_turnover_trend": lambda: G.turnover_trend(emp, DEFAULT),
-        "kpi_avg_tenure": lambda: G.avg_tenure(emp, DEFAULT),
-        "kpi_avg_working_hours": lambda: G.avg_working_hours(ts, DEFAULT),
-        "kpi_late_arrivals": lambda: G.late_arrivals(ts, DEFAULT),
-        "kpi_early_departures": lambda: G.early_departures(ts, DEFAULT),
-        "kpi_overtime": lambda: G.overtime(ts, DEFAULT),
-        "kpi_rolling_avg": lambda: G.rolling_avg(ts, DEFAULT),
-        "kpi_early_attrition": lambda: G.early_attrition(emp, DEFAULT),
+        "kpi_active_headcount": lambda: G.active_headcount(emp, ts, FIXTURE),
+        "kpi_turnover_trend": lambda: G.turnover_trend(emp, FIXTURE),
+        "kpi_avg_tenure": lambda: G.avg_tenure(emp, FIXTURE),
+        "kpi_avg_working_hours": lambda: G.avg_working_hours(ts, FIXTURE),
+        "kpi_late_arrivals": lambda: G.late_arrivals(ts, FIXTURE),
+        "kpi_early_departures": lambda: G.early_departures(ts, FIXTURE),
+        "kpi_overtime": lambda: G.overtime(ts, FIXTURE),
+        "kpi_rolling_avg": lambda: G.rolling_avg(ts, FIXTURE),
+        "kpi_early_attrition": lambda: G.early_attrition(emp, FIXTURE),
     }
     return builders[name]()
 
@@ -222,7 +225,7 @@ def q_bronze_null_tokens(spark, sf_dir):
 
 def _bronze(spark, sf_dir) -> Lake:
     raw = _raw(spark, sf_dir)
-    key = ("bronze", id(spark.sparkContext), sf_dir)
+    key = ("bronze", spark.sparkContext.applicationId, sf_dir)
     with _LOCK:
         if key not in _LAKES:
             lake = Lake(scratch_path(spark, "lake"))
@@ -235,10 +238,10 @@ def _bronze(spark, sf_dir) -> Lake:
 
 def _silver_lake(spark, sf_dir) -> Lake:
     lake = _bronze(spark, sf_dir)
-    key = ("silver", id(spark.sparkContext), sf_dir)
+    key = ("silver", spark.sparkContext.applicationId, sf_dir)
     with _LOCK:
         if key not in _LAKES:
-            job.build_silver(spark, lake, DEFAULT)
+            job.build_silver(spark, lake, FIXTURE)
             _LAKES[key] = lake
     return lake
 
@@ -351,6 +354,10 @@ def _chart_query(key: str) -> Query:
     kpi, fn = _CHARTS[key]
 
     def q(spark, sf_dir):
+        if key == "chart_weekly_hours":  # from all weeks, not from the cut report
+            return fn(G.weekly_hours(silver_timesheets(spark, sf_dir)))
+        if key == "chart_rolling_sample":  # from all employees
+            return fn(silver_timesheets(spark, sf_dir))
         return fn(gold(spark, sf_dir, kpi))
 
     q.__name__ = f"q_{key}"
@@ -384,7 +391,7 @@ def q_var_turnover(spark, sf_dir):
 
 @register("var_avg_tenure")
 def q_var_tenure(spark, sf_dir):
-    return V.avg_tenure(_var_inputs(spark, sf_dir)[0], DEFAULT)
+    return V.avg_tenure(_var_inputs(spark, sf_dir)[0], FIXTURE)
 
 
 @register("var_avg_working_hours")
@@ -394,27 +401,27 @@ def q_var_hours(spark, sf_dir):
 
 @register("var_late_arrivals")
 def q_var_late(spark, sf_dir):
-    return V.late_arrivals(_var_inputs(spark, sf_dir)[1], DEFAULT)
+    return V.late_arrivals(_var_inputs(spark, sf_dir)[1], FIXTURE)
 
 
 @register("var_early_departures")
 def q_var_early(spark, sf_dir):
-    return V.early_departures(_var_inputs(spark, sf_dir)[1], DEFAULT)
+    return V.early_departures(_var_inputs(spark, sf_dir)[1], FIXTURE)
 
 
 @register("var_overtime")
 def q_var_overtime(spark, sf_dir):
-    return V.overtime(_var_inputs(spark, sf_dir)[1], DEFAULT)
+    return V.overtime(_var_inputs(spark, sf_dir)[1], FIXTURE)
 
 
 @register("var_rolling_avg")
 def q_var_rolling(spark, sf_dir):
-    return V.rolling_avg(_var_inputs(spark, sf_dir)[1], DEFAULT)
+    return V.rolling_avg(_var_inputs(spark, sf_dir)[1], FIXTURE)
 
 
 @register("var_attrition_months")
 def q_var_attrition(spark, sf_dir):
-    return V.attrition(_var_inputs(spark, sf_dir)[0], DEFAULT)
+    return V.attrition(_var_inputs(spark, sf_dir)[0], FIXTURE)
 
 
 # --- row changes -------------------------------------------------------------------------
@@ -425,7 +432,10 @@ def change_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     suppliers join as new employees; rich customers move to their nation's
     department; very poor ones send an empty update; some customers are deleted
     (the richest after their update, so the delete wins); suppliers with a
-    negative balance delete ids that do not exist."""
+    negative balance delete ids that do not exist. One customer in 50 each sends
+    two partial updates; is deleted and hired again; is hired under a new id and
+    moved; is updated and deleted; sends two updates with one seq; sends an
+    update without seq and a later one."""
     supplier = FX.table(spark, sf_dir, "supplier")
     customer = FX.table(spark, sf_dir, "customer")
     nation = FX.table(spark, sf_dir, "nation")
@@ -453,7 +463,19 @@ def change_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     unknown = supplier.where(F.col("s_acctbal") < 0).select(
         *row("delete", -F.col("s_suppkey") - F.lit(1_000_000_000), null_s, null_s, null_s, null_t, 4)
     )
-    return inserts.unionByName(updates).unionByName(empty).unionByName(deletes).unionByName(unknown)
+    out = inserts.unionByName(updates).unionByName(empty).unionByName(deletes).unionByName(unknown)
+    cid, name = F.col("c_custkey"), F.col("c_name")
+    text = F.lit
+    for rest, op, who, first, last, dept, hire, seq in (
+        (1, "update", cid, text("Ann"), null_s, null_s, null_t, 5), (1, "update", cid, null_s, text("Two"), null_s, null_t, 6),
+        (2, "delete", cid, null_s, null_s, null_s, null_t, 7), (2, "insert", cid, text("Again"), name, text("REHIRED"), base_day, 8),
+        (3, "insert", cid + 10_000_000, text("New"), name, text("NEW"), base_day, 5), (3, "update", cid + 10_000_000, null_s, null_s, text("MOVED"), null_t, 6),
+        (4, "update", cid, null_s, null_s, text("GONE"), null_t, 5), (4, "delete", cid, null_s, null_s, null_s, null_t, 6),
+        (5, "update", cid, null_s, text("Alpha"), null_s, null_t, 5), (5, "update", cid, null_s, text("Beta"), null_s, null_t, 5),
+        (6, "update", cid, text("Early"), text("Early"), null_s, null_t, None), (6, "update", cid, text("Late"), null_s, null_s, null_t, 5),
+    ):
+        out = out.unionByName(customer.where(cid % 50 == rest).select(*row(op, who, first, last, dept, hire, seq)))
+    return out
 
 
 def _changes(fn):
@@ -464,10 +486,10 @@ def _changes(fn):
     return q
 
 
-register("changes_insert")(_changes(lambda emp, ch: CG.insert(emp, ch, DEFAULT)))
+register("changes_insert")(_changes(lambda emp, ch: CG.insert(emp, ch, FIXTURE)))
 register("changes_update")(_changes(CG.update))
 register("changes_delete")(_changes(CG.delete))
-register("changes_apply")(_changes(lambda emp, ch: CG.apply(emp, ch, DEFAULT)))
+register("changes_apply")(_changes(lambda emp, ch: CG.apply(emp, ch, FIXTURE)))
 register("changes_rejects")(_changes(CG.rejects))
 
 

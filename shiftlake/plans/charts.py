@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shiftlake.functions.exprs import round_half_away
+from shiftlake.operators.rolling import rolling_all
 from shiftlake.params import CHART_SAMPLE_EMPLOYEES, CHART_TOP, CHART_WEEKS, DEFAULT, Params
 
 ID = "client_employee_id"
@@ -50,7 +51,7 @@ def attrition(kpi: DataFrame) -> DataFrame:
 
 
 def weekly_hours(kpi: DataFrame) -> DataFrame:
-    """Per week, the average of the per-employee weekly averages and the
+    """C7 (from the uncut ``weekly_hours``): per week, the average of the per-employee weekly averages and the
     number of employees; the latest 50 weeks, week as yyyy-MM-dd."""
     return (
         kpi.groupBy("week")
@@ -69,14 +70,14 @@ def early_departures(kpi: DataFrame) -> DataFrame:
     return _top(kpi, "early_count")
 
 
-def rolling_sample(kpi: DataFrame, params: Params = DEFAULT) -> DataFrame:
-    """Ten employees drawn from the rolling table, then all their rows.
+def rolling_sample(ts: DataFrame, params: Params = DEFAULT, employees: int = CHART_SAMPLE_EMPLOYEES) -> DataFrame:
+    """Ten employees drawn from all timesheets, then all their rows with the rolling average.
 
     The draw orders ids by md5(seed || id), a seeded shuffle that gives the
-    same ten ids on every run and in SQL. The ten ids join back by broadcast.
+    same ten ids on every run and in SQL; the window runs over their rows only.
     """
-    draw = md5_order(kpi, params.sample_seed).limit(CHART_SAMPLE_EMPLOYEES)
-    rows = kpi.join(F.broadcast(draw.select(ID)), ID, "left_semi")
+    draw = md5_order(ts, params.sample_seed).limit(employees)
+    rows = rolling_all(ts.join(draw, ID, "left_semi"), rows=params.rolling_rows, digits=2)
     return rows.orderBy(
         F.col("punch_apply_date").desc_nulls_last(), F.col(ID).asc_nulls_last(),
         F.col("rolling_30day_avg").asc_nulls_last(),

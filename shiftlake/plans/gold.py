@@ -1,8 +1,7 @@
 """Gold KPI tables (G1-G9) over silver employees and timesheets.
 
 Each builder takes silver DataFrames and returns the KPI DataFrame; the
-job writes them. Months and weeks are the naive timestamp of their first
-instant (midnight of the 1st / of the Monday). Top-k reports break ties on
+job writes them. Months and weeks are the DATE of their first day. Top-k reports break ties on
 the employee id (and, for the rolling report, on punch-in time and ingest
 order) so results are stable.
 """
@@ -12,17 +11,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shiftlake.functions.exprs import as_ntz, micros_between, month_start_ts, round_half_away, week_start
+from shiftlake.functions.exprs import micros_between, month_start, round_half_away, week_start
 from shiftlake.operators.headcount import headcount_by_month
 from shiftlake.operators.rolling import rolling_top
 from shiftlake.params import (
     DEFAULT,
     EARLY_ATTRITION_LABEL,
-    LIMIT_EARLY,
-    LIMIT_LATE,
-    LIMIT_OVERTIME,
-    LIMIT_ROLLING,
-    LIMIT_WEEKLY_HOURS,
     OTHER_ATTRITION_LABEL,
     Params,
 )
@@ -32,15 +26,14 @@ ID = "client_employee_id"
 
 def active_headcount(emp: DataFrame, ts: DataFrame, params: Params = DEFAULT) -> DataFrame:
     """G1: (month, active_headcount), month desc."""
-    hc = headcount_by_month(ts, emp)
-    return hc.select(as_ntz(F.col("month")).alias("month"), "active_headcount").orderBy(F.col("month").desc_nulls_last())
+    return headcount_by_month(ts, emp).orderBy(F.col("month").desc_nulls_last())
 
 
 def turnover_trend(emp: DataFrame, params: Params = DEFAULT) -> DataFrame:
     """Terminations per month of the termination date, month desc."""
     return (
         emp.where(F.col("term_date").isNotNull())
-        .groupBy(month_start_ts("term_date").alias("month"))
+        .groupBy(month_start("term_date").alias("month"))
         .agg(F.count("*").alias("terminations"))
         .orderBy(F.col("month").desc_nulls_last())
     )
@@ -59,17 +52,20 @@ def avg_tenure(emp: DataFrame, params: Params = DEFAULT) -> DataFrame:
     )
 
 
-def avg_working_hours(ts: DataFrame, params: Params = DEFAULT, limit: int = LIMIT_WEEKLY_HOURS) -> DataFrame:
-    """Weekly average hours of normal-hours punches; latest weeks first."""
+def weekly_hours(ts: DataFrame) -> DataFrame:
+    """Average hours of normal-hours punches per employee and week, all weeks."""
     return (
         ts.where(F.col("is_normal_work") == 1)
-        .groupBy(ID, as_ntz(week_start("punch_apply_date")).alias("week"))
+        .groupBy(ID, week_start("punch_apply_date").alias("week"))
         .agg(round_half_away(F.avg("hours_worked"), 2).alias("avg_hours"), F.count("*").alias("days_worked"))
-        .orderBy(F.col("week").desc_nulls_last(), F.col(ID).asc_nulls_last())
-        .limit(limit)
     )
 
 
+def avg_working_hours(ts: DataFrame, params: Params = DEFAULT) -> DataFrame:
+    """The first rows of ``weekly_hours``, latest weeks first."""
+    return weekly_hours(ts).orderBy(F.col("week").desc_nulls_last(), F.col(ID).asc_nulls_last()).limit(params.limit_weekly_hours)
+
+
 def per_employee_flags(ts: DataFrame, params: Params = DEFAULT) -> DataFrame:
     """G5-G7 share one scan and one group-by: conditional aggregates per employee."""
     return ts.where((F.col("is_late") == 1) | (F.col("is_early") == 1) | (F.col("is_overtime") == 1)).groupBy(ID).agg(
@@ -94,24 +90,24 @@ def top_by(df: DataFrame, count_col: str, value_col: str, limit: int) -> DataFra
     )
 
 
-def late_arrivals(ts: DataFrame, params: Params = DEFAULT, limit: int = LIMIT_LATE) -> DataFrame:
+def late_arrivals(ts: DataFrame, params: Params = DEFAULT) -> DataFrame:
     """Punches more than the grace late, per employee; top by count."""
-    return top_by(per_employee_flags(ts, params), "late_count", "avg_minutes_late", limit)
+    return top_by(per_employee_flags(ts.where(F.col("is_late") == 1), params), "late_count", "avg_minutes_late", params.limit_late)
 
 
-def early_departures(ts: DataFrame, params: Params = DEFAULT, limit: int = LIMIT_EARLY) -> DataFrame:
+def early_departures(ts: DataFrame, params: Params = DEFAULT) -> DataFrame:
     """Punches out more than the grace early, per employee; top by count."""
-    return top_by(per_employee_flags(ts, params), "early_count", "avg_minutes_early", limit)
+    return top_by(per_employee_flags(ts.where(F.col("is_early") == 1), params), "early_count", "avg_minutes_early", params.limit_early)
 
 
-def overtime(ts: DataFrame, params: Params = DEFAULT, limit: int = LIMIT_OVERTIME) -> DataFrame:
+def overtime(ts: DataFrame, params: Params = DEFAULT) -> DataFrame:
     """Overtime punches and hours beyond the base day, per employee; top by count."""
-    return top_by(per_employee_flags(ts, params), "overtime_days", "total_extra_hours", limit)
+    return top_by(per_employee_flags(ts.where(F.col("is_overtime") == 1), params), "overtime_days", "total_extra_hours", params.limit_overtime)
 
 
-def rolling_avg(ts: DataFrame, params: Params = DEFAULT, limit: int = LIMIT_ROLLING) -> DataFrame:
+def rolling_avg(ts: DataFrame, params: Params = DEFAULT) -> DataFrame:
     """Rolling average over the last N punches; the latest rows."""
-    return rolling_top(ts, limit, rows=params.rolling_rows, digits=2).select(
+    return rolling_top(ts, params.limit_rolling, rows=params.rolling_rows, digits=2).select(
         ID, "punch_apply_date", "rolling_30day_avg"
     )
 

@@ -17,6 +17,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shiftlake.operators.changes import apply, rejects
 from shiftlake.operators.silver import transform_employees, transform_timesheets
 from shiftlake.params import DEFAULT, EMPLOYEE_KEY, Params
 from shiftlake.plans import gold as G
@@ -25,6 +26,7 @@ from shiftlake.session import configure
 from shiftlake.sources.lake import (
     Lake,
     read_silver_timesheets,
+    replace_table,
     write_gold,
     write_silver_employees,
     write_silver_timesheets,
@@ -70,9 +72,9 @@ def _builders(emp: DataFrame, ts: DataFrame, params: Params, per_employee: DataF
     """KPI name -> function building its DataFrame (G1 writes its small
     checkpoints when built, so building happens inside the KPI's own task)."""
     shared = {
-        "kpi_late_arrivals": ("late_count", "avg_minutes_late", G.LIMIT_LATE),
-        "kpi_early_departures": ("early_count", "avg_minutes_early", G.LIMIT_EARLY),
-        "kpi_overtime": ("overtime_days", "total_extra_hours", G.LIMIT_OVERTIME),
+        "kpi_late_arrivals": ("late_count", "avg_minutes_late", params.limit_late),
+        "kpi_early_departures": ("early_count", "avg_minutes_early", params.limit_early),
+        "kpi_overtime": ("overtime_days", "total_extra_hours", params.limit_overtime),
     }
     out = {
         "kpi_active_headcount": lambda: G.active_headcount(emp, ts, params),
@@ -139,3 +141,17 @@ def run(spark: SparkSession, raw_dir: str, lake_root: str, params: Params = DEFA
     dq = {(r.table_name, r.metric): r.value for r in lake.read(spark, "gold", "dq_row_counts").collect()}
     rows, failures = build_gold(spark, lake, params)
     return {"bronze": bronze, "silver": silver, "quality": dq, "gold_rows": rows, "failures": failures}
+
+
+def apply_changes(spark: SparkSession, lake_root: str, changes: DataFrame, params: Params = DEFAULT) -> dict:
+    """Apply a change batch to the silver employees (M4), switch to the new version and rebuild gold.
+
+    The rejected changes are written to ``silver/rejected_changes``; returns their number, gold rows and failures.
+    """
+    configure(spark)
+    lake = Lake(lake_root)
+    emp = lake.read(spark, "silver", "silver_employees")
+    rejected = replace_table(rejects(emp, changes), lake, "silver", "rejected_changes")
+    replace_table(apply(emp, changes, params), lake, "silver", "silver_employees")
+    rows, failures = build_gold(spark, lake, params)
+    return {"rejected": spark.read.parquet(rejected).count(), "gold_rows": rows, "failures": failures}

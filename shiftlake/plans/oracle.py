@@ -91,22 +91,21 @@ BASE = "WITH " + ",".join([FX_EMP, SILVER_EMP, FX_TS, TS_DEDUP, SILVER_TS]) + "\
 
 GOLD = {
     "kpi_active_headcount": """
-  SELECT date_trunc('month', t.punch_apply_date) AS month,
-         count(DISTINCT CASE WHEN e.hire_date <= t.punch_apply_date
-                              AND (e.term_date IS NULL OR e.term_date > t.punch_apply_date)
-                             THEN e.client_employee_id END) AS active_headcount
-  FROM (SELECT DISTINCT punch_apply_date FROM silver_ts) t
-  CROSS JOIN (SELECT DISTINCT client_employee_id, hire_date, term_date FROM silver_emp) e
-  GROUP BY 1""",
+  SELECT m.month, (
+    SELECT count(*) FROM (SELECT client_employee_id FROM silver_emp GROUP BY 1) i
+    WHERE EXISTS (
+      SELECT 1 FROM days d JOIN silver_emp s ON d.day >= s.hire_date AND coalesce(d.day < s.term_date, true)
+      WHERE s.client_employee_id = i.client_employee_id AND d.month = m.month)) AS active_headcount
+  FROM (SELECT DISTINCT month FROM days) m WHERE EXISTS (SELECT 1 FROM silver_emp)""",
     "kpi_turnover_trend": """
-  SELECT date_trunc('month', term_date) AS month, count(*) AS terminations
+  SELECT CAST(date_trunc('month', term_date) AS DATE) AS month, count(*) AS terminations
   FROM silver_emp WHERE term_date IS NOT NULL GROUP BY 1""",
     "kpi_avg_tenure": """
   SELECT department_name, round(avg(tenure_days) / 365.25, 2) AS avg_tenure_years,
          count(*) AS employee_count
   FROM silver_emp WHERE department_name IS NOT NULL GROUP BY department_name""",
     "kpi_avg_working_hours": """
-  SELECT client_employee_id, date_trunc('week', punch_apply_date) AS week,
+  SELECT client_employee_id, CAST(date_trunc('week', punch_apply_date) AS DATE) AS week,
          round(avg(hours_worked), 2) AS avg_hours, count(*) AS days_worked
   FROM silver_ts WHERE is_normal_work = 1
   GROUP BY 1, 2
@@ -146,9 +145,14 @@ GOLD = {
 }
 
 
+# the distinct apply dates, each with its month
+DAYS = """,
+days AS (SELECT DISTINCT punch_apply_date AS day, CAST(date_trunc('month', punch_apply_date) AS DATE) AS month FROM silver_ts)"""
+
+
 def with_gold(final: str) -> str:
     ctes = ",\n".join(f"{k} AS ({v}\n)" for k, v in GOLD.items())
-    return BASE.rstrip() + ",\n" + ctes + "\n" + final
+    return BASE.rstrip() + DAYS + ",\n" + ctes + "\n" + final
 
 
 ORACLE: dict[str, str] = {}
@@ -169,7 +173,7 @@ ORACLE["silver_timesheets"] = BASE + f"SELECT {TS_SILVER_COLS} FROM silver_ts"
 
 # gold
 for _name, _sql in GOLD.items():
-    ORACLE[_name] = BASE + _sql
+    ORACLE[_name] = BASE.rstrip() + DAYS + "\n" + _sql
 
 # --- sources / bronze: the fixture as text, as the files hold it -------------------
 
@@ -280,35 +284,29 @@ ORACLE["chart_overtime"] = with_gold(
     "SELECT * FROM kpi_overtime ORDER BY overtime_days DESC, client_employee_id NULLS LAST LIMIT 20"
 )
 ORACLE["chart_attrition"] = with_gold("SELECT attrition_type, count FROM kpi_early_attrition")
-ORACLE["chart_weekly_hours"] = with_gold("""
-SELECT strftime(wk, '%Y-%m-%d') AS week, avg_hours_all, num_employees FROM (
-  SELECT week AS wk, round(avg(avg_hours), 2) AS avg_hours_all,
-         count(DISTINCT client_employee_id) AS num_employees
-  FROM kpi_avg_working_hours GROUP BY week
-  ORDER BY wk DESC NULLS LAST LIMIT 50)""")
+ORACLE["chart_weekly_hours"] = BASE.rstrip() + """,
+per_week AS (
+  SELECT client_employee_id AS id, date_trunc('week', punch_apply_date) AS wk, round(avg(hours_worked), 2) AS h
+  FROM silver_ts WHERE is_normal_work = 1 GROUP BY ALL)
+SELECT strftime(wk, '%Y-%m-%d') AS week, round(avg(h), 2) AS avg_hours_all, count(DISTINCT id) AS num_employees
+FROM per_week GROUP BY wk ORDER BY wk DESC NULLS LAST LIMIT 50"""
 ORACLE["chart_early_departures"] = with_gold(
     "SELECT * FROM kpi_early_departures ORDER BY early_count DESC, client_employee_id NULLS LAST LIMIT 20"
 )
-ORACLE["chart_rolling_sample"] = with_gold("""
-SELECT client_employee_id, strftime(punch_apply_date, '%Y-%m-%d') AS punch_apply_date, rolling_30day_avg
-FROM kpi_rolling_avg
-WHERE client_employee_id IN (
-  SELECT client_employee_id FROM (
-    SELECT DISTINCT client_employee_id FROM kpi_rolling_avg WHERE client_employee_id IS NOT NULL)
-  ORDER BY md5('42' || CAST(client_employee_id AS VARCHAR)), client_employee_id
-  LIMIT 10)""")
+ORACLE["chart_rolling_sample"] = BASE.rstrip() + """,
+drawn AS (
+  SELECT client_employee_id FROM silver_ts WHERE client_employee_id IS NOT NULL GROUP BY 1
+  ORDER BY md5('42' || CAST(client_employee_id AS VARCHAR)), client_employee_id LIMIT 10)
+SELECT client_employee_id, strftime(punch_apply_date, '%Y-%m-%d') AS punch_apply_date,
+       round(avg(hours_worked) OVER (
+         PARTITION BY client_employee_id
+         ORDER BY punch_apply_date NULLS LAST, punch_in_datetime NULLS LAST, k1, k2, k3, k4, k5
+         ROWS 29 PRECEDING), 2) AS rolling_30day_avg
+FROM silver_ts SEMI JOIN drawn USING (client_employee_id)"""
 
 # --- KPI variants ---------------------------------------------------------------------------
 
-ORACLE["var_active_headcount"] = BASE + """
-SELECT date_trunc('month', t.date) AS month,
-       count(DISTINCT CASE WHEN e.date_joined <= t.date
-                            AND (e.termination_date IS NULL OR e.termination_date > t.date)
-                           THEN e.employee_id END) AS active_headcount
-FROM (SELECT DISTINCT punch_apply_date AS date FROM silver_ts) t
-CROSS JOIN (SELECT client_employee_id AS employee_id, hire_date AS date_joined,
-                   term_date AS termination_date FROM silver_emp) e
-GROUP BY 1"""
+ORACLE["var_active_headcount"] = with_gold("SELECT CAST(month AS TIMESTAMP) AS month, active_headcount FROM kpi_active_headcount")
 ORACLE["var_turnover"] = BASE + (
     "SELECT date_trunc('month', term_date) AS month, count(*) AS terminations "
     "FROM silver_emp WHERE term_date IS NOT NULL GROUP BY 1"
@@ -366,56 +364,61 @@ changes AS (
   WHERE (c_acctbal < -900 AND c_acctbal >= -990) OR c_acctbal > 9900
   UNION ALL
   SELECT 'delete', -s_suppkey - 1000000000, NULL, NULL, NULL, NULL, 4 FROM supplier WHERE s_acctbal < 0
+  UNION ALL
+  SELECT op, CASE WHEN rest = 3 THEN c_custkey + 10000000 ELSE c_custkey END,
+         fn, CASE WHEN ln = '=' THEN c_name ELSE ln END, dept, CASE WHEN op = 'insert' THEN TIMESTAMP '1996-01-01' END, sq
+  FROM customer JOIN (VALUES
+    (1, 'update', 'Ann', NULL, NULL, 5), (1, 'update', NULL, 'Two', NULL, 6),
+    (2, 'delete', NULL, NULL, NULL, 7), (2, 'insert', 'Again', '=', 'REHIRED', 8),
+    (3, 'insert', 'New', '=', 'NEW', 5), (3, 'update', NULL, NULL, 'MOVED', 6),
+    (4, 'update', NULL, NULL, 'GONE', 5), (4, 'delete', NULL, NULL, NULL, 6),
+    (5, 'update', NULL, 'Alpha', NULL, 5), (5, 'update', NULL, 'Beta', NULL, 5),
+    (6, 'update', 'Early', 'Early', NULL, NULL), (6, 'update', 'Late', NULL, NULL, 5)
+  ) v(rest, op, fn, ln, dept, sq) ON c_custkey % 50 = rest
+),
+-- replay order: seq (missing first), then delete, insert, update, then the values
+ch AS (
+  SELECT *, row_number() OVER (ORDER BY seq NULLS FIRST, op, first_name NULLS FIRST, last_name NULLS FIRST,
+                               department_name NULLS FIRST, hire_date NULLS FIRST) AS pos
+  FROM changes
 ),
-last_change AS (
-  SELECT * FROM changes QUALIFY row_number() OVER (PARTITION BY client_employee_id ORDER BY seq DESC) = 1
+born AS (
+  SELECT *, 0 AS born FROM silver_emp
+  UNION ALL
+  SELECT client_employee_id, first_name, last_name, department_name, hire_date, CAST(NULL AS TIMESTAMP), CAST(1 AS BIGINT),
+         CAST(floor(date_diff('microsecond', hire_date, {as_of}) / 86400000000.0) AS BIGINT), pos
+  FROM ch WHERE op = 'insert'
 )
-"""
+""".format(as_of=AS_OF)
 CH_BASE = BASE.rstrip() + CHANGES
 
 
-def _inserted(src: str) -> str:
+def _after(rows: str, deletes: bool) -> str:
+    """The rows with each field as the last update after their birth left it; without those deleted later."""
+    field = """coalesce((SELECT arg_max(u.{f}, u.pos) FROM ch u WHERE u.op = 'update' AND u.client_employee_id = b.client_employee_id
+              AND u.pos > b.born AND u.{f} IS NOT NULL), b.{f}) AS {f}"""
+    gone = """
+WHERE NOT EXISTS (SELECT 1 FROM ch d WHERE d.op = 'delete' AND d.client_employee_id = b.client_employee_id AND d.pos > b.born)"""
+    fields = ",\n  ".join(field.format(f=f) for f in ("first_name", "last_name", "department_name"))
     return f"""
-SELECT client_employee_id, first_name, last_name, department_name, hire_date, CAST(NULL AS TIMESTAMP) AS term_date,
-       CAST(1 AS BIGINT) AS is_active,
-       CAST(floor(date_diff('microsecond', hire_date, {AS_OF}) / 86400000000.0) AS BIGINT) AS tenure_days
-FROM {src} WHERE op = 'insert'"""
-
-
-def _updated(base: str, src: str) -> str:
-    return f"""
-SELECT s.client_employee_id, coalesce(u.first_name, s.first_name) AS first_name,
-       coalesce(u.last_name, s.last_name) AS last_name,
-       coalesce(u.department_name, s.department_name) AS department_name,
-       s.hire_date, s.term_date, s.is_active, s.tenure_days
-FROM {base} s LEFT JOIN (
-  SELECT * FROM {src}
-  WHERE op = 'update' AND (first_name IS NOT NULL OR last_name IS NOT NULL OR department_name IS NOT NULL)
-  QUALIFY row_number() OVER (PARTITION BY client_employee_id ORDER BY seq DESC) = 1
-) u ON u.client_employee_id = s.client_employee_id"""
-
-
-def _kept(src: str) -> str:
-    return f"""
-SELECT * FROM silver_emp WHERE client_employee_id NOT IN (
-  SELECT client_employee_id FROM {src} WHERE op = 'delete' AND client_employee_id IS NOT NULL)"""
-
-
-ORACLE["changes_insert"] = CH_BASE + "SELECT * FROM silver_emp UNION ALL" + _inserted("changes")
-ORACLE["changes_update"] = CH_BASE + _updated("silver_emp", "changes")
-ORACLE["changes_delete"] = CH_BASE + _kept("changes")
-ORACLE["changes_apply"] = (
-    CH_BASE.rstrip() + ",\nkept AS (" + _kept("last_change") + "\n)\n"
-    + _updated("kept", "last_change") + "\nUNION ALL" + _inserted("last_change")
-)
-ORACLE["changes_rejects"] = CH_BASE + """
-SELECT c.*, 'not found' AS reason FROM changes c
-WHERE c.op IN ('update', 'delete')
-  AND NOT EXISTS (SELECT 1 FROM silver_emp s WHERE s.client_employee_id = c.client_employee_id)
-UNION ALL
-SELECT c.*, 'no fields to update' AS reason FROM changes c
-WHERE c.op = 'update' AND c.first_name IS NULL AND c.last_name IS NULL AND c.department_name IS NULL
-  AND EXISTS (SELECT 1 FROM silver_emp s WHERE s.client_employee_id = c.client_employee_id)"""
+SELECT b.client_employee_id, {fields}, b.hire_date, b.term_date, b.is_active, b.tenure_days
+FROM {rows} b""" + (gone if deletes else "")
+
+
+ORACLE["changes_insert"] = CH_BASE + "SELECT * EXCLUDE born FROM born"
+ORACLE["changes_update"] = CH_BASE + _after("(SELECT * FROM born WHERE born = 0)", deletes=False)
+ORACLE["changes_delete"] = CH_BASE + """
+SELECT * FROM silver_emp s WHERE NOT EXISTS (
+  SELECT 1 FROM changes c WHERE c.op = 'delete' AND c.client_employee_id = s.client_employee_id)"""
+ORACLE["changes_apply"] = CH_BASE + _after("born", deletes=True)
+ORACLE["changes_rejects"] = CH_BASE.rstrip() + """,
+judged AS (
+  SELECT c.*, EXISTS (
+    SELECT 1 FROM born b WHERE b.client_employee_id = c.client_employee_id AND b.born < c.pos AND NOT EXISTS (
+      SELECT 1 FROM ch d WHERE d.op = 'delete' AND d.client_employee_id = b.client_employee_id AND d.pos > b.born AND d.pos < c.pos)) AS there
+  FROM ch c WHERE op <> 'insert')
+SELECT * EXCLUDE (pos, there), CASE WHEN there THEN 'no fields to update' ELSE 'not found' END AS reason FROM judged
+WHERE NOT there OR (op = 'update' AND first_name IS NULL AND last_name IS NULL AND department_name IS NULL)"""
 
 # --- data quality -------------------------------------------------------------------------------
 

@@ -33,12 +33,9 @@ _written: dict[tuple[int, str], str] = {}
 _LOCK = threading.Lock()
 
 
-PARTS_PER_FILE = 4  # part files per raw file folder
-
-
 def _write(df: DataFrame, cols: list[str], path: str) -> None:
     (
-        df.repartitionByRange(PARTS_PER_FILE, INGEST_COL)
+        df.repartitionByRange(INGEST_COL)
         .sortWithinPartitions(INGEST_COL)
         .select(*cols)
         .write.mode("overwrite")
@@ -53,7 +50,7 @@ def _write(df: DataFrame, cols: list[str], path: str) -> None:
 
 def write_raw(spark: SparkSession, sf_dir: str) -> str:
     """Write (once per session and input folder) and return the raw folder."""
-    key = (id(spark.sparkContext), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     with _LOCK:
         if key not in _written:
             _written[key] = _write_all(spark, sf_dir)

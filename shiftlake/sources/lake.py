@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,6 +41,31 @@ def read_silver_timesheets(spark: SparkSession, lake: Lake) -> DataFrame:
     return lake.read(spark, "silver", "silver_timesheets")
 
 
+def replace_table(df: DataFrame, lake: Lake, layer: str, name: str) -> str:
+    """Write a new version beside the table, then switch to it by renaming folders.
+
+    The frame may read the table it replaces. If the write fails, the table
+    stays as it was; the folder renamed away is deleted after the switch.
+    """
+    spark, path = df.sparkSession, lake.path(layer, name)
+    new, old = f"{path}.new-{uuid.uuid4().hex[:12]}", f"{path}.old-{uuid.uuid4().hex[:12]}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path
+    files = folder(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        df.write.mode("error").parquet(new)
+    except Exception:
+        files.delete(folder(new), True)
+        raise
+    if files.exists(folder(path)) and not files.rename(folder(path), folder(old)):
+        raise OSError(f"can't rename {path}")
+    if not files.rename(folder(new), folder(path)):
+        files.rename(folder(old), folder(path))
+        raise OSError(f"can't rename {new}")
+    files.delete(folder(old), True)
+    spark.catalog.refreshByPath(path)
+    return path
+
+
 def write_gold(df: DataFrame, lake: Lake, name: str) -> int:
     """Replace one gold table and return its row count from the written files."""
     path = lake.path("gold", name)

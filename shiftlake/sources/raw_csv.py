@@ -18,6 +18,7 @@ import logging
 from collections import OrderedDict
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,7 +42,9 @@ def list_files(spark: SparkSession, raw_dir: str, pattern: str) -> list[str]:
     for glob in (f"{base}/{pattern}", f"{base}/{pattern}/*.csv"):
         try:
             rows = spark.read.format("binaryFile").load(glob).select("path").collect()
-        except Exception:  # no match for this form
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":  # no match for this form
+                raise
             rows = []
         found.extend(r.path for r in rows)
     return sorted(set(p for p in found if not p.rstrip("/").split("/")[-1].startswith(("_", "."))))

@@ -4,10 +4,11 @@ Layers:
   sources/    raw delimited files, bronze landing, lake paths, driver-table fixtures
   functions/  column expressions (parsing, stripping, rounding, interval arithmetic)
   operators/  keep-first de-duplication, silver cleaning, headcount sweep,
-              rolling average, ordered top-k, batch row changes
+              rolling average, batch row changes
   plans/      gold KPIs, SQL-file KPI variants, serving reads, chart datasets,
               data quality, the end-to-end job
   streaming/  nothing: the workload is batch only (see its module docstring)
+  llm/        operations of a training-data pipeline (optional; nothing else imports it)
 """
 
 __all__ = ["__version__"]

@@ -9,20 +9,26 @@ candidates, and a link needs the exact Jaccard similarity of the full sets.
 
 Plan: documents with equal sets form a class, represented by its smallest
 doc_id, so exact copies never become pairs. In a band bucket every member is
-first compared with the bucket's smallest id only. Components are then found;
-in buckets that still hold several components, pivots of each component are
-compared with the members of the others, in rounds with eight times as many
-pivots each, until every pair of different components was compared. So no link
-between candidates is lost, and a bucket of near copies costs one comparison a
-member. Sets are fetched for pairs only whose sketches (the lowest four bits of
-256 coordinates) agree often enough. With 48 bands of 6 rows a pair at
-similarity 0.8 shares no band with probability 5e-7, and its sketches agree too
-rarely with a probability of the same order.
-
-Scale: shuffled are 48 short rows a class, the texts once (to fetch the sets
-of candidates) and the candidates' sets. Group statistics are partially
-aggregated before the shuffle; joins on a hot class, bucket or pivot are plain
-sort-merge joins, which adaptive execution splits. Every round starts from
+first compared with the bucket's hub only, the member that shares most buckets
+with most others. Components are then found, and buckets that still hold
+several of them are finished exactly. In one of at most FEW members, members of
+different components are compared in pairs. The members of the larger ones take
+part in a prefix join: the shingles of each set are ordered from the rarest to
+the commonest (among those members), and two sets of the wanted similarity must
+share a shingle so early in both orders that what follows can still make up the
+overlap. Only pairs of different components are formed, and of a shingle's
+largest component only against the others, so a group of near copies with many
+outliers doesn't become pairs. No link between candidates is lost. Sets are
+compared for pairs only whose sketches (the lowest four bits of 256
+coordinates) agree often enough. With 48 bands of 6 rows a pair at similarity
+0.8 shares no band with probability 5e-7, and its sketches agree too rarely
+with a probability of the same order.
+
+Scale: shuffled are 48 short rows a class, the compressed texts once (to fetch
+those of candidates), the candidates' compressed texts, and the shingles of
+members of large mixed buckets. Group statistics are partially aggregated
+before the shuffle; joins on a hot class, bucket, shingle or hub are plain
+sort-merge joins, which adaptive execution splits. Every step starts from
 written tables.
 
 Defined cases: a null or word-less text has the empty set and is linked with
@@ -38,11 +44,12 @@ import functools
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from shiftlake.llm.common import U64, Scratch, blocks, hash_windows, hash_words, inside, mix, per_text
+from shiftlake.llm.common import BLOCK_BYTES, U64, Scratch, blocks, hash_windows, hash_words, inside, mix, per_text, text_bytes
 
 BANDS, ROWS = 48, 6
 COORDINATES = BANDS * ROWS
@@ -53,7 +60,8 @@ SEED = 20240607
 STEP = 4096
 #: Longs of a sketch; each holds four bits of 16 coordinates.
 SKETCH = 16
-PIVOTS = 16
+#: Members of a bucket up to which its components are compared in pairs.
+FEW = 16
 
 
 @functools.lru_cache(maxsize=1)
@@ -144,25 +152,64 @@ def _sign(width: int):
     return run
 
 
-def _sets(width: int):
+def _packed(batches):
+    """Texts compressed one by one."""
+    pack = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        data = [pack.compress(t) for t in text_bytes(batch.column("text"))]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_key"), pa.array(data, pa.binary())], names=["doc_id", "text_key", "data"])
+
+
+def _runs(rows: list[tuple[bytes, ...]]):
+    """(first, end) of runs of rows whose texts hold about BLOCK_BYTES when decompressed."""
+    first, held = 0, 0
+    for k, row in enumerate(rows):
+        size = sum(zstandard.frame_content_size(x) for x in row)
+        if k > first and held + size > BLOCK_BYTES:
+            yield first, k
+            first, held = k, 0
+        held += size
+    if first < len(rows):
+        yield first, len(rows)
+
+
+def _tokens(width: int):
+    """One row for each member of each set."""
+
     def run(batches):
-        for batch, texts in blocks(batches):
-            grams, bounds = shingle_sets(texts, width)
-            data = [grams[bounds[k] : bounds[k + 1]].tobytes() for k in range(len(texts))]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(data, pa.binary())], names=["node", "data"])
+        unpack = zstandard.ZstdDecompressor()
+        for batch in batches:
+            data = batch.column("data").to_pylist()
+            nodes = batch.column("node").to_numpy()
+            for lo, hi in _runs([(x,) for x in data]):
+                grams, bounds = shingle_sets([unpack.decompress(x) for x in data[lo:hi]], width)
+                doc, n = per_text(bounds), np.diff(bounds)
+                sums = np.concatenate(([0], np.cumsum(mix(grams)))).astype(U64)
+                which = (sums[bounds[1:]] - sums[bounds[:-1]]).view(np.int64)
+                columns = [pa.array(x) for x in (nodes[lo:hi][doc], which[doc], n[doc], grams.view(np.int64))]
+                whole = pa.RecordBatch.from_arrays(columns, names=["node", "set_id", "n", "token"])
+                for at in range(0, whole.num_rows, 1 << 16):
+                    yield whole.slice(at, 1 << 16)
 
     return run
 
 
-def _exact(percent: int):
+def _exact(width: int, percent: int):
+    """Of the pairs with their texts: those whose sets are as similar as wanted."""
+
     def run(batches):
+        unpack = zstandard.ZstdDecompressor()
         for batch in batches:
+            pairs = list(zip(batch.column("data_a").to_pylist(), batch.column("data_b").to_pylist(), strict=True))
             keep = []
-            for x, y in zip(batch.column("data_a").to_pylist(), batch.column("data_b").to_pylist(), strict=True):
-                a, b = np.frombuffer(x, U64), np.frombuffer(y, U64)
-                both = np.sort(np.concatenate((a, b)))
-                common = int((both[1:] == both[:-1]).sum())
-                keep.append(100 * common >= percent * (len(a) + len(b) - common))
+            for lo, hi in _runs(pairs):
+                number = {x: k for k, x in enumerate(dict.fromkeys(x for pair in pairs[lo:hi] for x in pair))}
+                grams, bounds = shingle_sets([unpack.decompress(x) for x in number], width)
+                for x, y in pairs[lo:hi]:
+                    a, b = (grams[bounds[number[z]] : bounds[number[z] + 1]] for z in (x, y))
+                    both = np.sort(np.concatenate((a, b)))
+                    common = int((both[1:] == both[:-1]).sum())
+                    keep.append(100 * common >= percent * (len(a) + len(b) - common))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run
@@ -202,54 +249,67 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = scratch.save(classes.select("n", "f1", "f2", F.col("r.doc_id").alias("node"), "r.text_key", "r.bands", "r.sketch"), "classes")
 
     banded = classes.select("node", "n", F.explode("bands").alias("bucket"))
-    hubs = banded.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("top")).where("hub != top").drop("top")
-    members = scratch.save(banded.join(hubs, "bucket"), "members")
+    sizes = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    members = scratch.save(banded.join(sizes, "bucket"), "members")
+    weights = members.groupBy("node").agg(F.sum("size").alias("weight"))
+    hubs = members.join(weights, "node").groupBy("bucket").agg(F.min(F.struct(-F.col("weight"), "node"))["node"].alias("hub"))
 
     wanted = members.select("node").distinct().join(classes.select("node", "text_key"), "node")
-    found = text.where("doc_id is not null").join(wanted.withColumnRenamed("node", "doc_id"), ["doc_id", "text_key"], "left_semi")
-    sets = scratch.save(found.dropDuplicates(["doc_id", "text_key"]).select("doc_id", "text").mapInArrow(_sets(width), "node long, data binary"), "sets")
-
-    def linked(pairs: DataFrame, at: int) -> tuple[DataFrame, DataFrame]:
-        pairs = scratch.save(pairs, f"pairs-{at}")
-        side = [sets.select(F.col("node").alias(c), F.col("data").alias(f"data_{c}")) for c in "ab"]
-        checked = pairs.join(side[0], "a").join(side[1], "b").select("a", "b", "data_a", "data_b").mapInArrow(_exact(percent), "a long, b long")
-        return pairs, scratch.save(checked, f"links-{at}")
+    packed = text.where("doc_id is not null").mapInArrow(_packed, "doc_id long, text_key long, data binary")
+    found = packed.join(wanted.withColumnRenamed("node", "doc_id"), ["doc_id", "text_key"], "left_semi")
+    sets = scratch.save(found.dropDuplicates(["doc_id", "text_key"]).select(F.col("doc_id").alias("node"), "data"), "sets")
 
     def like(x: str, y: str) -> F.Column:
         return F.least(x, y) * 100 >= F.greatest(x, y) * percent
 
-    first = members.where("node != hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    for c in "ab":
-        first = first.join(classes.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"s{c}")), c)
-    first = first.where(like("na", "nb") & _alike("sa", "sb", percent)).select("a", "b")
-    tested, edges = linked(first, 0)
-    groups = scratch.save(components(edges, scratch, "stars-0"), "groups-0")
+    def alike(pairs: DataFrame) -> DataFrame:
+        for c in "ab":
+            pairs = pairs.join(classes.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"s{c}")), c)
+        return pairs.where(like("na", "nb") & _alike("sa", "sb", percent)).select("a", "b").distinct()
 
-    served = None
-    turn = 1
-    while True:
-        own = members.join(groups, "node", "left").select("bucket", "node", "n", F.coalesce("component", "node").alias("component"))
-        mixed = own.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("bucket")
-        own = own.join(mixed, "bucket").join(classes.select("node", "sketch"), "node")
-        own = scratch.save(own, f"own-{turn}")
-        left = own if served is None else own.join(served, ["bucket", "node"], "left_anti")
-        pivots = left.groupBy("bucket", "component").agg(F.min(F.struct("node", "n", "sketch")).alias("p"))
-        order = Window.partitionBy("bucket").orderBy("p.node")
-        pivots = pivots.withColumn("k", F.row_number().over(order)).where(F.col("k") <= PIVOTS * 8 ** (turn - 1))
-        pivots = scratch.save(pivots.select("bucket", F.col("component").alias("pc"), F.col("p.node").alias("pivot"), F.col("p.n").alias("pn"), F.col("p.sketch").alias("ps")), f"pivots-{turn}")
-        # a bucket is done when all that is unserved lies in one component
-        if pivots.groupBy("bucket").agg(F.min("pc").alias("lo"), F.max("pc").alias("hi")).where("lo != hi").isEmpty():
-            break
-        pairs = own.join(pivots, "bucket").where((F.col("component") != F.col("pc")) & like("n", "pn") & _alike("sketch", "ps", percent))
-        pairs = pairs.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
-        pairs, links = linked(pairs.join(tested, ["a", "b"], "left_anti"), turn)
-        tested = tested.union(pairs)
-        now = pivots.select("bucket", F.col("pivot").alias("node"))
-        served = now if served is None else served.union(now)
-        stars = groups.where("node != component").select(F.col("node").alias("a"), F.col("component").alias("b"))
-        groups = scratch.save(components(stars.union(links), scratch, f"stars-{turn}"), f"groups-{turn}")
-        scratch.drop(f"own-{turn}")
-        turn += 1
+    def linked(pairs: DataFrame, name: str) -> DataFrame:
+        side = [sets.select(F.col("node").alias(c), F.col("data").alias(f"data_{c}")) for c in "ab"]
+        checked = pairs.join(side[0], "a").join(side[1], "b").select("a", "b", "data_a", "data_b").mapInArrow(_exact(width, percent), "a long, b long")
+        return scratch.save(checked, name)
+
+    first = members.join(hubs, "bucket").where("node != hub").select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct()
+    tested = scratch.save(alike(first), "pairs-0")
+    links = linked(tested, "links-0")
+    groups = scratch.save(components(links, scratch, "stars-0"), "groups-0")
+
+    own = members.join(groups, "node", "left").select("bucket", "node", "n", "size", F.coalesce("component", "node").alias("component"))
+    mixed = own.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("bucket")
+    own = scratch.save(own.join(mixed, "bucket"), "own")
+
+    few = own.where(F.col("size") <= FEW).select("bucket", "node", "n", "component")
+    other = few.select("bucket", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "component")])
+    near = few.join(other, "bucket").where((F.col("node") < F.col("node_b")) & (F.col("component") != F.col("component_b")) & like("n", "n_b"))
+    near = near.select(F.col("node").alias("a"), F.col("node_b").alias("b"))
+
+    many = own.where(F.col("size") > FEW).select("node").distinct()
+    tokens = scratch.save(sets.join(many, "node").mapInArrow(_tokens(width), "node long, set_id long, n long, token long"), "tokens")
+    held = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
+    order = Window.partitionBy("node", "set_id").orderBy(F.coalesce("held", F.lit(1)), "token")
+    early = tokens.join(held, "token", "left").withColumn("rest", F.col("n") + 1 - F.row_number().over(order))
+    early = early.where(F.col("held").isNotNull() & (100 * F.col("rest") >= percent * F.col("n")))
+    early = early.join(groups, "node", "left").select("token", "node", "n", "rest", F.coalesce("component", "node").alias("component"))
+    early = scratch.save(early, "early")
+    # per shingle: the largest component and the smallest set; a set takes part if a set of that size can still be a link
+    parts = early.groupBy("token", "component").agg(F.count(F.lit(1)).alias("c"), F.min("n").alias("least"))
+    parts = parts.groupBy("token").agg(F.max(F.struct("c", "component"))["component"].alias("top"), F.min("least").alias("least"), F.count(F.lit(1)).alias("parts"))
+    can = (100 + percent) * 100 * F.col("rest") >= percent * (100 * F.col("n") + F.greatest(100 * F.col("least"), percent * F.col("n")))
+    early = scratch.save(early.join(parts.where("parts > 1"), "token").where(can).drop("least", "parts"), "prefixes")
+    other = early.select("token", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "rest", "component")])
+    far = early.where("component != top").join(other, "token").where(
+        (F.col("component") != F.col("component_b")) & like("n", "n_b")
+        & ((100 + percent) * F.least("rest", "rest_b") >= percent * (F.col("n") + F.col("n_b")))
+    )
+    far = far.select(F.least("node", "node_b").alias("a"), F.greatest("node", "node_b").alias("b"))
+
+    pairs = scratch.save(alike(near.union(far).distinct().join(tested, ["a", "b"], "left_anti")), "pairs-1")
+    scratch.drop("own", "tokens", "early", "prefixes")
+    stars = groups.where("node != component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+    groups = scratch.save(components(stars.union(linked(pairs, "links-1")), scratch, "stars-1"), "groups-1")
 
     named = classes.select("n", "f1", "f2", "node").join(groups, "node", "left")
     named = scratch.save(named.select("n", "f1", "f2", F.coalesce("component", "node").alias("component_id")), "named")

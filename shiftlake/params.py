@@ -73,11 +73,10 @@ EMPLOYEE_KEY = "client_employee_id"
 TIMESHEET_KEY = ("client_employee_id", "punch_in_datetime")
 INGEST_COL = "_ingest"  # struct giving the original row order (file order)
 
-# Default text format for timestamp columns: ISO date, optionally followed by
-# a time (space or 'T', seconds and up to six fraction digits optional). One
-# pattern with optional sections parses in one pass; more formats can be
-# listed in ``Params.ts_formats`` and are tried in order.
-DEFAULT_TS_FORMATS = ("yyyy-MM-dd[['T'][ ]HH:mm[:ss][.SSSSSS]]",)
+# Default text formats for timestamp columns, tried in order (``Params.ts_formats``
+# replaces them): an ISO date, optionally followed by a time (space or 'T', seconds
+# and up to nine fraction digits optional) and a 'Z'; a month-first date with slashes.
+DEFAULT_TS_FORMATS = ("yyyy-MM-dd[['T'][ ]HH:mm[:ss][.SSSSSSSSS]]['Z']", "M/d/yyyy[ H:mm[:ss]]")
 
 
 def _today() -> _dt.datetime:

@@ -9,6 +9,11 @@
 * Files whose headers differ are read separately (one read per distinct
   header) and unioned by column name; a single multi-file read would align
   columns by position.
+* A quoted cell may hold line breaks (``multi_line``, on by default; a file is
+  then read by one task). Turn it off for large files known to have none, which
+  are then split.
+* A row with text in one of the ``SURPLUS`` cells beyond its header fails the
+  job, naming the file; missing cells at the end of a row are null.
 """
 
 from __future__ import annotations
@@ -21,6 +26,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shiftlake.functions.exprs import null_tokens, strip_all
 from shiftlake.params import CSV_QUOTE, CSV_SEP, EMPLOYEE_GLOB, INGEST_COL, TIMESHEET_GLOB
@@ -28,6 +34,7 @@ from shiftlake.params import CSV_QUOTE, CSV_SEP, EMPLOYEE_GLOB, INGEST_COL, TIME
 log = logging.getLogger(__name__)
 
 HEADER_PROBES = 16  # concurrent header-probe jobs
+SURPLUS = 8  # cells beyond the header that are looked at
 
 
 def list_files(spark: SparkSession, raw_dir: str, pattern: str) -> list[str]:
@@ -50,7 +57,7 @@ def list_files(spark: SparkSession, raw_dir: str, pattern: str) -> list[str]:
     return sorted(set(p for p in found if not p.rstrip("/").split("/")[-1].startswith(("_", "."))))
 
 
-def _reader(spark: SparkSession):
+def _reader(spark: SparkSession, multi_line: bool):
     return (
         spark.read.option("sep", CSV_SEP)
         .option("quote", CSV_QUOTE)
@@ -58,6 +65,7 @@ def _reader(spark: SparkSession):
         .option("header", True)
         .option("inferSchema", False)
         .option("mode", "PERMISSIVE")
+        .option("multiLine", multi_line)
     )
 
 
@@ -68,28 +76,31 @@ def _clean(df: DataFrame) -> DataFrame:
     )
 
 
-def _read_group(spark: SparkSession, paths: list[str]) -> DataFrame:
-    df = _reader(spark).csv(paths)
-    cols = [c for c in df.columns]
+def _read_group(spark: SparkSession, paths: list[str], cols: tuple[str, ...], multi_line: bool) -> DataFrame:
+    surplus = [f"_surplus_{k}" for k in range(SURPLUS)]
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*cols, *surplus)])
+    df = _reader(spark, multi_line).schema(schema).csv(paths)
     ingest = F.struct(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("pos"),
     )
+    fault = F.raise_error(F.concat(F.lit("more cells than the header in "), F.col("_metadata.file_path")))
+    df = df.where(F.when(F.coalesce(*surplus).isNull(), F.lit(True)).otherwise(fault.cast("boolean")))
     return df.select(*[F.col(f"`{c}`") for c in cols], ingest.alias(INGEST_COL))
 
 
-def read_delimited(spark: SparkSession, paths: list[str]) -> DataFrame:
+def read_delimited(spark: SparkSession, paths: list[str], multi_line: bool = True) -> DataFrame:
     """S2 core: files grouped by header, each group one read, unioned by name."""
     if not paths:
         raise FileNotFoundError("no input files")
     # one small job per file that reads its first line; run them side by side
     with ThreadPoolExecutor(max_workers=HEADER_PROBES) as pool:
-        headers = list(pool.map(lambda p: tuple(_reader(spark).csv(p).columns), paths))
+        headers = list(pool.map(lambda p: tuple(_reader(spark, False).csv(p).columns), paths))
     groups: OrderedDict[tuple, list[str]] = OrderedDict()
     for p, header in zip(paths, headers):
         groups.setdefault(header, []).append(p)
-    frames = [_read_group(spark, ps) for ps in groups.values()]
+    frames = [_read_group(spark, ps, header, multi_line) for header, ps in groups.items()]
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
@@ -105,7 +116,9 @@ def _entry_of(path: str, pattern: str) -> str:
     return path
 
 
-def extract_employees(spark: SparkSession, raw_dir: str, pattern: str = EMPLOYEE_GLOB) -> DataFrame:
+def extract_employees(
+    spark: SparkSession, raw_dir: str, pattern: str = EMPLOYEE_GLOB, multi_line: bool = True
+) -> DataFrame:
     """The first matching employee file (by name); an error if there is none."""
     paths = list_files(spark, raw_dir, pattern)
     entries = sorted({_entry_of(p, pattern) for p in paths})
@@ -114,16 +127,18 @@ def extract_employees(spark: SparkSession, raw_dir: str, pattern: str = EMPLOYEE
     if len(entries) > 1:
         log.warning("several employee files match; using %s, ignoring %s", entries[0], entries[1:])
     first = entries[0]
-    return read_delimited(spark, [p for p in paths if _entry_of(p, pattern) == first])
+    return read_delimited(spark, [p for p in paths if _entry_of(p, pattern) == first], multi_line)
 
 
-def extract_timesheets(spark: SparkSession, raw_dir: str, pattern: str = TIMESHEET_GLOB) -> DataFrame:
+def extract_timesheets(
+    spark: SparkSession, raw_dir: str, pattern: str = TIMESHEET_GLOB, multi_line: bool = True
+) -> DataFrame:
     """Every matching timesheet file in path order, unioned by column name."""
     paths = list_files(spark, raw_dir, pattern)
     if not paths:
         raise FileNotFoundError(f"no {pattern} in {raw_dir}")
     log.info("timesheet files: %d", len(paths))
-    return read_delimited(spark, paths)
+    return read_delimited(spark, paths, multi_line)
 
 
 def load_bronze(emp: DataFrame, ts: DataFrame, bronze_dir: str) -> dict[str, str]:

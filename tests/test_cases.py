@@ -2,10 +2,12 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
+from shiftlake.functions.exprs import coerce_timestamp
 from shiftlake.operators import silver as S
-from shiftlake.params import EARLY_ATTRITION_LABEL, OTHER_ATTRITION_LABEL
+from shiftlake.params import DEFAULT, EARLY_ATTRITION_LABEL, OTHER_ATTRITION_LABEL
 from shiftlake.plans import gold as G
 from shiftlake.plans.job import run
 from shiftlake.sources import raw_csv
@@ -270,3 +272,38 @@ def test_quoted_cells(spark, tmp_path):
     assert rows["1"].first_name == "Ann|Marie" and rows["1"].last_name == 'O"Neil'
     assert rows["2"].first_name is None          # quoted empty cell is missing
     assert rows["2"].last_name == "NA"           # quoted padded token stays text, then stripped
+
+
+def test_quoted_line_breaks_and_short_rows(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / "employee.csv").write_text(
+        'client_employee_id|first_name|last_name|department_name|hire_date|term_date\n'
+        '1|"An\nn"|A|Sales|2020-01-01|\n'
+        '2|Bo|"B|b"|Sales\n'
+        '3|Cy|"C\n\n""c"""||2020-01-02|2020-02-01\n'
+    )
+    rows = {r.client_employee_id: r for r in raw_csv.extract_employees(spark, str(raw)).collect()}
+    assert sorted(rows) == ["1", "2", "3"]
+    assert rows["1"].first_name == "An\nn" and rows["1"].term_date is None
+    assert rows["2"].last_name == "B|b" and rows["2"].hire_date is None
+    assert rows["3"].last_name == 'C\n\n"c"' and rows["3"].department_name is None
+
+
+@pytest.mark.parametrize("surplus", ["x", "x|y", "||y"])
+def test_surplus_cells_fail_the_read(spark, tmp_path, surplus):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / "timesheet_1.csv").write_text(f"client_employee_id|hours_worked\n1|8\n2|7|{surplus}\n")
+    with pytest.raises(Exception, match="more cells than the header"):
+        raw_csv.extract_timesheets(spark, str(raw)).collect()
+
+
+def test_date_texts(spark):
+    texts = ["2020-03-04", "2020-03-04T05:06", "2020-03-04 05:06:07.123456789", "2020-03-04T05:06:07Z",
+             "03/04/2020", "3/4/2020 5:06", "13/04/2020", "not-a-date", ""]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [r.v for r in df.select("i", coerce_timestamp("t", df.schema["t"].dataType, DEFAULT.ts_formats).cast("string").alias("v")).orderBy("i").collect()]
+    day = "2020-03-04"
+    assert got == [f"{day} 00:00:00", f"{day} 05:06:00", f"{day} 05:06:07.123456", f"{day} 05:06:07",
+                   f"{day} 00:00:00", f"{day} 05:06:00", None, None, None]

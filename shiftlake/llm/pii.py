@@ -47,8 +47,8 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     "local_phone": r"(?<![0-9+.-])(?:\([0-9]{3}\)[\x20]?|[0-9]{3}[\x20.-])[0-9]{3}[\x20.-][0-9]{4}(?![0-9-]|\.[0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "secret": r"(?i:(?<![A-Za-z0-9])(?:password|passwd|secret|token|api_?key)[=:][A-Za-z0-9+/_-]{8,128}+)"
-              r"|(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|gh[opsu]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,64}+)(?![A-Za-z0-9])",
+    "secret": r"(?i:(?<![A-Za-z0-9])(?:password|passwd|secret|token|api_?key)[\"']?+[\x20\t]*+[=:][\x20\t]*+[\"']?+[A-Za-z0-9+/_-]{8,}+)"
+              r"|(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|gh[opsu]_[A-Za-z0-9]{36,}+|sk-[A-Za-z0-9]{20,}+)(?![A-Za-z0-9])",
 }
 #: A piece of each kind's pattern that a text must hold.
 NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+", "local_phone": None, "ssn": "-", "secret": None}
@@ -116,7 +116,8 @@ def _gazetteer(kind: str, v: Column) -> Column:
         return _vote(F.lit(False), v.rlike(r"^\(?(000|[0-9]11)"))
     if kind == "ssn":
         return _vote(F.lit(False), v.rlike("^(666|9)"))
-    return _vote(v.rlike("^(AKIA|gh[opsu]_|sk-)") | v.rlike("(?i)^(password|passwd|secret|api_?key)"), F.lit(False))
+    # after a blank, words of prose ("token: classification") are proposed too: a name counts with a digit in the value
+    return _vote(v.rlike("^(AKIA|gh[opsu]_|sk-)") | v.rlike("(?i)^(password|passwd|secret|token|api_?key)[^0-9]*+[0-9]"), F.lit(False))
 
 
 def _proposals(text: Column, kind: str) -> Column:

@@ -226,6 +226,21 @@ def test_pii_adds_supported_spans_only(spark):
     assert spans[99] == [] and all("555-234" in spans[k][0] and spans[k][1].startswith("AKIA") for k in range(30))
 
 
+def test_pii_secrets_with_blanks_quotes_and_any_length(spark):
+    long = "".join(hashlib.sha256(bytes([k])).hexdigest() for k in range(5))[:300]
+    secrets = [
+        f'token = "{long[:40]}"', f'TOKEN = "{long[:40].upper()}"', f"token={long}", f"sk-{long}", f"ghs_{long}",
+        f"'api_key': '{long[40:80]}'", f"password:\t{long[:9]}", f'secret="{long}"',
+    ]
+    rows = [(k, f"some words {x} and more, token: classification") for k, x in enumerate(secrets)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in pii.redact(pii.find_pii(table)).collect()}
+    for k, x in enumerate(secrets):
+        quote = x[-1] if x[-1] in "\"'" else ""
+        ahead = "'" if x[0] == "'" else ""
+        assert got[k] == f"some words {ahead}[SECRET]{quote} and more, token: classification"
+
+
 def test_packing(docs, texts, empty):
     from tokenizers import Tokenizer
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from shiftlake.llm.common import Scratch
 from shiftlake.llm.decontam import decontaminate
-from shiftlake.llm.near_dup import near_duplicates
+from shiftlake.llm.near_dup import judged_texts
 from shiftlake.llm.packing import pack_documents
 from shiftlake.llm.pii import find_pii, redact
 from shiftlake.llm.quality import quality_score, train_quality
@@ -31,12 +31,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near-duplicates (5-word shingles, similarity 0.8) stays, that of the smallest id."""
-    found = near_duplicates(docs)
-    left = docs.join(found.where("not kept").select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    """One row of each group of near-duplicates (5-word shingles, similarity 0.8) stays, that of the smallest id; rows without id all stay."""
+    gone = judged_texts(docs).where("not kept").select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key")).distinct()
+    this = (F.col("doc_id").cast("long") == F.col("gone_id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("gone_key"))
     if docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
-        return left
-    return left.dropDuplicates(["doc_id", "text"])
+        return docs.join(gone, this, "left_anti")
+    left = docs.where("doc_id is not null").join(gone, this, "left_anti").dropDuplicates(["doc_id", "text"])
+    return left.unionByName(docs.where("doc_id is null"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

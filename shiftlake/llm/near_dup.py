@@ -8,7 +8,8 @@ permutation. Rows of the signature are banded, documents that share a band are
 candidates, and a link needs the exact Jaccard similarity of the full sets.
 
 Plan: documents with equal sets form a class, represented by its smallest
-doc_id, so exact copies never become pairs. In a band bucket every member is
+(doc_id, text hash) and named by a number of its own, so exact copies never
+become pairs and texts that share a doc_id stay apart. In a band bucket every member is
 first compared with the bucket's hub only, the member that shares most buckets
 with most others. Components are then found, and buckets that still hold
 several of them are finished exactly. In one of at most FEW members, members of
@@ -34,8 +35,9 @@ written tables.
 Defined cases: a null or word-less text has the empty set and is linked with
 nothing; fewer words than a shingle make one shingle of the whole sequence;
 repeated rows are one class; a null doc_id gets no component (null, kept);
-rows that share a doc_id but not the text are judged one by one; an empty
-table gives no rows; other columns are left out.
+rows that share a doc_id but not the text are judged one by one, and of those
+that hold a component's smallest id one text is kept (the smallest hash); an
+empty table gives no rows; other columns are left out.
 """
 
 from __future__ import annotations
@@ -240,13 +242,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     ``width``: words of a shingle (ASCII lower-cased); ``percent``: least Jaccard similarity of a link.
     """
+    return judged_texts(docs, id_col, text_col, width, percent).drop("text_key")
+
+
+def judged_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``near_duplicates`` with ``text_key``, the xxhash64 of the text that was judged."""
     scratch = Scratch(docs.sparkSession, "neardup")
     text = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).withColumn("text_key", F.xxhash64("text"))
     signed = scratch.save(text.mapInArrow(_sign(width), "doc_id long, text_key long, n long, f1 long, f2 long, bands array<long>, sketch array<long>"), "signed")
 
     real = signed.where("n > 0 and doc_id is not null")
     classes = real.groupBy("n", "f1", "f2").agg(F.min(F.struct("doc_id", "text_key", "bands", "sketch")).alias("r"))
-    classes = scratch.save(classes.select("n", "f1", "f2", F.col("r.doc_id").alias("node"), "r.text_key", "r.bands", "r.sketch"), "classes")
+    # the number is fixed by writing it; a doc_id may stand for several texts and so for several classes
+    numbered = classes.select("n", "f1", "f2", F.monotonically_increasing_id().alias("node"), "r.doc_id", "r.text_key", "r.bands", "r.sketch")
+    classes = scratch.save(numbered, "classes")
 
     banded = classes.select("node", "n", F.explode("bands").alias("bucket"))
     sizes = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
@@ -254,10 +263,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     weights = members.groupBy("node").agg(F.sum("size").alias("weight"))
     hubs = members.join(weights, "node").groupBy("bucket").agg(F.min(F.struct(-F.col("weight"), "node"))["node"].alias("hub"))
 
-    wanted = members.select("node").distinct().join(classes.select("node", "text_key"), "node")
+    wanted = members.select("node").distinct().join(classes.select("node", "doc_id", "text_key"), "node")
     packed = text.where("doc_id is not null").mapInArrow(_packed, "doc_id long, text_key long, data binary")
-    found = packed.join(wanted.withColumnRenamed("node", "doc_id"), ["doc_id", "text_key"], "left_semi")
-    sets = scratch.save(found.dropDuplicates(["doc_id", "text_key"]).select(F.col("doc_id").alias("node"), "data"), "sets")
+    found = packed.join(wanted, ["doc_id", "text_key"])
+    sets = scratch.save(found.dropDuplicates(["doc_id", "text_key"]).select("node", "data"), "sets")
 
     def like(x: str, y: str) -> F.Column:
         return F.least(x, y) * 100 >= F.greatest(x, y) * percent
@@ -311,11 +320,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     stars = groups.where("node != component").select(F.col("node").alias("a"), F.col("component").alias("b"))
     groups = scratch.save(components(stars.union(linked(pairs, "links-1")), scratch, "stars-1"), "groups-1")
 
-    named = classes.select("n", "f1", "f2", "node").join(groups, "node", "left")
-    named = scratch.save(named.select("n", "f1", "f2", F.coalesce("component", "node").alias("component_id")), "named")
-    scratch.drop("sets", "members", "classes")
-    out = signed.select("doc_id", "n", "f1", "f2").join(named, ["n", "f1", "f2"], "left")
-    mine = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select(F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"), mine.alias("component_id")).withColumn(
-        "kept", F.col("component_id").isNull() | (F.col(id_col) == F.col("component_id"))
-    )
+    least = classes.join(groups, "node").groupBy("component").agg(F.min(F.struct("doc_id", "text_key")).alias("r"))
+    least = scratch.save(least.select("component", F.col("r.doc_id").alias("least_id"), F.col("r.text_key").alias("least_key")), "least")
+    named = classes.select("n", "f1", "f2", "node", "doc_id", "text_key").join(groups.join(least, "component"), "node", "left")
+    named = named.select("n", "f1", "f2", F.coalesce("least_id", "doc_id").alias("component_id"), F.coalesce("least_key", "text_key").alias("least_key"))
+    named = scratch.save(named, "named")
+    scratch.drop("sets", "members", "classes", "least")
+    out = signed.select("doc_id", "text_key", "n", "f1", "f2").join(named, ["n", "f1", "f2"], "left")
+    real = (F.col("n") > 0) & F.col("doc_id").isNotNull()
+    kept = ~real | ((F.col("doc_id") == F.col("component_id")) & (F.col("text_key") == F.col("least_key")))
+    mine = F.when(real, F.col("component_id")).otherwise(F.col("doc_id"))
+    return out.select(F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"), mine.alias("component_id"), kept.alias("kept"), "text_key")

@@ -115,6 +115,22 @@ def test_near_copies_with_many_outliers_lose_no_link(spark):
     assert len(set(parent)) > 1
 
 
+def test_texts_that_share_an_id_are_judged_one_by_one(spark):
+    text = lambda name, tail="": " ".join(f"{name}{k}" for k in range(60)) + tail
+    x, y, b = text("x"), text("y"), text("b")
+    rows = [(3, x), (5, x + " near"), (5, b), (6, y), (5, y + " near"), (8, b + " near"), (9, text("q")), (9, text("q", " near")), (7, x + "  near"), (7, text("z"))]
+    schema = "doc_id long, text string"
+    got = {(r.doc_id, t): (r.component_id, r.kept) for r in near_dup.judged_texts(spark.createDataFrame(rows, schema)).collect()
+           for i, t in rows if i == r.doc_id and spark.createDataFrame([(t,)], "t string").select(F.xxhash64("t")).first()[0] == r.text_key}
+    nine = [got.pop((9, t)) for t in (text("q"), text("q", " near"))]
+    assert got == {
+        (3, x): (3, True), (5, x + " near"): (3, False), (5, b): (5, True), (6, y): (5, False), (5, y + " near"): (5, True),
+        (8, b + " near"): (5, False), (7, x + "  near"): (3, False), (7, text("z")): (7, True),
+    }
+    assert [c for c, _ in nine] == [9, 9] and sorted(k for _, k in nine) == [False, True]
+    assert near_dup.near_duplicates(spark.createDataFrame(rows, schema)).columns == ["doc_id", "n_shingles", "component_id", "kept"]
+
+
 def test_substring(docs, texts, empty):
     for width in (35, 3):
         count = collections.Counter(tuple(w[i : i + width]) for w in (words(t, False) for t in texts.values()) for i in range(len(w) - width + 1))

@@ -86,7 +86,7 @@ def item_indexes(texts: list[bytes], width: int, percent: int) -> tuple[list[Ite
         least, most = min(len(sets[k]) for k in members), max(len(sets[k]) for k in members)
         cell, cells, n = -(-least // 2), [], 1
         while not cells or 2 * cells[-1] < most:
-            smallest = max(least, cell + 1)
+            smallest = cell + 1 if cells else least
             similar = share * smallest / (3 * cell + (1 - share) * smallest)
             n = max(n, math.ceil(math.log(MISS) / math.log1p(-min(similar, 0.999))))
             cells.append(cell)

@@ -206,6 +206,12 @@ def test_decontamination(spark, docs, texts, empty):
     assert decontam.decontaminate(docs, items.limit(0)).count() == len(texts)
 
 
+def test_items_of_one_shingle_have_coordinates_for_the_miss_bound():
+    for text in (b"x", b"a b c d", b"a b c d e"):
+        (index,), _ = decontam.item_indexes([text], 5, 80)
+        assert (1 - 1 / 3) ** index.coordinates <= decontam.MISS  # one shingle in a window of three
+
+
 def _luhn(d):
     return sum(sum(divmod(int(c) * (1 + k % 2), 10)) for k, c in enumerate(reversed(d))) % 10 == 0
 

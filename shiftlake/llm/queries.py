@@ -10,12 +10,14 @@ from shiftlake.llm.decontam import contained_items
 from shiftlake.llm.langid import predict_languages, train_languages
 from shiftlake.llm.lm import score_documents
 from shiftlake.llm.near_dup import near_duplicates
+from shiftlake.llm.negatives import mine_hard_negatives
 from shiftlake.llm.packing import pack_documents
 from shiftlake.llm.pii import BASE, find_pii
 from shiftlake.llm.quality import quality_score, train_quality
 from shiftlake.llm.substring import remove_repeated_windows
 from shiftlake.llm.topk import top_inner_products
 from shiftlake.llm.toxicity import toxicity_score, train_toxicity
+from shiftlake.llm.whitening import whiten
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -86,9 +88,20 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = whiten(_table(spark, sf_dir, "embeddings"))
+    return out.withColumn("deviation", F.col("deviation").cast("long"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_exact_topk, op3_pii, op4_packing, op5_toxicity, op6_quality, op7_near_duplicates, op8_lm_score,
-    op9_decontamination, op10_substring_dedup,
+    op9_decontamination, op10_substring_dedup, op11_hard_negatives, op13_whitening,
 )}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -142,4 +155,22 @@ ORACLE = {
         lost AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
         SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(lost.n, 0)::BIGINT AS n_removed, sha256(coalesce(kept.t, '')) AS kept_sha256
         FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN lost USING (doc_id)""",
+    "op11_hard_negatives": """
+        WITH v AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (
+            SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_inner_product(a.e, c.e)::BIGINT AS score
+            FROM v a JOIN v c ON a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0),
+        p AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+        r AS (
+            SELECT anchor_id, positive_id, s.vec_id AS negative_id, positive_score, s.score AS negative_score,
+                row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.vec_id)::INTEGER AS rank
+            FROM p JOIN s USING (anchor_id)
+            WHERE NOT same AND 80 * positive_score <= 100 * s.score AND 100 * s.score <= 100 * positive_score)
+        SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM r WHERE rank <= 5""",
 }

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shiftlake.llm.decontam import contained_items
+from shiftlake.llm.fingerprint import fingerprint_edits
 from shiftlake.llm.langid import predict_languages, train_languages
 from shiftlake.llm.lm import score_documents
 from shiftlake.llm.near_dup import near_duplicates
@@ -94,6 +95,10 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mine_hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
 
 
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_edits(_table(spark, sf_dir, "documents")).drop("n_rows")
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = whiten(_table(spark, sf_dir, "embeddings"))
     return out.withColumn("deviation", F.col("deviation").cast("long"))
@@ -101,7 +106,7 @@ def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_exact_topk, op3_pii, op4_packing, op5_toxicity, op6_quality, op7_near_duplicates, op8_lm_score,
-    op9_decontamination, op10_substring_dedup, op11_hard_negatives, op13_whitening,
+    op9_decontamination, op10_substring_dedup, op11_hard_negatives, op12_fingerprints, op13_whitening,
 )}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

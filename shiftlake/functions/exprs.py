@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shiftlake.functions.dates import in_utc
 from shiftlake.params import NA_TOKENS, PY_WHITESPACE_CHARS, PY_WHITESPACE_CLASS, TS_MAX, TS_MIN
 
 MICROS_PER_MINUTE = 60_000_000
@@ -64,8 +65,8 @@ def coerce_timestamp(c: Column | str, dtype: T.DataType, formats: Sequence[str])
     """
     c = _c(c)
     if isinstance(dtype, T.StringType):
-        parsed = F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats])
-        return _in_range(as_ntz(parsed))
+        parsed = F.coalesce(*[in_utc(as_ntz(F.try_to_timestamp(c, F.lit(f))), c, f) for f in formats])
+        return _in_range(parsed)
     if isinstance(dtype, (T.TimestampNTZType, T.TimestampType, T.DateType)):
         return _in_range(as_ntz(c))
     return F.lit(None).cast(T.TimestampNTZType())

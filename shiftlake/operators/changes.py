@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from shiftlake.operators.silver import with_is_active, with_tenure_days
 from shiftlake.params import DEFAULT, Params
+from shiftlake.session import checkpoint_root
 
 ID = "client_employee_id"
 UPDATABLE = ("first_name", "last_name", "department_name")
@@ -84,11 +85,26 @@ def delete(silver: DataFrame, changes: DataFrame) -> DataFrame:
 def rejects(silver: DataFrame, changes: DataFrame) -> DataFrame:
     """Changes that cannot apply: an update or delete of an id that does not exist
     at its turn, or an update with no field (the 404 / 400 answers of a
-    row-at-a-time service)."""
-    before = Window.partitionBy(ID).orderBy(_place()).rowsBetween(Window.unboundedPreceding, -1)
-    last = {op: F.max(F.when(F.col("op") == op, _place())).over(before) for op in ("delete", "insert")}
+    row-at-a-time service).
+
+    Whether an id exists is a scan over its changes in order. The changes are
+    range-split on (id, place), so one id may fill many tasks; each part's last delete and insert of an
+    id go to the later parts.
+    """
+    checkpoint_root(silver.sparkSession)
+    parts = int(silver.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    op_at = lambda op: F.max(F.when(F.col("op") == op, F.col("_at")))
+    # the split is sampled, so it is checkpointed: what is carried over a border must belong to it
+    placed = changes.withColumn("_at", _place()).repartitionByRange(parts, ID, "_at").withColumn("_part", F.spark_partition_id()).checkpoint()
+    # the last delete and insert of an id in each part, carried over to the later parts
+    per_part = placed.where(F.col(ID).isNotNull()).groupBy("_part", ID).agg(op_at("delete").alias("_d"), op_at("insert").alias("_i"))
+    earlier = Window.partitionBy(ID).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = per_part.select("_part", ID, F.max("_d").over(earlier).alias("_d"), F.max("_i").over(earlier).alias("_i"))
+    before = Window.partitionBy("_part", ID).orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
     known = _ids(silver).withColumn("_known", F.lit(True))
-    judged = changes.withColumn("_del", last["delete"]).withColumn("_ins", last["insert"]).join(known, ID, "left")
+    judged = placed.join(carried, ["_part", ID], "left")
+    judged = judged.withColumn("_del", F.greatest("_d", op_at("delete").over(before))).withColumn("_ins", F.greatest("_i", op_at("insert").over(before)))
+    judged = judged.join(known, ID, "left")
     there = F.when(F.col("_del").isNull(), F.col("_known").isNotNull() | F.col("_ins").isNotNull()).otherwise(
         F.col("_ins").isNotNull() & F.coalesce(F.col("_ins") > F.col("_del"), F.lit(False))
     ) & F.col(ID).isNotNull()

@@ -22,7 +22,8 @@ Plan (a sweep, linear in the inputs):
    so each employee is one equi-join row.
 3. Whether ``lo <= hi`` is decided by the days, except when hire and
    termination fall on the same day that holds several distinct apply
-   times; those few employees are settled by a sort of that day's points.
+   times; those few employees are settled by that day's seconds, and where one second
+   holds both ends, by its times.
 4. Intervals of one id are merged (duplicate ids after inserts), then the
    count per month is (intervals started by the month) - (intervals ended
    before it), a running sum over the observed months (bounded as in 1).
@@ -30,6 +31,8 @@ Plan (a sweep, linear in the inputs):
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,6 +40,11 @@ from shiftlake.functions.exprs import month_start
 from shiftlake.session import checkpoint_root
 
 
+def apply_times(timesheets: DataFrame, date_col: str = "punch_apply_date") -> DataFrame:
+    """The distinct observed apply times (a null one included): all that the headcount needs of the timesheets."""
+    return timesheets.select(date_col).distinct()
+
+
 def _scalar(df: DataFrame) -> Column:
     return df.scalar()
 
@@ -125,9 +133,8 @@ def headcount_by_month(
     emp = emp.withColumn("needs_points", needs_points)
     spans = emp.where(~F.col("needs_points") & (F.col("lo_day") <= F.col("hi_day"))).select("id", "lo_day", "hi_day")
     point_emps = emp.where(F.col("needs_points"))
-    # rare: only days holding several distinct apply times can need it (checked
-    # on the small day summary first), then only employees hired and gone that day
-    if not observed.where(F.col("dmin") < F.col("dmax")).isEmpty() and not point_emps.isEmpty():
+    # rare: only days holding several distinct apply times can need it (checked on the small day summary)
+    if not observed.where(F.col("dmin") < F.col("dmax")).isEmpty():
         spans = spans.unionByName(_same_day_check(timesheets.select(d.alias("d")), point_emps))
 
     # 4. merge the spans of one id, count starts and ends per month
@@ -165,38 +172,48 @@ def headcount_by_month(
     return sweep.unionByName(null_month).where(any_employee).orderBy(F.col("month").desc_nulls_last())
 
 
+def _second(t: Column) -> Column:
+    """The whole second a time lies in."""
+    return F.floor(F.timestamp_diff("MICROSECOND", F.lit(dt.datetime(1970, 1, 1)).cast("timestamp_ntz"), t) / F.lit(1_000_000))
+
+
 def _same_day_check(dates: DataFrame, emp: DataFrame) -> DataFrame:
     """Spans of employees whose hire and termination share a busy day.
 
-    The employee counts iff some apply time t of that day has hire <= t < term,
-    i.e. (#times < term) - (#times < hire) > 0. The day's distinct times and the
-    two points of each employee are sorted together per day; no pairs are formed.
+    The employee counts iff some apply time t of that day has hire <= t < term.
+    First by seconds: if hire and term lie in different ones, the last time in the
+    hire's second and the first time after that second decide, found on at most
+    86,400 rows a day. Only spans inside one second need its single times, at most
+    a million. Equal spans are judged once; no pairs are formed.
     """
-    days = emp.select(F.col("hday").alias("day")).distinct()
+    days = emp.select(F.col("hday").alias("day")).distinct()  # bounded by the days of the timestamp range
     times = (
         dates.where(F.col("d").isNotNull())
-        .select(F.col("d").cast("date").alias("day"), F.col("d").alias("t"))
+        .select(F.col("d").cast("date").alias("day"), F.col("d").cast("timestamp_ntz").alias("t"))
         .join(F.broadcast(days), "day", "left_semi")
         .distinct()
-        .select(
-            "day", "t", F.lit(None).cast(emp.schema["id"].dataType).alias("id"),
-            F.lit(None).cast("struct<hire:timestamp_ntz,term:timestamp_ntz>").alias("span"), F.lit(1).alias("kind"),
-        )
-    )
-    span = F.struct(F.col("hire").cast("timestamp_ntz").alias("hire"), F.col("term").cast("timestamp_ntz").alias("term"))
-    points = emp.select(
-        F.col("hday").alias("day"), F.col("hire").alias("t"), "id", span.alias("span"), F.lit(0).alias("kind")
-    ).unionByName(
-        emp.select(F.col("hday").alias("day"), F.col("term").alias("t"), "id", span.alias("span"), F.lit(2).alias("kind"))
-    )
-    # at equal times the employee points sort first, so a time equal to the hire
-    # counts as inside and a time equal to the termination as outside
-    w = Window.partitionBy("day").orderBy("t", F.col("kind") % 2).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = times.unionByName(points).withColumn("below", F.sum(F.col("kind") % 2).over(w))
-    ranked = ranked.where(F.col("kind") != 1)
-    per_emp = ranked.groupBy("id", "day", "span").agg(
-        (F.max(F.when(F.col("kind") == 2, F.col("below"))) - F.max(F.when(F.col("kind") == 0, F.col("below")))).alias(
-            "inside"
-        )
+        .withColumn("sec", _second(F.col("t")))
     )
-    return per_emp.where(F.col("inside") > 0).select("id", F.col("day").alias("lo_day"), F.col("day").alias("hi_day"))
+    own = emp.select(F.col("hday").alias("day"), F.col("hire").cast("timestamp_ntz").alias("hire"), F.col("term").cast("timestamp_ntz").alias("term"))
+    spans = own.distinct().withColumn("sec", _second(F.col("hire"))).withColumn("end_sec", _second(F.col("term")))
+
+    # per second its first and last time, and the first time of a later second
+    none = F.lit(None).cast("timestamp_ntz")
+    seconds = times.groupBy("day", "sec").agg(F.min("t").alias("lo"), F.max("t").alias("hi"))
+    asked = spans.select("day", "sec", none.alias("lo"), none.alias("hi"))
+    line = seconds.unionByName(asked.distinct()).groupBy("day", "sec").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    later = Window.partitionBy("day").orderBy(F.col("sec").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    line = line.withColumn("next_lo", F.last("lo", ignorenulls=True).over(later))
+    apart = spans.where(F.col("sec") < F.col("end_sec")).join(line, ["day", "sec"]).where((F.col("hi") >= F.col("hire")) | (F.col("next_lo") < F.col("term")))
+
+    # within one second: the first time at or after the hire
+    close = spans.where(F.col("sec") == F.col("end_sec"))
+    points = times.join(close.select("day", "sec").distinct(), ["day", "sec"], "left_semi").select("day", "sec", "t", none.alias("term"), F.lit(1).alias("is_time"))
+    points = points.unionByName(close.select("day", "sec", F.col("hire").alias("t"), "term", F.lit(0).alias("is_time")))
+    down = Window.partitionBy("day", "sec").orderBy(F.col("t").desc(), F.col("is_time").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    points = points.withColumn("next_t", F.last(F.when(F.col("is_time") == 1, F.col("t")), ignorenulls=True).over(down))
+    within = points.where((F.col("is_time") == 0) & (F.col("next_t") < F.col("term")))
+
+    held = apart.select("day", "hire", "term").unionByName(within.select("day", F.col("t").alias("hire"), "term"))
+    same = (F.col("hday") == F.col("day")) & (emp["hire"].cast("timestamp_ntz") == held["hire"]) & (emp["term"].cast("timestamp_ntz") == held["term"])
+    return emp.join(held, same).select("id", F.col("day").alias("lo_day"), F.col("day").alias("hi_day"))

@@ -7,10 +7,11 @@ already typed (from Parquet); the coercions handle both.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shiftlake.functions.dates import ALL_FORMATS, first_values, infer_format
 from shiftlake.functions.exprs import coerce_timestamp, days_floor, flag, minutes_between
 from shiftlake.operators.dedup import keep_first
 from shiftlake.params import (
@@ -36,13 +37,30 @@ def dedup_employees(df: DataFrame) -> DataFrame:
     return keep_first(df, [EMPLOYEE_KEY], INGEST_COL)
 
 
-def coerce_employee_dates(df: DataFrame, params: Params = DEFAULT) -> DataFrame:
+def _coerced(df: DataFrame, dates: list[str], numbers: list[str], params: Params, seen: Observation | None) -> DataFrame:
+    """The columns as naive timestamps and doubles; ``seen`` is told, per column, how many values were lost."""
+    first = first_values(df, dates, INGEST_COL) if params.ts_formats is None and INGEST_COL in df.columns else {}
+    parsed = {}
+    for name in dates:
+        known = infer_format(first.get(name))
+        formats = params.ts_formats or ((known,) if known else ALL_FORMATS)
+        parsed[name] = coerce_timestamp(name, _dtype(df, name), formats)
+    for name in numbers:
+        if not isinstance(_dtype(df, name), T.DoubleType):
+            parsed[name] = F.col(name).try_cast("double")
+    if seen is not None and parsed:
+        new = {name: f"_parsed_{name}" for name in parsed}
+        df = df.select("*", *[c.alias(new[name]) for name, c in parsed.items()])
+        lost = [F.count_if(F.col(name).isNotNull() & F.col(new[name]).isNull()).alias(f"lost_{name}") for name in parsed]
+        df = df.observe(seen, F.count(F.lit(1)).alias("rows"), *lost)
+        parsed = {name: F.col(new[name]) for name in parsed}
+        return df.select(*[parsed.get(c, F.col(f"`{c}`")).alias(c) for c in df.columns if c not in new.values()])
+    return df.withColumns(parsed) if parsed else df
+
+
+def coerce_employee_dates(df: DataFrame, params: Params = DEFAULT, seen: Observation | None = None) -> DataFrame:
     """Hire, term and birth dates to naive timestamps; bad values to null."""
-    out = df
-    for name in EMPLOYEE_DATE_COLS:
-        if name in df.columns:
-            out = out.withColumn(name, coerce_timestamp(name, _dtype(df, name), params.ts_formats))
-    return out
+    return _coerced(df, [c for c in EMPLOYEE_DATE_COLS if c in df.columns], [], params, seen)
 
 
 def with_is_active(df: DataFrame) -> DataFrame:
@@ -56,11 +74,11 @@ def with_tenure_days(df: DataFrame, params: Params = DEFAULT) -> DataFrame:
     return df.withColumn("tenure_days", days_floor(F.col("hire_date"), end))
 
 
-def transform_employees(df: DataFrame, params: Params = DEFAULT) -> DataFrame:
+def transform_employees(df: DataFrame, params: Params = DEFAULT, seen: Observation | None = None) -> DataFrame:
     """E5: E1 to E4 in order."""
     return (
         df.transform(dedup_employees)
-        .transform(coerce_employee_dates, params)
+        .transform(coerce_employee_dates, params, seen)
         .transform(with_is_active)
         .transform(with_tenure_days, params)
     )
@@ -74,14 +92,9 @@ def dedup_timesheets(df: DataFrame) -> DataFrame:
     return keep_first(df, list(TIMESHEET_KEY), INGEST_COL)
 
 
-def coerce_timesheet_datetimes(df: DataFrame, params: Params = DEFAULT) -> DataFrame:
+def coerce_timesheet_datetimes(df: DataFrame, params: Params = DEFAULT, seen: Observation | None = None) -> DataFrame:
     """The five date-time columns to naive timestamps; bad values to null."""
-    out = df
-    for name in TIMESHEET_TS_COLS:
-        out = out.withColumn(name, coerce_timestamp(name, _dtype(df, name), params.ts_formats))
-    if "hours_worked" in df.columns and not isinstance(_dtype(df, "hours_worked"), T.DoubleType):
-        out = out.withColumn("hours_worked", F.col("hours_worked").try_cast("double"))
-    return out
+    return _coerced(df, list(TIMESHEET_TS_COLS), [c for c in ("hours_worked",) if c in df.columns], params, seen)
 
 
 def with_minutes(df: DataFrame) -> DataFrame:
@@ -106,11 +119,11 @@ def with_flags(df: DataFrame, params: Params = DEFAULT) -> DataFrame:
     )
 
 
-def transform_timesheets(df: DataFrame, params: Params = DEFAULT) -> DataFrame:
+def transform_timesheets(df: DataFrame, params: Params = DEFAULT, seen: Observation | None = None) -> DataFrame:
     """T1 to T8 in order."""
     return (
         df.transform(dedup_timesheets)
-        .transform(coerce_timesheet_datetimes, params)
+        .transform(coerce_timesheet_datetimes, params, seen)
         .transform(with_minutes)
         .transform(with_flags, params)
     )

@@ -73,10 +73,10 @@ EMPLOYEE_KEY = "client_employee_id"
 TIMESHEET_KEY = ("client_employee_id", "punch_in_datetime")
 INGEST_COL = "_ingest"  # struct giving the original row order (file order)
 
-# Default text formats for timestamp columns, tried in order (``Params.ts_formats``
-# replaces them): an ISO date, optionally followed by a time (space or 'T', seconds
+# Text formats for timestamp columns, to be tried in order value by value
+# (``Params.ts_formats=LENIENT_TS_FORMATS``): an ISO date, optionally followed by a time (space or 'T', seconds
 # and up to nine fraction digits optional) and a 'Z'; a month-first date with slashes.
-DEFAULT_TS_FORMATS = ("yyyy-MM-dd[['T'][ ]HH:mm[:ss][.SSSSSSSSS]]['Z']", "M/d/yyyy[ H:mm[:ss]]")
+LENIENT_TS_FORMATS = ("yyyy-MM-dd[['T'][ ]HH:mm[:ss][.SSSSSSSSS]]['Z']", "M/d/yyyy[ H:mm[:ss]]")
 
 
 def _today() -> _dt.datetime:
@@ -96,7 +96,7 @@ class Params:
     early_attrition_days: int = 90
     rolling_rows: int = 30
     var_early_months: int = 3
-    ts_formats: tuple = field(default=DEFAULT_TS_FORMATS)
+    ts_formats: tuple | None = None  # formats tried value by value; none: each column's own, taken from its first value
     sample_seed: str = "42"
     # rows of the top reports
     limit_weekly_hours: int = 1000
@@ -104,6 +104,18 @@ class Params:
     limit_early: int = 100
     limit_overtime: int = 100
     limit_rolling: int = 5000
+    # raw files
+    multi_line: bool = True  # quoted cells may hold line breaks
+    several_employee_files: str = "error"  # or "first" (by name), or "all"
+    cluster_by_date: bool = False  # silver timesheets in files of a few days each, with an index of the files
+    allow_rejects: bool = False  # rows with more cells than their header don't end the run
 
 
-DEFAULT = Params()
+class _Default:
+    """The default parameters, made anew at each use: a long-lived driver's "today" moves on."""
+
+    def __getattr__(self, name: str):
+        return getattr(Params(), name)
+
+
+DEFAULT = _Default()

@@ -28,7 +28,7 @@ from shiftlake.plans import variants as V
 from shiftlake.session import configure, scratch_path
 from shiftlake.sources import fixture_files, raw_csv
 from shiftlake.sources import fixtures as FX
-from shiftlake.sources.lake import Lake, read_silver_timesheets, write_silver_employees, write_silver_timesheets
+from shiftlake.sources.lake import Lake, read_silver_timesheets, write_silver
 
 #: The driver tables end in 2001: tenure runs to the day after.
 FIXTURE = Params(as_of=dt.datetime(2002, 1, 1))
@@ -76,8 +76,7 @@ def _silver_written(spark: SparkSession, sf_dir: str) -> Lake:
     with _LOCK:
         if key not in _SILVER:
             lake = Lake(scratch_path(spark, "fixture-lake"))
-            write_silver_employees(silver_employees_plan(spark, sf_dir), lake)
-            write_silver_timesheets(silver_timesheets_plan(spark, sf_dir), lake)
+            write_silver(spark, lake, silver_employees_plan(spark, sf_dir), silver_timesheets_plan(spark, sf_dir))
             _SILVER[key] = lake
         return _SILVER[key]
 
@@ -198,12 +197,12 @@ def _raw(spark, sf_dir):
 
 @register("src_employees_csv")
 def q_src_employees_csv(spark, sf_dir):
-    return raw_csv.extract_employees(spark, _raw(spark, sf_dir)).drop(INGEST_COL)
+    return raw_csv.accepted(raw_csv.extract_employees(spark, _raw(spark, sf_dir), keep_rejects=True)).drop(INGEST_COL)
 
 
 @register("src_timesheets_csv")
 def q_src_timesheets_csv(spark, sf_dir):
-    return raw_csv.extract_timesheets(spark, _raw(spark, sf_dir)).drop(INGEST_COL)
+    return raw_csv.accepted(raw_csv.extract_timesheets(spark, _raw(spark, sf_dir), keep_rejects=True)).drop(INGEST_COL)
 
 
 DOC_TEXT_COLS = ("text", "lang", "source")
@@ -229,9 +228,8 @@ def _bronze(spark, sf_dir) -> Lake:
     with _LOCK:
         if key not in _LAKES:
             lake = Lake(scratch_path(spark, "lake"))
-            raw_csv.load_bronze(
-                raw_csv.extract_employees(spark, raw), raw_csv.extract_timesheets(spark, raw), f"{lake.root}/bronze"
-            )
+            emp = raw_csv.extract_employees(spark, raw, keep_rejects=True)
+            raw_csv.load_bronze(emp, raw_csv.extract_timesheets(spark, raw, keep_rejects=True), lake)
             _LAKES[key] = lake
         return _LAKES[key]
 
@@ -251,12 +249,18 @@ _LAKES: dict = {}
 
 @register("bronze_employees")
 def q_bronze_employees(spark, sf_dir):
-    return _bronze(spark, sf_dir).read(spark, "bronze", "bronze_employees").drop(INGEST_COL)
+    return raw_csv.accepted(_bronze(spark, sf_dir).read(spark, "bronze", "bronze_employees")).drop(INGEST_COL)
 
 
 @register("bronze_timesheets")
 def q_bronze_timesheets(spark, sf_dir):
-    return _bronze(spark, sf_dir).read(spark, "bronze", "bronze_timesheets").drop(INGEST_COL)
+    return raw_csv.accepted(_bronze(spark, sf_dir).read(spark, "bronze", "bronze_timesheets")).drop(INGEST_COL)
+
+
+@register("bronze_rejects")
+def q_bronze_rejects(spark, sf_dir):
+    rejects = job.write_rejects(spark, _bronze(spark, sf_dir))
+    return rejects.select("table_name", F.regexp_extract("file", "(timesheet_[0-9]+)", 1).alias("file"), "record")
 
 
 @register("silver_employees_from_files")
@@ -267,7 +271,7 @@ def q_silver_employees_from_files(spark, sf_dir):
 @register("silver_timesheets_from_files")
 def q_silver_timesheets_from_files(spark, sf_dir):
     ts = read_silver_timesheets(spark, _silver_lake(spark, sf_dir))
-    return ts.select(*TS_RAW_COLS, *TS_FLAG_COLS, "shift_label")
+    return ts.select(*TS_RAW_COLS, *TS_FLAG_COLS, "shift_label", "shift_note")
 
 
 # --- serving reads -------------------------------------------------------------------
@@ -290,6 +294,13 @@ def q_read_timesheets_filtered(spark, sf_dir):
     return out.select(*TS_RAW_COLS, *TS_FLAG_COLS)
 
 
+@register("read_timesheets_counted")
+def q_read_timesheets_counted(spark, sf_dir):
+    ts = silver_timesheets(spark, sf_dir)
+    out = SV.timesheets_counted(ts, client_employee_id="7", start_date="1996-01-01", limit=30)
+    return out.select(*TS_RAW_COLS, "count")
+
+
 @register("serve_active_headcount")
 def q_serve_active_headcount(spark, sf_dir):
     return SV.active_headcount(gold(spark, sf_dir, "kpi_active_headcount"))
@@ -439,43 +450,40 @@ def change_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier = FX.table(spark, sf_dir, "supplier")
     customer = FX.table(spark, sf_dir, "customer")
     nation = FX.table(spark, sf_dir, "nation")
-    null_s, null_t = F.lit(None).cast("string"), F.lit(None).cast("timestamp_ntz")
+    text, time = F.lit(None).cast("string"), F.lit(None).cast("timestamp_ntz")
+
+    def row(op, cid, seq, first=text, last=text, dept=text, hire=time):
+        return F.struct(F.lit(op).alias("op"), cid.cast("bigint").alias("client_employee_id"), first.alias("first_name"),
+                        last.alias("last_name"), dept.alias("department_name"), hire.alias("hire_date"),
+                        F.lit(seq).cast("bigint").alias("seq"))
 
-    def row(op, cid, first, last, dept, hire, seq):
-        return [F.lit(op).alias("op"), cid.cast("bigint").alias("client_employee_id"), first.alias("first_name"),
-                last.alias("last_name"), dept.alias("department_name"), hire.alias("hire_date"),
-                F.lit(seq).cast("bigint").alias("seq")]
+    def batch(source, rules):
+        """One scan of the source: each row gives the changes of the rules it fulfils."""
+        changes = F.filter(F.array(*[F.when(rule, change) for rule, change in rules]), lambda x: x.isNotNull())
+        return source.select(F.inline(changes))
 
     base_day = F.lit(dt.datetime(1996, 1, 1)).cast("timestamp_ntz")
-    inserts = supplier.select(*row(
-        "insert", -F.col("s_suppkey"), F.lit("Supplier"), F.col("s_name"), F.lit("SUPPLY"),
-        base_day + F.make_dt_interval(F.col("s_suppkey").cast("int")), 1,
-    ))
-    updates = customer.where(F.col("c_acctbal") > 9000).join(
-        F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey")
-    ).select(*row("update", F.col("c_custkey"), null_s, null_s, F.col("n_name"), null_t, 2))
-    empty = customer.where(F.col("c_acctbal") < -990).select(
-        *row("update", F.col("c_custkey"), null_s, null_s, null_s, null_t, 2)
-    )
-    deletes = customer.where(
-        ((F.col("c_acctbal") < -900) & (F.col("c_acctbal") >= -990)) | (F.col("c_acctbal") > 9900)
-    ).select(*row("delete", F.col("c_custkey"), null_s, null_s, null_s, null_t, 3))
-    unknown = supplier.where(F.col("s_acctbal") < 0).select(
-        *row("delete", -F.col("s_suppkey") - F.lit(1_000_000_000), null_s, null_s, null_s, null_t, 4)
-    )
-    out = inserts.unionByName(updates).unionByName(empty).unionByName(deletes).unionByName(unknown)
-    cid, name = F.col("c_custkey"), F.col("c_name")
-    text = F.lit
-    for rest, op, who, first, last, dept, hire, seq in (
-        (1, "update", cid, text("Ann"), null_s, null_s, null_t, 5), (1, "update", cid, null_s, text("Two"), null_s, null_t, 6),
-        (2, "delete", cid, null_s, null_s, null_s, null_t, 7), (2, "insert", cid, text("Again"), name, text("REHIRED"), base_day, 8),
-        (3, "insert", cid + 10_000_000, text("New"), name, text("NEW"), base_day, 5), (3, "update", cid + 10_000_000, null_s, null_s, text("MOVED"), null_t, 6),
-        (4, "update", cid, null_s, null_s, text("GONE"), null_t, 5), (4, "delete", cid, null_s, null_s, null_s, null_t, 6),
-        (5, "update", cid, null_s, text("Alpha"), null_s, null_t, 5), (5, "update", cid, null_s, text("Beta"), null_s, null_t, 5),
-        (6, "update", cid, text("Early"), text("Early"), null_s, null_t, None), (6, "update", cid, text("Late"), null_s, null_s, null_t, 5),
-    ):
-        out = out.unionByName(customer.where(cid % 50 == rest).select(*row(op, who, first, last, dept, hire, seq)))
-    return out
+    own = F.col("s_suppkey")
+    hire = base_day + F.make_dt_interval(own.cast("int"))
+    suppliers = batch(supplier, [
+        (F.lit(True), row("insert", -own, 1, F.lit("Supplier"), F.col("s_name"), F.lit("SUPPLY"), hire)),
+        (F.col("s_acctbal") < 0, row("delete", -own - F.lit(1_000_000_000), 4)),
+    ])
+    cid, name, money, lit = F.col("c_custkey"), F.col("c_name"), F.col("c_acctbal"), F.lit
+    fifty = lambda k: cid % 50 == k
+    customers = batch(customer.join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"), "left"), [
+        ((money > 9000) & F.col("n_name").isNotNull(), row("update", cid, 2, dept=F.col("n_name"))),
+        (money < -990, row("update", cid, 2)),
+        (((money < -900) & (money >= -990)) | (money > 9900), row("delete", cid, 3)),
+        (fifty(1), row("update", cid, 5, first=lit("Ann"))), (fifty(1), row("update", cid, 6, last=lit("Two"))),
+        (fifty(2), row("delete", cid, 7)), (fifty(2), row("insert", cid, 8, lit("Again"), name, lit("REHIRED"), base_day)),
+        (fifty(3), row("insert", cid + 10_000_000, 5, lit("New"), name, lit("NEW"), base_day)),
+        (fifty(3), row("update", cid + 10_000_000, 6, dept=lit("MOVED"))),
+        (fifty(4), row("update", cid, 5, dept=lit("GONE"))), (fifty(4), row("delete", cid, 6)),
+        (fifty(5), row("update", cid, 5, last=lit("Alpha"))), (fifty(5), row("update", cid, 5, last=lit("Beta"))),
+        (fifty(6), row("update", cid, None, lit("Early"), lit("Early"))), (fifty(6), row("update", cid, 5, lit("Late"))),
+    ])
+    return suppliers.unionByName(customers)
 
 
 def _changes(fn):

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shiftlake.functions.exprs import round_half_away
-from shiftlake.operators.rolling import rolling_all
+from shiftlake.operators.rolling import rolling_all_balanced
 from shiftlake.params import CHART_SAMPLE_EMPLOYEES, CHART_TOP, CHART_WEEKS, DEFAULT, Params
 
 ID = "client_employee_id"
@@ -77,7 +77,7 @@ def rolling_sample(ts: DataFrame, params: Params = DEFAULT, employees: int = CHA
     same ten ids on every run and in SQL; the window runs over their rows only.
     """
     draw = md5_order(ts, params.sample_seed).limit(employees)
-    rows = rolling_all(ts.join(draw, ID, "left_semi"), rows=params.rolling_rows, digits=2)
+    rows = rolling_all_balanced(ts.join(draw, ID, "left_semi"), rows=params.rolling_rows, digits=2)
     return rows.orderBy(
         F.col("punch_apply_date").desc_nulls_last(), F.col(ID).asc_nulls_last(),
         F.col("rolling_30day_avg").asc_nulls_last(),

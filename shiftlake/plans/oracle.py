@@ -178,6 +178,8 @@ for _name, _sql in GOLD.items():
 # --- sources / bronze: the fixture as text, as the files hold it -------------------
 
 TS_FMT = "'%Y-%m-%d %H:%M:%S'"
+NOTE = """CASE WHEN year(scheduled_start_datetime) >= 1999 AND punch_out_datetime IS NULL
+       THEN 'line one of "' || client_employee_id || '"' || chr(10) || 'line|two' || chr(10) || chr(10) || 'last' END"""
 SRC_EMP = f"""
 SELECT CAST(client_employee_id AS VARCHAR) AS client_employee_id, first_name, last_name, department_name,
        strftime(hire_date, {TS_FMT}) AS hire_date, strftime(term_date, {TS_FMT}) AS term_date
@@ -190,7 +192,8 @@ SELECT CAST(client_employee_id AS VARCHAR) AS client_employee_id,
        strftime(scheduled_start_datetime, {TS_FMT}) AS scheduled_start_datetime,
        strftime(scheduled_end_datetime, {TS_FMT}) AS scheduled_end_datetime,
        CAST(hours_worked AS VARCHAR) AS hours_worked,
-       CASE WHEN year(scheduled_start_datetime) >= 1999 THEN strftime(scheduled_start_datetime, '%a') END AS shift_label
+       CASE WHEN year(scheduled_start_datetime) >= 1999 THEN strftime(scheduled_start_datetime, '%a') END AS shift_label,
+       {NOTE} AS shift_note
 FROM fx_ts"""
 ORACLE["src_employees_csv"] = BASE + SRC_EMP
 ORACLE["src_timesheets_csv"] = BASE + SRC_TS
@@ -226,8 +229,11 @@ ORACLE["bronze_null_tokens"] = f"SELECT doc_id, {_na('text')}, {_na('lang')}, {_
 ORACLE["silver_employees_from_files"] = BASE + "SELECT * FROM silver_emp"
 ORACLE["silver_timesheets_from_files"] = BASE + (
     f"SELECT {TS_SILVER_COLS}, CASE WHEN year(scheduled_start_datetime) >= 1999 "
-    "THEN strftime(scheduled_start_datetime, '%a') END AS shift_label FROM silver_ts"
+    f"THEN strftime(scheduled_start_datetime, '%a') END AS shift_label, {NOTE} AS shift_note FROM silver_ts"
 )
+ORACLE["bronze_rejects"] = """
+SELECT 'bronze_timesheets' AS table_name, 'timesheet_4' AS file,
+       s_suppkey || repeat('|', 6 + s_suppkey % 10 + 2) || s_name AS record FROM supplier"""
 
 # --- serving reads ------------------------------------------------------------------------
 
@@ -239,6 +245,13 @@ WHERE punch_apply_date >= TIMESTAMP '1996-01-01' AND punch_apply_date <= TIMESTA
 ORDER BY punch_apply_date DESC NULLS LAST, client_employee_id ASC NULLS LAST,
          punch_in_datetime ASC NULLS LAST, k1, k2, k3, k4, k5
 LIMIT 100"""
+ORACLE["read_timesheets_counted"] = BASE + f"""
+SELECT *, count(*) OVER () AS count FROM (
+  SELECT {TS_RAW_COLS} FROM silver_ts
+  WHERE client_employee_id = 7 AND punch_apply_date >= TIMESTAMP '1996-01-01'
+  ORDER BY punch_apply_date DESC NULLS LAST, client_employee_id ASC NULLS LAST,
+           punch_in_datetime ASC NULLS LAST, k1, k2, k3, k4, k5
+  LIMIT 30)"""
 ORACLE["serve_active_headcount"] = with_gold(
     "SELECT month, active_headcount FROM kpi_active_headcount ORDER BY month DESC NULLS LAST LIMIT 12"
 )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ID = "client_employee_id"
@@ -49,3 +49,16 @@ def row_counts(emp: DataFrame, ts: DataFrame) -> DataFrame:
         )
     ).select(F.lit("silver_timesheets").alias("table_name"), "metric", "value")
     return e.unionByName(t)
+
+
+def reject_counts(rejects: DataFrame) -> DataFrame:
+    """The rejected raw rows of each bronze table, in the shape of ``row_counts``."""
+    n = rejects.groupBy("table_name").agg(F.count("*").alias("n"))
+    both = rejects.sparkSession.createDataFrame([("bronze_employees",), ("bronze_timesheets",)], "table_name string")
+    return both.join(n, "table_name", "left").select("table_name", F.lit("rejected_rows").alias("metric"), F.coalesce("n", F.lit(0)).cast("bigint").alias("value"))
+
+
+def loss_counts(spark: SparkSession, seen: dict[str, dict[str, int]]) -> DataFrame:
+    """Values lost when silver was typed, as observed while it was written: table -> metrics; in the shape of ``row_counts``."""
+    rows = [(table, metric, value) for table, metrics in seen.items() for metric, value in metrics.items() if metric.startswith("lost_")]
+    return spark.createDataFrame(rows, "table_name string, metric string, value bigint")

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiftlake.functions.exprs import round_half_away
@@ -68,6 +68,13 @@ def timesheets(
     return df.orderBy(*order).limit(limit)
 
 
+def timesheets_counted(silver_ts: DataFrame, **filters) -> DataFrame:
+    """A3 with the number of returned rows (at most ``limit``) beside each row, in ``count``."""
+    rows = timesheets(silver_ts, **filters)
+    whole = Window.partitionBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return rows.withColumn("count", F.count(F.lit(1)).over(whole))
+
+
 def active_headcount(kpi: DataFrame) -> DataFrame:
     """A4: the latest 12 months."""
     return kpi.select("month", "active_headcount").orderBy(F.col("month").desc_nulls_last()).limit(SERVE_MONTHS)

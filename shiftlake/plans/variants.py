@@ -95,8 +95,7 @@ def overtime(ts: DataFrame, params: Params = DEFAULT) -> DataFrame:
 def rolling_avg(ts: DataFrame, params: Params = DEFAULT) -> DataFrame:
     """V8: unrounded rolling average over all rows, sorted by employee and date.
 
-    One shuffle by employee; employees holding a large share of the rows are
-    split into chunks (``rolling_all_balanced``)."""
+    One range exchange gives both the frames and the order (``rolling_all_balanced``)."""
     silver_named = ts.select(
         F.col("employee_id").alias("client_employee_id"),
         F.col("date").alias("punch_apply_date"),
@@ -105,12 +104,7 @@ def rolling_avg(ts: DataFrame, params: Params = DEFAULT) -> DataFrame:
         "hours_worked",
     )
     scored = rolling_all_balanced(silver_named, rows=params.rolling_rows)
-    # the sort also carries punch-in and ingest order: the range partitioning of
-    # the sort then splits even one employee's rows on one date over tasks
-    return scored.orderBy(
-        F.col("client_employee_id").asc_nulls_last(), F.col("punch_apply_date").asc_nulls_last(),
-        F.col("punch_in_datetime").asc_nulls_last(), F.col(INGEST_COL),
-    ).select(
+    return scored.select(
         F.col("client_employee_id").alias("employee_id"),
         F.col("punch_apply_date").alias("date"),
         "rolling_30day_avg",

@@ -5,8 +5,12 @@ Written by Spark under the shared checkpoint folder:
   employee.csv/         all fixture employees
   timesheet_1.csv/      order years up to 1996, standard column order
   timesheet_2.csv/      order years 1997-1998, columns in reverse order
-  timesheet_3.csv/      order years from 1999, plus a pass-through column
-                        ``shift_label`` (weekday of the scheduled start)
+  timesheet_3.csv/      order years from 1999, plus the pass-through columns
+                        ``shift_label`` (weekday of the scheduled start) and
+                        ``shift_note`` (for punches without an end, quoted text
+                        with line breaks, separators and quotes)
+  timesheet_4.csv/      rejects only: one row for each supplier, with text two to
+                        eleven cells beyond the header
 
 Each folder is range-partitioned and sorted on the fixture ingest order, so
 path order followed by row order is that ingest order.
@@ -64,9 +68,17 @@ def _write_all(spark: SparkSession, sf_dir: str) -> str:
     year = F.year("scheduled_start_datetime")
     _write(ts.where(year <= 1996), TS_COLS, f"{raw}/timesheet_1.csv")
     _write(ts.where((year >= 1997) & (year <= 1998)), list(reversed(TS_COLS)), f"{raw}/timesheet_2.csv")
-    _write(
-        ts.where(year >= 1999).withColumn("shift_label", F.date_format("scheduled_start_datetime", "EEE")),
-        TS_COLS + ["shift_label"],
-        f"{raw}/timesheet_3.csv",
-    )
+    note = F.concat(F.lit('line one of "'), F.col("client_employee_id").cast("string"), F.lit('"\nline|two\n\nlast'))
+    late = ts.where(year >= 1999).withColumn("shift_label", F.date_format("scheduled_start_datetime", "EEE"))
+    late = late.withColumn("shift_note", F.when(F.col("punch_out_datetime").isNull(), note))
+    _write(late, TS_COLS + ["shift_label", "shift_note"], f"{raw}/timesheet_3.csv")
+    _write_surplus(FX.table(spark, sf_dir, "supplier"), f"{raw}/timesheet_4.csv")
     return raw
+
+
+def _write_surplus(supplier: DataFrame, path: str) -> None:
+    """Rows with surplus text as plain lines, the header first in each file."""
+    gap = F.repeat(F.lit(CSV_SEP), (F.col("s_suppkey") % 10 + 2).cast("int"))
+    row = F.concat(F.col("s_suppkey").cast("string"), F.repeat(F.lit(CSV_SEP), F.lit(len(TS_COLS) - 1)), gap, F.col("s_name"))
+    # one column, whose name is the header; its separator occurs in no cell
+    supplier.select(row.alias(CSV_SEP.join(TS_COLS))).write.mode("overwrite").option("header", True).option("sep", "\x01").csv(path)

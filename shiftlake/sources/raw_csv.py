@@ -6,146 +6,202 @@
 * Each row keeps its file order as ``_ingest = (file path, split start, row
   position)``, written with bronze, so keep-first de-duplication downstream
   is reproducible from the written table.
-* Files whose headers differ are read separately (one read per distinct
-  header) and unioned by column name; a single multi-file read would align
-  columns by position.
-* A quoted cell may hold line breaks (``multi_line``, on by default; a file is
-  then read by one task). Turn it off for large files known to have none, which
-  are then split.
-* A row with text in one of the ``SURPLUS`` cells beyond its header fails the
-  job, naming the file; missing cells at the end of a row are null.
+* One catalogue pass over all files (``sources.records``) gives their headers
+  and tells whether any quoted cell holds line breaks; the number of jobs
+  doesn't depend on the number of files. All files are then read in one scan whatever their headers:
+  cells by position, given their names by the file's header.
+* Without such line breaks Spark's CSV source reads the files, split by lines.
+  With them, records are put together from the lines of each split, whose
+  state at its start is known from the catalogue, so a large file is still
+  read by many tasks.
+* A row with text beyond its header is a reject: it stays in bronze with its raw
+  text in ``_reject`` (null in all other rows), in the same pass (written anew from its cells where the
+  CSV source has one cell more than the widest header, and no line for it). Missing cells at the
+  end of a row are null.
+
+Lines end with LF or CR LF; files without any text are left out.
 """
 
 from __future__ import annotations
 
+import csv
 import fnmatch
+import io
 import logging
-from collections import OrderedDict
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from shiftlake.functions.exprs import null_tokens, strip_all
 from shiftlake.params import CSV_QUOTE, CSV_SEP, EMPLOYEE_GLOB, INGEST_COL, TIMESHEET_GLOB
+from shiftlake.session import scratch_path
+from shiftlake.sources import records
+from shiftlake.sources.lake import Lake
 
 log = logging.getLogger(__name__)
 
-HEADER_PROBES = 16  # concurrent header-probe jobs
-SURPLUS = 8  # cells beyond the header that are looked at
+#: Raw text of a row that has more cells than its file's header.
+REJECT_COL = "_reject"
+#: Files whose headers may be broadcast (one hash and one number each).
+MAX_FILES = 4_000_000
 
+_CSV = {
+    "sep": CSV_SEP, "quote": CSV_QUOTE, "escape": CSV_QUOTE, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_raw",
+}
 
-def list_files(spark: SparkSession, raw_dir: str, pattern: str) -> list[str]:
-    """Paths matching ``raw_dir/pattern``, sorted. A match that is a folder of
-    part files (as Spark writes them) contributes its ``*.csv`` parts.
+
+def list_entries(spark: SparkSession, raw_dir: str, pattern: str) -> list[str]:
+    """The files, and folders of part files (as Spark writes them), that match ``raw_dir/pattern``, sorted.
 
     Listed with the ``binaryFile`` source selecting only the path, so file
-    contents are not read.
+    contents are not read; only distinct entries reach the driver.
     """
     base = raw_dir.rstrip("/")
-    found = []
-    for glob in (f"{base}/{pattern}", f"{base}/{pattern}/*.csv"):
-        try:
-            rows = spark.read.format("binaryFile").load(glob).select("path").collect()
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":  # no match for this form
-                raise
-            rows = []
-        found.extend(r.path for r in rows)
-    return sorted(set(p for p in found if not p.rstrip("/").split("/")[-1].startswith(("_", "."))))
-
-
-def _reader(spark: SparkSession, multi_line: bool):
-    return (
-        spark.read.option("sep", CSV_SEP)
-        .option("quote", CSV_QUOTE)
-        .option("escape", CSV_QUOTE)
-        .option("header", True)
-        .option("inferSchema", False)
-        .option("mode", "PERMISSIVE")
-        .option("multiLine", multi_line)
-    )
+    try:
+        paths = spark.read.format("binaryFile").load(f"{base}/{pattern}").select("path")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    name, parent = F.element_at(F.split("path", "/"), -1), F.element_at(F.split("path", "/"), -2)
+    like = fnmatch.translate(pattern).replace("(?s:", "(?s)(?:").replace("\\Z", "\\z").replace("\\z", "$")
+    in_folder = parent.rlike(f"^{like}") & ~name.rlike(f"^{like}")
+    folder = F.regexp_replace("path", "/[^/]*$", "")
+    return sorted(r.e for r in paths.select(F.when(in_folder, folder).otherwise(F.col("path")).alias("e")).distinct().collect())
+
+
+def header_names(header: str) -> list[str]:
+    """Column names of a header record; empty and repeated names get what pandas calls them."""
+    names: list[str] = []
+    for k, cell in enumerate(next(csv.reader(io.StringIO(header.lstrip("﻿"), newline=""), delimiter=CSV_SEP, quotechar=CSV_QUOTE))):
+        name, n = cell or f"Unnamed: {k}", 0
+        while (name if not n else f"{name}.{n}") in names:
+            n += 1
+        names.append(name if not n else f"{name}.{n}")
+    return names
+
+
+def _text_beyond(raw: Column, width: Column) -> Column:
+    """Whether a record has text in a cell beyond the first ``width``."""
+    plain = F.regexp_replace(F.replace(raw, F.lit('""'), F.lit("")), r'(^|\|)"[^"]*"?', '$1"')
+    plain = F.regexp_replace(plain, r"[|\r\n]+$", "")
+    return F.length(plain) - F.length(F.replace(plain, F.lit(CSV_SEP), F.lit(""))) >= width
+
+
+def _as_line(cells: list[str]) -> Column:
+    """Cells written as a record again."""
+    def text(name: str) -> Column:
+        cell = F.coalesce(F.col(name), F.lit(""))
+        return F.when(cell.rlike(r'[|"\r\n]'), F.concat(F.lit('"'), F.replace(cell, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(cell)
+
+    return F.concat_ws(CSV_SEP, *[text(c) for c in cells])
 
 
 def _clean(df: DataFrame) -> DataFrame:
     """Missing tokens to null (on the raw text), then strip every text cell."""
-    return df.select(
-        *[strip_all(null_tokens(F.col(f"`{c}`"))).alias(c) if c != INGEST_COL else F.col(c) for c in df.columns]
-    )
-
-
-def _read_group(spark: SparkSession, paths: list[str], cols: tuple[str, ...], multi_line: bool) -> DataFrame:
-    surplus = [f"_surplus_{k}" for k in range(SURPLUS)]
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*cols, *surplus)])
-    df = _reader(spark, multi_line).schema(schema).csv(paths)
-    ingest = F.struct(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("pos"),
-    )
-    fault = F.raise_error(F.concat(F.lit("more cells than the header in "), F.col("_metadata.file_path")))
-    df = df.where(F.when(F.coalesce(*surplus).isNull(), F.lit(True)).otherwise(fault.cast("boolean")))
-    return df.select(*[F.col(f"`{c}`") for c in cols], ingest.alias(INGEST_COL))
+    kept = (INGEST_COL, REJECT_COL)
+    return df.select(*[F.col(c) if c in kept else strip_all(null_tokens(F.col(f"`{c}`"))).alias(c) for c in df.columns])
 
 
 def read_delimited(spark: SparkSession, paths: list[str], multi_line: bool = True) -> DataFrame:
-    """S2 core: files grouped by header, each group one read, unioned by name."""
+    """S2 core: all rows of the files under ``paths``, columns united by name, with ``_ingest`` and ``_reject``.
+
+    ``multi_line=False`` takes the files as known to have no line breaks in
+    quoted cells.
+    """
     if not paths:
         raise FileNotFoundError("no input files")
-    # one small job per file that reads its first line; run them side by side
-    with ThreadPoolExecutor(max_workers=HEADER_PROBES) as pool:
-        headers = list(pool.map(lambda p: tuple(_reader(spark, False).csv(p).columns), paths))
-    groups: OrderedDict[tuple, list[str]] = OrderedDict()
-    for p, header in zip(paths, headers):
-        groups.setdefault(header, []).append(p)
-    frames = [_read_group(spark, ps, header, multi_line) for header, ps in groups.items()]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    return _clean(out)
-
-
-def _entry_of(path: str, pattern: str) -> str:
-    """The matching top entry of a listed path: the file itself, or the folder
-    (matching the pattern) that holds the part file."""
-    parts = path.split("/")
-    if len(parts) >= 2 and fnmatch.fnmatchcase(parts[-2], pattern) and not fnmatch.fnmatchcase(parts[-1], pattern):
-        return "/".join(parts[:-1])
-    return path
+    catalogue = records.catalogue(spark, paths, CSV_SEP, CSV_QUOTE, scratch_path(spark, "catalogue"))
+    if not catalogue.headers:
+        raise ValueError(f"no header in {', '.join(paths[:5])}")
+    if catalogue.n_files > MAX_FILES:
+        raise ValueError(f"{catalogue.n_files} files are more than {MAX_FILES}; merge small ones first")
+    names = [header_names(h) for h in catalogue.headers]
+    cells = [f"_c{k}" for k in range(max(map(len, names)) + 1)]  # one more than any header has
+    schema = ", ".join(f"{c} string" for c in [*cells, "_raw"])
+    if multi_line and catalogue.multi_line:
+        whole = records.assembled(spark, paths, catalogue, CSV_SEP, CSV_QUOTE)
+        whole = whole.withColumn("record", F.regexp_replace("record", "\r$", "")).where(F.trim("record") != "")
+        parsed = F.from_csv("record", F.lit(schema), {**_CSV, "multiLine": "true"})
+        rows = whole.select(*records.PLACE, "record", parsed.alias("x")).select(*records.PLACE, "record", "x.*")
+        line = F.col("record")
+    else:
+        # all cells are parsed for each row, as the parser can't tell a surplus among chosen ones
+        rows = spark.read.options(header=True, columnPruning=False, **_CSV).schema(schema).csv(paths).select(*cells, "_raw", *records.place())
+        line = F.coalesce("_raw", _as_line(cells))  # the parser hands out a line only if its cells don't fit the schema
+    # which header a file has: one small row for each file
+    rows = rows.join(F.broadcast(catalogue.files()), "file_key", "left") if len(names) > 1 else rows.withColumn("header_no", F.lit(0))
+    surplus = F.lit(False)
+    for k, own in enumerate(names):
+        beyond = F.coalesce(F.col("_raw").isNotNull() & _text_beyond(F.col("_raw"), F.lit(len(own))), F.lit(False))
+        for c in cells[len(own) :]:
+            beyond = beyond | (F.coalesce(F.col(c), F.lit("")) != "")
+        surplus = surplus | ((F.col("header_no") == k) & beyond)
+    united = []
+    for name in dict.fromkeys(n for own in names for n in own):
+        at = [own.index(name) if name in own else None for own in names]
+        if len(set(at)) == 1:
+            cell = F.col(cells[at[0]])
+        else:
+            cell = F.coalesce(*[F.when(F.col("header_no") == k, F.col(cells[i])) for k, i in enumerate(at) if i is not None])
+        united.append(cell.alias(name))
+    ingest = F.struct(F.col("file"), F.col("block"), F.col("pos"))
+    return _clean(rows.select(*united, ingest.alias(INGEST_COL), F.when(surplus, line).alias(REJECT_COL)))
+
+
+def accepted(rows: DataFrame) -> DataFrame:
+    """The rows that aren't rejects."""
+    return rows.where(F.col(REJECT_COL).isNull()).drop(REJECT_COL)
+
+
+def rejected(rows: DataFrame) -> DataFrame:
+    """(file, record) of the rejects."""
+    return rows.where(F.col(REJECT_COL).isNotNull()).select(F.col(f"{INGEST_COL}.file").alias("file"), F.col(REJECT_COL).alias("record"))
+
+
+def _strict(rows: DataFrame) -> DataFrame:
+    """The rows; a reject fails the read, naming its file."""
+    fault = F.raise_error(F.concat(F.lit("more cells than the header in "), F.col(f"{INGEST_COL}.file")))
+    return rows.where(F.when(F.col(REJECT_COL).isNull(), F.lit(True)).otherwise(fault.cast("boolean"))).drop(REJECT_COL)
 
 
 def extract_employees(
-    spark: SparkSession, raw_dir: str, pattern: str = EMPLOYEE_GLOB, multi_line: bool = True
+    spark: SparkSession, raw_dir: str, pattern: str = EMPLOYEE_GLOB, multi_line: bool = True,
+    several: str = "error", keep_rejects: bool = False,
 ) -> DataFrame:
-    """The first matching employee file (by name); an error if there is none."""
-    paths = list_files(spark, raw_dir, pattern)
-    entries = sorted({_entry_of(p, pattern) for p in paths})
+    """The matching employee file; an error if there is none.
+
+    ``several`` says what to do if more than one file matches: ``error``, ``first``
+    (by name) or ``all``. With ``keep_rejects`` the rejects are returned in
+    ``_reject``, else a reject fails the read.
+    """
+    entries = list_entries(spark, raw_dir, pattern)
     if not entries:
         raise FileNotFoundError(f"no {pattern} in {raw_dir}")
-    if len(entries) > 1:
-        log.warning("several employee files match; using %s, ignoring %s", entries[0], entries[1:])
-    first = entries[0]
-    return read_delimited(spark, [p for p in paths if _entry_of(p, pattern) == first], multi_line)
+    if len(entries) > 1 and several not in ("first", "all"):
+        raise ValueError(f"several employee files match ({', '.join(entries[:5])}): choose several='first' or 'all'")
+    rows = read_delimited(spark, entries if several == "all" else entries[:1], multi_line)
+    return rows if keep_rejects else _strict(rows)
 
 
 def extract_timesheets(
-    spark: SparkSession, raw_dir: str, pattern: str = TIMESHEET_GLOB, multi_line: bool = True
+    spark: SparkSession, raw_dir: str, pattern: str = TIMESHEET_GLOB, multi_line: bool = True, keep_rejects: bool = False
 ) -> DataFrame:
-    """Every matching timesheet file in path order, unioned by column name."""
-    paths = list_files(spark, raw_dir, pattern)
-    if not paths:
-        raise FileNotFoundError(f"no {pattern} in {raw_dir}")
-    log.info("timesheet files: %d", len(paths))
-    return read_delimited(spark, paths, multi_line)
-
-
-def load_bronze(emp: DataFrame, ts: DataFrame, bronze_dir: str) -> dict[str, str]:
-    """Replace both bronze tables (text cells + ingest order); the two
-    writes are independent jobs and run side by side."""
-    targets = {name: f"{bronze_dir.rstrip('/')}/{name}" for name in ("bronze_employees", "bronze_timesheets")}
-    frames = {"bronze_employees": emp, "bronze_timesheets": ts}
-    with ThreadPoolExecutor(max_workers=2) as pool:
-        list(pool.map(lambda n: frames[n].write.mode("overwrite").parquet(targets[n]), targets))
-    return targets
+    """Every matching timesheet file in path order, united by column name."""
+    glob = f"{raw_dir.rstrip('/')}/{pattern}"
+    try:
+        rows = read_delimited(spark, [glob], multi_line)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        raise FileNotFoundError(f"no {pattern} in {raw_dir}") from error
+    return rows if keep_rejects else _strict(rows)
+
+
+def load_bronze(emp: DataFrame, ts: DataFrame, lake: Lake) -> dict[str, str]:
+    """Both bronze tables (text cells, ingest order, rejects included), made current together."""
+    commit = lake.commit(emp.sparkSession)
+    paths = commit.write_all({f"bronze/{name}": df for name, df in (("bronze_employees", emp), ("bronze_timesheets", ts))})
+    commit.publish()
+    return {table.split("/")[1]: path for table, path in paths.items()}

@@ -87,8 +87,9 @@ def compare(spark, key: str, sf_dir: str, queries: dict, oracle: dict) -> dict:
     out["values_ok"] = s_cols == o_cols and s_rows == o_rows
     if not out["values_ok"]:
         out["spark_cols"], out["oracle_cols"] = s_cols, o_cols
-        diff_s = [r for r in s_rows if r not in set(o_rows)][:3]
-        diff_o = [r for r in o_rows if r not in set(s_rows)][:3]
+        spark_set, oracle_set = set(s_rows), set(o_rows)
+        diff_s = [r for r in s_rows if r not in oracle_set][:3]
+        diff_o = [r for r in o_rows if r not in spark_set][:3]
         out["only_spark"], out["only_oracle"] = diff_s, diff_o
     return out
 

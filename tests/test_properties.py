@@ -75,7 +75,7 @@ def test_keep_first_is_idempotent_and_first(spark):
     assert {r.k: r.v for r in once.collect()} == {1: "b", None: "d", 2: "e"}
 
 
-def test_chunked_rolling_equals_full_window(spark):
+def test_split_rolling_equals_full_window(spark):
     rng = random.Random(5)
     rows = []
     for k in range(600):
@@ -88,19 +88,37 @@ def test_chunked_rolling_equals_full_window(spark):
         rows, "client_employee_id long, punch_apply_date timestamp_ntz, punch_in_datetime timestamp_ntz, "
         "hours_worked double, k long").withColumn("_ingest", F.struct("k")).drop("k")
     plain = {tuple(r) for r in R.rolling_all(ts, rows=5).collect()}
-    for hot, chunk in (([1, None], 7), ([1], 40), ([], 10)):
-        got = R.rolling_all_balanced(ts, rows=5, hot=hot, chunk=chunk).collect()
-        assert len(got) == len(rows)
-        assert {tuple(r) for r in got} == plain, (hot, chunk)
-
-
-def test_hot_ids_finds_the_large_employee(spark):
-    rows = [(1, k) for k in range(300)] + [(k, k) for k in range(2, 40)]
-    ts = spark.createDataFrame(rows, "client_employee_id long, x long")
-    assert R.hot_ids(ts, min_rows=50) == [1]
-
-
-def test_chunked_rolling_on_skewed_table(spark):
+    order = [F.col("client_employee_id").asc_nulls_last(), *R.window_order()]
+    for n, parts in ((5, 1), (5, 7), (30, 40), (5, 150), (1, 9)):
+        plain = [tuple(r) for r in R.rolling_all(ts, rows=n).orderBy(*order).collect()]
+        got = R.rolling_all_balanced(ts, rows=n, parts=parts).collect()
+        assert [tuple(r) for r in got] == plain, (n, parts)  # in order, too
+    assert R.rolling_all_balanced(ts.limit(0)).count() == 0
+
+
+def test_split_rolling_has_one_exchange_of_the_rows(spark):
+    """The skewed employee spreads over the tasks; after the checkpoint only border rows are shuffled."""
+    ts = spark.range(20_000).select(
+        F.lit(1).cast("long").alias("client_employee_id"), F.lit(dt.datetime(2021, 1, 1)).cast("timestamp_ntz").alias("punch_apply_date"),
+        F.lit(None).cast("timestamp_ntz").alias("punch_in_datetime"), F.struct(F.col("id").alias("k")).alias("_ingest"), (F.col("id") % 7).cast("double").alias("hours_worked"))
+    out = R.rolling_all_balanced(ts, parts=8)
+    sizes = out.groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) == 8 and max(r["count"] for r in sizes) < 10_000
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Repartition" not in plan and "Sort" not in plan
+
+
+def test_first_rows_bounds_the_last_sort(spark):
+    """One busy day: what is left holds the first rows, and few others."""
+    rows = spark.range(400_000).select(F.xxhash64("id").alias("v"))
+    left = R.first_rows(rows, F.struct("v"), 100, 400_000)
+    assert 100 <= left.count() <= 2000
+    assert [r.v for r in left.orderBy("v").limit(100).collect()] == [r.v for r in rows.orderBy("v").limit(100).collect()]
+    equal = spark.range(50_000).select(F.lit(1).alias("v"))
+    assert R.first_rows(equal, F.struct("v"), 100, 50_000).count() >= 100
+
+
+def test_split_rolling_on_skewed_table(spark):
     """A third of the rows relabelled to one employee; big enough that the
     range split is sampled, which once made two plan branches disagree."""
     from shiftlake.plans import catalog as C
@@ -110,10 +128,8 @@ def test_chunked_rolling_on_skewed_table(spark):
         "client_employee_id",
         F.when(F.col("_ingest.l_orderkey") % 3 == 0, F.lit(1)).otherwise(F.col("client_employee_id")),
     )
-    assert R.hot_ids(skewed, min_rows=1000) == [1]
-
     def digest(df):
         h = F.xxhash64("client_employee_id", "punch_apply_date", "punch_in_datetime", "_ingest", "rolling_30day_avg")
         return df.select(F.count("*"), F.bit_xor(h)).first()
 
-    assert digest(R.rolling_all_balanced(skewed, hot=[1], chunk=1000)) == digest(R.rolling_all(skewed))
+    assert digest(R.rolling_all_balanced(skewed)) == digest(R.rolling_all(skewed))

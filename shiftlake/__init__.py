@@ -7,7 +7,6 @@ Layers:
               rolling average, batch row changes
   plans/      gold KPIs, SQL-file KPI variants, serving reads, chart datasets,
               data quality, the end-to-end job
-  streaming/  nothing: the workload is batch only (see its module docstring)
   llm/        operations of a training-data pipeline (optional; nothing else imports it)
 """
 

@@ -1,15 +0,0 @@
-from shiftlake.functions.exprs import (  # noqa: F401
-    as_ntz,
-    coerce_timestamp,
-    days_floor,
-    days_trunc,
-    flag,
-    micros_between,
-    minutes_between,
-    month_start,
-    month_start_ts,
-    null_tokens,
-    round_half_away,
-    strip_all,
-    week_start,
-)

@@ -9,6 +9,7 @@ block of documents at once.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -123,7 +124,30 @@ def sample_labelled(docs: DataFrame, labels: DataFrame, label: str, id_col: str,
     total = known.count()
     chosen = known if total <= max_rows else known.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int((1 << 30) * max_rows / total))
     text = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return text.join(F.broadcast(chosen), "id").dropDuplicates(["id"])  # bounded by max_rows
+    # bounded by max_rows; of several texts with one id, that of the smallest hash
+    one = text.join(F.broadcast(chosen), "id").groupBy("id").agg(F.min(F.struct(F.xxhash64("text"), "text", "label")).alias("x"))
+    return one.select("id", "x.text", "x.label")
+
+
+def fit_in_task(rows: DataFrame, columns: list[str], example: Callable[..., Example], **settings) -> tuple[np.ndarray, float]:
+    """Weights and bias of an ``Ftrl`` fitted to feature rows (id, label, ``columns`` of lists) in one task, in the order of ids.
+
+    The rows are a sample whose size ``sample_labelled`` bounds; ``example`` takes
+    a label and the columns' arrays. The driver gets the weights alone.
+    """
+
+    def run(batches):
+        held = []
+        for batch in batches:
+            lists = [batch.column(c) for c in columns]
+            for k, (own, label) in enumerate(zip(batch.column("id").to_pylist(), batch.column("label").to_pylist(), strict=True)):
+                held.append((own, example(label, *[np.array(x[k].values.to_numpy()) for x in lists])))
+        held.sort(key=lambda x: x[0])
+        weights, bias = Ftrl(**settings).fit([x for _, x in held]).model()
+        yield pa.RecordBatch.from_pydict({"weights": [weights.tobytes()], "bias": [bias]}, schema=pa.schema([("weights", pa.binary()), ("bias", pa.float64())]))
+
+    found = rows.repartition(1).mapInArrow(run, "weights binary, bias double").first()
+    return (np.frombuffer(found.weights, np.float32), found.bias) if found else Ftrl().model()
 
 
 def score_column(text: F.Column, scorer) -> F.Column:

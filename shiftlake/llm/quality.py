@@ -4,11 +4,12 @@ The value of a feature is its share among the text's n-gram occurrences times
 SCALE, so a score doesn't depend on a text's length and is a mean of weights.
 
 Scale: one map over the documents for the sample of at most about
-MAX_ROWS labelled texts (the bound on what the driver trains on), one for the
-scores; no shuffle of texts. The model is a fixed 4 MB array.
+MAX_ROWS labelled texts (the bound on what one task trains on), one for the
+scores; no shuffle of other texts. The model is a fixed 4 MB array.
 
 Defined cases: null, empty and token-less texts get the score of the bias
-alone; repeated rows are scored each; without labelled rows every score is
+alone; repeated rows are scored each; of several texts with one labelled id, that of
+the smallest hash teaches; without labelled rows every score is
 0.5; empty tables give no rows; other columns of the input are left out.
 """
 
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shiftlake.llm.common import blocks, bounded_batches
-from shiftlake.llm.linear import BITS, Example, Ftrl, features, sample_labelled, score_column, sigmoid, tokens
+from shiftlake.llm.linear import BITS, Example, features, fit_in_task, sample_labelled, score_column, sigmoid, tokens
 
 #: Labelled texts that training takes, about.
 MAX_ROWS = 6000
@@ -50,12 +51,9 @@ def train_quality(
     """Weights and bias learned from labelled rows whose ``id`` fulfils ``train``."""
     bounded_batches(docs.sparkSession)
     sample = sample_labelled(docs, labels, label, id_col, text_col, F.lit(True) if train is None else train, max_rows)
-    held = sample.mapInArrow(_rows, f"id {docs.schema[id_col].dataType.simpleString()}, label double, index array<int>, value array<float>").toArrow().sort_by("id")
-    rows = [
-        Example(y, i.values.to_numpy(), v.values.to_numpy().astype(np.float64) * SCALE)
-        for y, i, v in zip(held.column("label").to_pylist(), held.column("index"), held.column("value"), strict=True)
-    ]
-    return Ftrl(alpha=0.5, l1=0.02, l2=0.02, epochs=6).fit(rows).model()
+    rows = sample.mapInArrow(_rows, f"id {docs.schema[id_col].dataType.simpleString()}, label double, index array<int>, value array<float>")
+    example = lambda y, index, value: Example(y, index, value * np.float32(SCALE))
+    return fit_in_task(rows, ["index", "value"], example, alpha=0.5, l1=0.02, l2=0.02, epochs=6)
 
 
 def quality_score(text: F.Column, model: tuple[np.ndarray, float]) -> F.Column:

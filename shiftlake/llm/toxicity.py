@@ -9,7 +9,8 @@ score, whatever the labelled rows say about how often groups are abused.
 Scale: as the quality classifier; MAX_ROWS bounds the labelled sample.
 
 Defined cases: null, empty and token-less texts get the score of the bias
-alone; repeated rows are scored each; without labelled rows every score is
+alone; repeated rows are scored each; of several texts with one labelled id, that of
+the smallest hash teaches; without labelled rows every score is
 0.5; empty tables give no rows; other columns of the input are left out.
 """
 
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shiftlake.llm.common import blocks, bounded_batches
-from shiftlake.llm.linear import BITS, Example, Ftrl, features, sample_labelled, score_column, sigmoid, tokens
+from shiftlake.llm.linear import BITS, Example, features, fit_in_task, sample_labelled, score_column, sigmoid, tokens
 
 MAX_ROWS = 12000
 PARITY = 1.0
@@ -72,13 +73,12 @@ def train_toxicity(
     bounded_batches(docs.sparkSession)
     sample = sample_labelled(docs, labels, label, id_col, text_col, F.lit(True) if train is None else train, max_rows)
     schema = f"id {docs.schema[id_col].dataType.simpleString()}, label double, index array<int>, only array<int>, swapped array<int>"
-    held = sample.mapInArrow(_rows(groups), schema).toArrow().sort_by("id")
-    rows = []
-    for y, i, a, b in zip(*(held.column(c) for c in ("label", "index", "only", "swapped")), strict=True):
-        i, a, b = (x.values.to_numpy() for x in (i, a, b))
-        change = (np.concatenate((a, b)), np.concatenate((np.ones(len(a)), -np.ones(len(b))))) if len(a) + len(b) else None
-        rows.append(Example(y.as_py(), i, np.ones(len(i)), change))
-    return Ftrl(alpha=0.5, l1=6.0, l2=0.05, epochs=6, parity=parity).fit(rows).model()
+
+    def example(y: float, index: np.ndarray, only: np.ndarray, swapped: np.ndarray) -> Example:
+        change = (np.concatenate((only, swapped)), np.concatenate((np.ones(len(only)), -np.ones(len(swapped))))) if len(only) + len(swapped) else None
+        return Example(y, index, np.ones(len(index), np.float32), change)
+
+    return fit_in_task(sample.mapInArrow(_rows(groups), schema), ["index", "only", "swapped"], example, alpha=0.5, l1=6.0, l2=0.05, epochs=6, parity=parity)
 
 
 def toxicity_score(text: F.Column, model: tuple[np.ndarray, float]) -> F.Column:

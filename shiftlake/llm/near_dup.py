@@ -241,8 +241,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """Per document: id, n_shingles, component_id (smallest id reachable over links), kept (id is that smallest id).
 
     ``width``: words of a shingle (ASCII lower-cased); ``percent``: least Jaccard similarity of a link.
+    Texts that share the smallest id are all kept here; ``judged_texts`` keeps one of them.
     """
-    return judged_texts(docs, id_col, text_col, width, percent).drop("text_key")
+    judged = judged_texts(docs, id_col, text_col, width, percent)
+    return judged.withColumn("kept", F.col(id_col).eqNullSafe(F.col("component_id"))).drop("text_key")
 
 
 def judged_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:

@@ -246,3 +246,11 @@ def redact(found: DataFrame, text_col: str = "text") -> DataFrame:
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     end = lambda s: F.concat(s["out"], F.substring(F.col(text_col), s["at"] + 1, F.length(text_col)))
     return found.withColumn(text_col, F.when(F.size("pii") > 0, F.aggregate("pii", start, step, end)).otherwise(F.col(text_col))).drop("pii")
+
+
+def redacted(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows with personal data in the text replaced by its kind; the columns stay, whatever their names."""
+    others = [c for c in docs.columns if c != text_col]
+    rest = F.struct(*[F.col(f"`{c}`") for c in others]) if others else F.struct(F.lit(0).alias("none"))
+    clean = redact(find_pii(docs.select(rest.alias("row"), F.col(text_col).alias("text"))))
+    return clean.select(*[(F.col("text") if c == text_col else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])

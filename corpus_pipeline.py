@@ -14,7 +14,7 @@ from shiftlake.llm.common import Scratch
 from shiftlake.llm.decontam import decontaminate
 from shiftlake.llm.near_dup import judged_texts
 from shiftlake.llm.packing import pack_documents
-from shiftlake.llm.pii import find_pii, redact
+from shiftlake.llm.pii import redacted
 from shiftlake.llm.quality import quality_score, train_quality
 
 #: A document with a lower probability of good quality goes.
@@ -46,7 +46,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data replaced by its kind; n_chars, if there, follows."""
-    clean = redact(find_pii(docs))
+    clean = redacted(docs)
     return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else clean
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import datetime as dt
+import functools
 import threading
 
 from shiftlake.functions.exprs import null_tokens, strip_all
@@ -122,6 +123,22 @@ def q_silver_employees(spark, sf_dir):
     return S.public_columns(silver_employees_plan(spark, sf_dir))
 
 
+@register("emp_untidy_cells")
+def q_emp_untidy_cells(spark, sf_dir):
+    """S3, S4 on cells with blanks and missing tokens."""
+    configure(spark)
+    rows = FX.employees_untidy(spark, sf_dir)
+    return rows.select("client_employee_id", "last_name", strip_all(null_tokens("first_name")).alias("first_name"))
+
+
+@register("emp_untidy_silver")
+def q_emp_untidy_silver(spark, sf_dir):
+    """E1-E5 on duplicates and dates that can't all be read."""
+    configure(spark)
+    return S.transform_employees(FX.employees_untidy(spark, sf_dir), FIXTURE).select(
+        "client_employee_id", "last_name", "hire_date", "term_date", "is_active", F.col("tenure_days").cast("double").alias("tenure_days"))
+
+
 # --- silver: timesheets ---------------------------------------------------------
 
 
@@ -187,6 +204,16 @@ for _name in G.KPI_NAMES:
     register(_name)(_gold_query(_name))
 
 
+@register("gold_sink")
+def q_gold_sink(spark, sf_dir):
+    """All KPIs written in one commit, and counted in the written tables."""
+    configure(spark)
+    lake = _silver_written(spark, sf_dir)
+    job.build_gold(spark, lake, FIXTURE)
+    counts = [lake.read(spark, "gold", name).agg(F.count("*").alias("rows")).select(F.lit(name).alias("kpi"), "rows") for name in G.KPI_NAMES]
+    return functools.reduce(DataFrame.unionByName, counts)
+
+
 # --- sources and bronze ------------------------------------------------------------
 
 

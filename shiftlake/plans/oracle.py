@@ -452,3 +452,27 @@ SELECT 'silver_timesheets', metric, value FROM (
     FROM silver_ts
   UNION ALL SELECT 'null_apply_date', count(*) FILTER (WHERE punch_apply_date IS NULL) FROM silver_ts
   UNION ALL SELECT 'null_hours', count(*) FILTER (WHERE hours_worked IS NULL) FROM silver_ts)"""
+
+
+# --- untidy employees, and the gold sink ------------------------------------------------------------
+
+UNTIDY = BASE.rstrip() + """,
+untidy AS (
+  SELECT client_employee_id, last_name, hire_date AS hired, term_date AS left_on FROM fx_emp
+  UNION ALL SELECT -1, 'Row', TIMESTAMP '1999-12-31', TIMESTAMP '2000-01-31'),
+dated AS (
+  SELECT client_employee_id, last_name,
+         CASE WHEN client_employee_id % 7 IN (3, 4) THEN NULL ELSE hired END AS hire_date,
+         CASE WHEN client_employee_id % 11 = 5 THEN NULL ELSE left_on END AS term_date FROM untidy)
+"""
+ORACLE["emp_untidy_cells"] = UNTIDY + """
+SELECT client_employee_id, name AS last_name,
+       CASE WHEN client_employee_id = -1 THEN 'First'
+            ELSE CASE client_employee_id % 4 WHEN 0 THEN NULL WHEN 1 THEN 'NA' WHEN 2 THEN 'Ann' ELSE '' END END AS first_name
+FROM (SELECT client_employee_id, last_name AS name FROM untidy
+      UNION ALL SELECT client_employee_id, 'Later' FROM fx_emp WHERE client_employee_id % 5 = 0)"""
+ORACLE["emp_untidy_silver"] = UNTIDY + f"""
+SELECT client_employee_id, last_name, hire_date, term_date, CAST(term_date IS NULL AS BIGINT) AS is_active,
+       CAST(floor(date_diff('microsecond', hire_date, coalesce(term_date, {AS_OF})) / 86400000000.0) AS DOUBLE) AS tenure_days
+FROM dated"""
+ORACLE["gold_sink"] = with_gold("\nUNION ALL ".join(f"SELECT '{k}' AS kpi, count(*) AS rows FROM {k}" for k in GOLD))

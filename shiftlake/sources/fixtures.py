@@ -53,6 +53,29 @@ def employees_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def employees_untidy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Employees as untidy text: later duplicates, dates that can't be read or lie out of range, blanks, missing tokens.
+
+      every fifth id again, later in the file, with another last name
+      hire_date month first with slashes; ISO where id % 7 = 3, year 9999 where id % 7 = 4
+      term_date as 'yyyy-MM-dd'; 'unknown' where id % 11 = 5
+      first_name by id % 4: 'NA', ' NA ', a tab and a no-break space around a name, three blanks
+    """
+    emp = employees_raw(spark, sf_dir)
+    own = F.col("client_employee_id")
+    hire, term = (F.date_format(c, f) for c, f in (("hire_date", "MM/dd/yyyy"), ("term_date", "yyyy-MM-dd")))
+    hire = F.when(own % 7 == 3, F.date_format("hire_date", "yyyy-MM-dd")).when(own % 7 == 4, "01/31/9999").otherwise(hire)
+    # the first row of the file settles each column's format
+    first = F.struct(F.lit(-1).cast("bigint").alias("k"))
+    row = [own, F.array(F.lit("NA"), F.lit(" NA "), F.lit("\tAnn\u00a0"), F.lit("   "))[(own % 4).cast("int")].alias("first_name"), F.col("last_name"), F.col("department_name"),
+           hire.alias("hire_date"), F.when((own % 11 == 5) & term.isNotNull(), "unknown").otherwise(term).alias("term_date")]
+    tidy = emp.select(*row, F.struct(own.cast("bigint").alias("k")).alias(INGEST_COL))
+    again = tidy.where(own % 5 == 0).withColumn("last_name", F.lit("Later")).withColumn(INGEST_COL, F.struct((own + 10_000_000_000).alias("k")))
+    head = spark.range(1).select(F.lit(-1).cast("bigint").alias("client_employee_id"), *[F.lit(v).alias(c) for c, v in (
+        ("first_name", "First"), ("last_name", "Row"), ("department_name", None), ("hire_date", "12/31/1999"), ("term_date", "2000-01-31"))], first.alias(INGEST_COL))
+    return tidy.unionByName(again).unionByName(head.select(*[F.col(c).cast(t).alias(c) if c != INGEST_COL else F.col(c) for c, t in tidy.dtypes]))
+
+
 def _spread(spark: SparkSession, df: DataFrame, key: str) -> DataFrame:
     """The driver writes each table as one file with one row group, which Spark
     reads in a single task. Hash-spread such a table once over the cores before

@@ -97,14 +97,15 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(own.isNull().alias("no_id"), F.coalesce(own, F.lit(0)).alias("id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
 
 
-def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _documents(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
     """One row for each (id, text), partitioned by the key."""
-    return _keyed(docs, id_col, text_col).groupBy(*KEY).agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("n_rows"))
+    return _keyed(docs, id_col, text_col).groupBy(*KEY).agg(F.first("text").alias("text"), *more)
 
 
 def followers(docs: DataFrame, id_col: str, text_col: str, scratch: Scratch) -> DataFrame:
-    """(key, n_chars, key of the next document as next_*) of every document, by ascending id; the first follows the last."""
-    keys = _keyed(docs, id_col, text_col).select(*KEY, F.length("text").alias("n_chars")).distinct()
+    """(key, n_chars, n_rows, key of the next document as next_*) of every document, by ascending id; the first follows the last."""
+    sizes = _keyed(docs, id_col, text_col).select(*KEY, F.length("text").alias("n_chars"))
+    keys = sizes.groupBy(*KEY, "n_chars").agg(F.count(F.lit(1)).alias("n_rows"))
     ranges = scratch.save(keys.repartitionByRange(*KEY).withColumn("range", F.spark_partition_id()), "ranges")
     own = F.struct(*KEY)
     # one row a range: its first key is what the last of the range before is followed by
@@ -114,14 +115,14 @@ def followers(docs: DataFrame, id_col: str, text_col: str, scratch: Scratch) ->
     borders = F.broadcast(first.select("range", border.alias("border")))
     following = F.lead(own).over(Window.partitionBy("range").orderBy(*KEY))
     linked = ranges.withColumn("following", following).join(borders, "range").withColumn("following", F.coalesce("following", "border"))
-    links = scratch.save(linked.select(*KEY, "n_chars", *[F.col(f"following.{k}").alias(f"next_{k}") for k in KEY]), "links")
+    links = scratch.save(linked.select(*KEY, "n_chars", "n_rows", *[F.col(f"following.{k}").alias(f"next_{k}") for k in KEY]), "links")
     scratch.drop("ranges")
     return links
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE) -> DataFrame:
     """(id, n_rows, n_chars, fingerprint) of every document."""
-    own = _documents(docs, id_col, text_col)
+    own = _documents(docs, id_col, text_col, F.count(F.lit(1)).alias("n_rows"))
     found = consistent_samples(word_weights(own, KEY, {"fingerprint": F.col("text")}), KEY, ["fingerprint"], size)
     none = F.lit("0" * 8 * size)
     out = own.join(found, KEY, "left")
@@ -135,10 +136,10 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """
     scratch = Scratch(docs.sparkSession, "fingerprint")
     links = followers(docs, id_col, text_col, scratch)
-    own = _documents(docs, id_col, text_col)
+    own = _documents(docs, id_col, text_col)  # alike in both joins, so that the texts are shuffled once
     half = F.floor(F.col("n_chars") / 2).cast("int")
-    follows = links.select(*[F.col(k).alias(f"of_{k}") for k in KEY], half.alias("half"), *[F.col(f"next_{k}").alias(k) for k in KEY])
-    beginnings = own.join(follows, KEY).select(*[F.col(f"of_{k}").alias(k) for k in KEY], "half", F.left("text", F.col("half")).alias("beginning"))
+    follows = links.select(*[F.col(k).alias(f"of_{k}") for k in KEY], half.alias("half"), "n_rows", *[F.col(f"next_{k}").alias(k) for k in KEY])
+    beginnings = own.join(follows, KEY).select(*[F.col(f"of_{k}").alias(k) for k in KEY], "half", "n_rows", F.left("text", F.col("half")).alias("beginning"))
     kept = F.left("text", F.length("text") - F.col("half"))
     both = own.join(beginnings, KEY).select(*KEY, "n_rows", "text", F.concat(kept, F.col("beginning")).alias("edited"))
 
@@ -150,7 +151,7 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         *about.columns, F.coalesce("fingerprint", none).alias("fingerprint"), F.coalesce("edited_fingerprint", none).alias("edited_fingerprint")
     )
     whole = scratch.save(whole, "fingerprints")
-    nexts = whole.select(*KEY, F.col("fingerprint").alias("next_fingerprint")).join(follows.drop("half"), KEY)
+    nexts = whole.select(*KEY, F.col("fingerprint").alias("next_fingerprint")).join(follows.drop("half", "n_rows"), KEY)
     nexts = nexts.select(*[F.col(f"of_{k}").alias(k) for k in KEY], "next_fingerprint")
     return whole.join(nexts, KEY).select(
         F.when(~F.col("no_id"), F.col("id")).alias(id_col), "n_rows", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",

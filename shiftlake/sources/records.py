@@ -229,18 +229,24 @@ def _records(sent, kind: int, sep: str, quote: str):
                 inside, origin = states.of(split)
                 lead, heading = inside, at[2] == 0
             lines, pos = batch.column("line")[first:end], batch.column("pos")[first:end]
-            quoted = pc.match_substring(lines, quote)
-            if not inside and not heading and not pc.any(quoted).as_py():
-                if kind == WHOLE:
-                    n = len(lines)
-                    fixed = [pa.array([WHOLE] * n, pa.int32()), *[batch.column(c)[first:end] for c in own], pos, pa.array([0] * n, pa.int64()), lines]
-                    yield pa.RecordBatch.from_arrays(fixed, schema=schema)
-                continue
-            rows = []
-            for line, has, where in zip(lines.to_pylist(), quoted.to_pylist(), pos.to_pylist(), strict=True):
-                inside = ends_in_quotes(line, inside, sep, quote) if has else inside
+            # lines without a quote leave the state as it is: only the others, and those of open records, are looked at one by one
+            rows, solo, k = [], np.zeros(len(lines), bool), 0
+            for at_quote in [*np.flatnonzero(pc.match_substring(lines, quote).to_numpy(zero_copy_only=False)).tolist(), len(lines)]:
+                while k < at_quote and heading and not inside:
+                    heading = not lines[k].as_py().strip()
+                    k += 1
+                if inside and k < at_quote:
+                    first_pos = first_pos if held else pos[k].as_py()
+                    held += lines[k:at_quote].to_pylist()
+                else:
+                    solo[k:at_quote] = True
+                k = at_quote + 1
+                if at_quote == len(lines):
+                    break
+                line = lines[at_quote].as_py()
+                inside = ends_in_quotes(line, inside, sep, quote)
                 if not held:
-                    first_pos = where
+                    first_pos = pos[at_quote].as_py()
                 held.append(line)
                 if inside:
                     continue
@@ -253,6 +259,11 @@ def _records(sent, kind: int, sep: str, quote: str):
                 elif kind == WHOLE:
                     rows.append(out(text, first_pos, WHOLE, 0))
                 lead = False
+            if kind == WHOLE and solo.any():
+                chosen = pa.array(np.flatnonzero(solo))
+                n = len(chosen)
+                fixed = [pa.array([WHOLE] * n, pa.int32()), *[batch.column(c)[first:end].take(chosen) for c in own], pos.take(chosen), pa.array([0] * n, pa.int64()), lines.take(chosen)]
+                yield pa.RecordBatch.from_arrays(fixed, schema=schema)
             if rows:
                 yield batch_of(rows)
         if split is not None:

@@ -76,17 +76,18 @@ def employees_untidy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy.unionByName(again).unionByName(head.select(*[F.col(c).cast(t).alias(c) if c != INGEST_COL else F.col(c) for c, t in tidy.dtypes]))
 
 
-def _spread(spark: SparkSession, df: DataFrame, key: str) -> DataFrame:
+def _spread(df: DataFrame, key: str) -> DataFrame:
     """The driver writes each table as one file with one row group, which Spark
-    reads in a single task. Hash-spread such a table once over the cores before
-    the per-row work; inputs made of many files are left as they are."""
+    reads in a single task. Hash-spread such a table once before the per-row
+    work; a join on the key needs no further shuffle of it, and the parts follow its size, not the number of
+    cores. Inputs made of many files are left as they are."""
     if len(df.inputFiles()) > 1:
         return df
-    return df.repartition(spark.sparkContext.defaultParallelism, key)
+    return df.repartition(key)
 
 
 def timesheets_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lineitem = _spread(spark, table(spark, sf_dir, "lineitem"), "l_orderkey")
+    lineitem = _spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     day = F.col("o_orderdate")
     start = day + F.make_dt_interval(F.lit(0), F.lit(9))

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import threading
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,11 +38,13 @@ _written: dict[tuple[int, str], str] = {}
 _LOCK = threading.Lock()
 
 
+def _dealt(df: DataFrame, *order: str) -> DataFrame:
+    return df.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
 def _write(df: DataFrame, cols: list[str], path: str) -> None:
     (
-        df.repartitionByRange(INGEST_COL)
-        .sortWithinPartitions(INGEST_COL)
-        .select(*cols)
+        df.select(*cols)
         .write.mode("overwrite")
         .option("sep", CSV_SEP)
         .option("quote", CSV_QUOTE)
@@ -63,15 +66,21 @@ def write_raw(spark: SparkSession, sf_dir: str) -> str:
 
 def _write_all(spark: SparkSession, sf_dir: str) -> str:
     raw = scratch_path(spark, "raw")
-    _write(FX.employees_raw(spark, sf_dir), EMP_COLS, f"{raw}/employee.csv")
-    ts = FX.timesheets_raw(spark, sf_dir)
+    _write(_dealt(FX.employees_raw(spark, sf_dir), INGEST_COL), EMP_COLS, f"{raw}/employee.csv")
     year = F.year("scheduled_start_datetime")
-    _write(ts.where(year <= 1996), TS_COLS, f"{raw}/timesheet_1.csv")
-    _write(ts.where((year >= 1997) & (year <= 1998)), list(reversed(TS_COLS)), f"{raw}/timesheet_2.csv")
-    note = F.concat(F.lit('line one of "'), F.col("client_employee_id").cast("string"), F.lit('"\nline|two\n\nlast'))
-    late = ts.where(year >= 1999).withColumn("shift_label", F.date_format("scheduled_start_datetime", "EEE"))
-    late = late.withColumn("shift_note", F.when(F.col("punch_out_datetime").isNull(), note))
-    _write(late, TS_COLS + ["shift_label", "shift_note"], f"{raw}/timesheet_3.csv")
+    number = F.when(year <= 1996, 1).when(year <= 1998, 2).when(year >= 1999, 3).alias("number")
+    ts = FX.timesheets_raw(spark, sf_dir).select(*TS_COLS, INGEST_COL, number).where("number is not null")
+    # joined, dealt out and sorted once for the three of them
+    dealt = _dealt(ts, "number", INGEST_COL).drop(INGEST_COL).persist(StorageLevel.DISK_ONLY)
+    try:
+        _write(dealt.where("number = 1"), TS_COLS, f"{raw}/timesheet_1.csv")
+        _write(dealt.where("number = 2"), list(reversed(TS_COLS)), f"{raw}/timesheet_2.csv")
+        note = F.concat(F.lit('line one of "'), F.col("client_employee_id").cast("string"), F.lit('"\nline|two\n\nlast'))
+        late = dealt.where("number = 3").withColumn("shift_label", F.date_format("scheduled_start_datetime", "EEE"))
+        late = late.withColumn("shift_note", F.when(F.col("punch_out_datetime").isNull(), note))
+        _write(late, TS_COLS + ["shift_label", "shift_note"], f"{raw}/timesheet_3.csv")
+    finally:
+        dealt.unpersist()
     _write_surplus(FX.table(spark, sf_dir, "supplier"), f"{raw}/timesheet_4.csv")
     return raw
 

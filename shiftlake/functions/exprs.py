@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shiftlake.functions.dates import in_utc
-from shiftlake.params import NA_TOKENS, PY_WHITESPACE_CHARS, PY_WHITESPACE_CLASS, TS_MAX, TS_MIN
+from shiftlake.params import NA_TOKENS, PY_WHITESPACE_CLASS, TS_MAX, TS_MIN
 
 MICROS_PER_MINUTE = 60_000_000
 MICROS_PER_DAY = 86_400_000_000
@@ -22,7 +22,8 @@ def _c(c: Column | str) -> Column:
 def null_tokens(c: Column | str, tokens: Sequence[str] = NA_TOKENS) -> Column:
     """Missing-value tokens (matched on the untrimmed text) become null."""
     c = _c(c)
-    return F.when(c.isin(*tokens), F.lit(None).cast("string")).otherwise(c)
+    longest = max(len(t.encode()) for t in tokens)
+    return F.when((F.octet_length(c) <= longest) & c.isin(*tokens), F.lit(None).cast("string")).otherwise(c)
 
 
 def strip_all(c: Column | str) -> Column:
@@ -30,12 +31,13 @@ def strip_all(c: Column | str) -> Column:
 
     Spark's ``trim`` removes spaces only; this class also covers tabs, line
     breaks, separators and the Unicode blanks. The regex runs only on cells
-    whose first or last character is whitespace (a hash-set test), so clean
-    cells cost two substring look-ups.
+    whose first or last character lies outside "!" to U+007F, as all of them do
+    (strings compare by their UTF-8 bytes), so clean cells cost a few comparisons.
     """
     c = _c(c)
     ws = PY_WHITESPACE_CLASS
-    edge = F.substring(c, 1, 1).isin(*PY_WHITESPACE_CHARS) | F.substring(c, -1, 1).isin(*PY_WHITESPACE_CHARS)
+    outside = lambda x: (x < F.lit("!")) | (x >= F.lit("\u0080"))
+    edge = outside(c) | outside(F.substring(c, -1, 1))
     return F.when(edge, F.regexp_replace(c, f"\\A{ws}+|{ws}+\\z", "")).otherwise(c)
 
 

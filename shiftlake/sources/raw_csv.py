@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import csv
 import fnmatch
+import functools
 import io
 import logging
 
@@ -89,6 +90,12 @@ def _text_beyond(raw: Column, width: Column) -> Column:
     return F.length(plain) - F.length(F.replace(plain, F.lit(CSV_SEP), F.lit(""))) >= width
 
 
+def _is_plain(record: Column, most: int) -> Column:
+    """Whether a record has at most ``most`` cells and none of the characters that the parser treats specially."""
+    special = functools.reduce(Column.__or__, [record.contains(c) for c in (CSV_QUOTE, "\r", "\n", "\0")])
+    return ~special & (F.length(record) - F.length(F.replace(record, F.lit(CSV_SEP), F.lit(""))) < most)
+
+
 def _as_line(cells: list[str]) -> Column:
     """Cells written as a record again."""
     def text(name: str) -> Column:
@@ -100,8 +107,12 @@ def _as_line(cells: list[str]) -> Column:
 
 def _clean(df: DataFrame) -> DataFrame:
     """Missing tokens to null (on the raw text), then strip every text cell."""
-    kept = (INGEST_COL, REJECT_COL)
-    return df.select(*[F.col(c) if c in kept else strip_all(null_tokens(F.col(f"`{c}`"))).alias(c) for c in df.columns])
+    kept = [c for c in df.columns if c in (INGEST_COL, REJECT_COL)]
+    names = [c for c in df.columns if c not in kept]
+    # one expression over an array: written out for every column, the code of a row is too long for the JVM to compile
+    cells = F.transform(F.array(*[F.col(f"`{c}`") for c in names]), lambda cell: strip_all(null_tokens(cell)))
+    clean = df.select(*kept, cells.alias("_cells"))
+    return clean.select(*[F.get("_cells", F.lit(k)).alias(c) for k, c in enumerate(names)], *kept)
 
 
 def read_delimited(spark: SparkSession, paths: list[str], multi_line: bool = True) -> DataFrame:
@@ -122,9 +133,14 @@ def read_delimited(spark: SparkSession, paths: list[str], multi_line: bool = Tru
     schema = ", ".join(f"{c} string" for c in [*cells, "_raw"])
     if multi_line and catalogue.multi_line:
         whole = records.assembled(spark, paths, catalogue, CSV_SEP, CSV_QUOTE)
-        whole = whole.withColumn("record", F.regexp_replace("record", "\r$", "")).where(F.trim("record") != "")
-        parsed = F.from_csv("record", F.lit(schema), {**_CSV, "multiLine": "true"})
-        rows = whole.select(*records.PLACE, "record", parsed.alias("x")).select(*records.PLACE, "record", "x.*")
+        record = F.col("record")
+        whole = whole.withColumn("record", F.when(record.contains("\r"), F.regexp_replace(record, "\r$", "")).otherwise(record)).where(F.trim("record") != "")
+        # a record of plain cells, none too many, is cut at its separators; the parser makes an error of each row that has fewer cells than the schema
+        parts = whole.select(*records.PLACE, "record", F.when(_is_plain(record, len(cells)), F.split(record, rf"\{CSV_SEP}", -1)).alias("parts"))
+        parsed = F.when(F.col("parts").isNull(), F.from_csv("record", F.lit(schema), {**_CSV, "multiLine": "true"}))
+        parts = parts.select(*records.PLACE, "record", "parts", parsed.alias("x"))
+        cell = lambda k, c: F.when(F.col("parts").isNotNull(), F.nullif(F.get("parts", F.lit(k)), F.lit(""))).otherwise(F.col(f"x.{c}"))
+        rows = parts.select(*records.PLACE, "record", *[cell(k, c).alias(c) for k, c in enumerate(cells)], "x._raw")
         line = F.col("record")
     else:
         # all cells are parsed for each row, as the parser can't tell a surplus among chosen ones

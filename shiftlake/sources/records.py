@@ -133,7 +133,7 @@ def _summaries(sep: str, quote: str):
 
 @dataclass
 class Catalogue:
-    """What the first pass found. ``splits``: (file_key, file, block, split, inside, origin, header), written."""
+    """What the first pass found. ``splits``: (file_key, file, block, split, inside, origin, crossed, header), written."""
 
     splits: DataFrame
     headers: list[str]
@@ -170,7 +170,9 @@ def catalogue(spark: SparkSession, paths: list[str], sep: str, quote: str, folde
     # a record that is open at a split's end began there, unless the split lies wholly inside it
     begins = F.when(~(F.col("inside") & ~F.col("closes")), F.col("block"))
     origin = F.last(begins, ignorenulls=True).over(before)
-    splits = placed.withColumn("origin", origin).select("file_key", "file", "block", "split", "inside", "origin", "header", "breaks")
+    # only these splits hold a piece of a record that crosses a border, or one that its file leaves open
+    crossed = F.col("inside") | F.col("to_if_out")
+    splits = placed.withColumn("origin", origin).select("file_key", "file", "block", "split", "inside", "origin", crossed.alias("crossed"), "header", "breaks")
     splits.write.mode("overwrite").parquet(f"{folder}/splits")
     splits = spark.read.parquet(f"{folder}/splits")
     headers = splits.where("header is not null").groupBy("header").agg(F.min("file").alias("first"), F.count(F.lit(1)).alias("n")).orderBy("first").collect()
@@ -281,7 +283,8 @@ def assembled(spark: SparkSession, paths: list[str], found: Catalogue, sep: str,
     sent = spark.sparkContext.broadcast(states)
     lines = _lines(spark, paths)
     whole = lines.mapInArrow(_records(sent, WHOLE, sep, quote), RECORDS).select(*PLACE, "record")
-    pieces = lines.mapInArrow(_records(sent, PIECE, sep, quote), RECORDS)
+    crossed = found.splits.where("crossed").select("split")
+    pieces = lines.join(F.broadcast(crossed), "split", "left_semi").select(*lines.columns).mapInArrow(_records(sent, PIECE, sep, quote), RECORDS)
     # the pieces of one record, in the order of their splits
     joined = pieces.groupBy("file_key", "origin").agg(F.array_sort(F.collect_list(F.struct("block", "pos", "file", "record"))).alias("p"))
     joined = joined.select("file_key", F.col("p")[0]["file"].alias("file"), F.col("origin").alias("block"), F.col("p")[0]["pos"].alias("pos"), F.array_join("p.record", "\n").alias("record"))

@@ -90,6 +90,28 @@ def first_values(df: DataFrame, columns: list[str], order: str) -> dict[str, str
     return {c: found[f"v{k}"] for k, c in enumerate(texts)}
 
 
+def first_kept_values(rows: DataFrame, kept: DataFrame, keys: list[str], columns: list[str], order: str) -> dict[str, str | None]:
+    """``first_values`` of ``kept``, the first row of each key of ``rows``; the de-duplication isn't run for it.
+
+    A column's first value among all rows is the one asked for unless an earlier row has its
+    key, which one more scan tells. Only then are the kept rows asked.
+    """
+    texts = [c for c in columns if isinstance(rows.schema[c].dataType, T.StringType)]
+    if not texts:
+        return {}
+    found = [F.struct(F.col(c).alias("v"), F.col(order).alias("at"), F.struct(*[F.col(k) for k in keys]).alias("key")) for c in texts]
+    first = rows.agg(*[F.min_by(x, F.when(F.col(c).isNotNull(), F.col(order))).alias(f"_first{i}") for i, (c, x) in enumerate(zip(texts, found, strict=True))])
+    told = first.first()
+    places = [F.col(f"_first{i}.at") for i in range(len(texts))]
+    # of the rows before the last of these places only
+    before = rows.crossJoin(F.broadcast(rows.sparkSession.createDataFrame([told], first.schema))).where(F.col(order) < (F.greatest(*places) if len(places) > 1 else places[0]))
+    own = F.struct(*[F.col(k) for k in keys])
+    earlier = before.agg(*[F.bool_or((F.col(order) < at) & own.eqNullSafe(F.col(f"_first{i}.key"))).alias(f"e{i}") for i, at in enumerate(places)]).first()
+    again = [c for i, c in enumerate(texts) if earlier[f"e{i}"]]
+    values = {c: told[f"_first{i}"].v if told[f"_first{i}"] else None for i, c in enumerate(texts)}
+    return values | (first_values(kept, again, order) if again else {})
+
+
 #: Written instants are read in every shape's pattern with these, if the first value has no known shape.
 ALL_FORMATS = tuple(
     f"{date}{sep}{time}"

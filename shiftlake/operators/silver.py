@@ -7,11 +7,13 @@ already typed (from Parquet); the coercions handle both.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shiftlake.functions.dates import ALL_FORMATS, first_values, infer_format
+from shiftlake.functions.dates import ALL_FORMATS, first_kept_values, first_values, infer_format
 from shiftlake.functions.exprs import coerce_timestamp, days_floor, flag, minutes_between
 from shiftlake.operators.dedup import keep_first
 from shiftlake.params import (
@@ -37,9 +39,14 @@ def dedup_employees(df: DataFrame) -> DataFrame:
     return keep_first(df, [EMPLOYEE_KEY], INGEST_COL)
 
 
-def _coerced(df: DataFrame, dates: list[str], numbers: list[str], params: Params, seen: Observation | None) -> DataFrame:
-    """The columns as naive timestamps and doubles; ``seen`` is told, per column, how many values were lost."""
-    first = first_values(df, dates, INGEST_COL) if params.ts_formats is None and INGEST_COL in df.columns else {}
+def _coerced(
+    df: DataFrame, dates: list[str], numbers: list[str], params: Params, seen: Observation | None, rows: DataFrame | None, keys: Sequence[str]
+) -> DataFrame:
+    """The columns as naive timestamps and doubles; ``seen`` is told, per column, how many values were lost.
+    ``rows``, if given, are those whose first of each key ``df`` holds."""
+    first = {}
+    if params.ts_formats is None and INGEST_COL in df.columns:
+        first = first_values(df, dates, INGEST_COL) if rows is None else first_kept_values(rows, df, list(keys), dates, INGEST_COL)
     parsed = {}
     for name in dates:
         known = infer_format(first.get(name))
@@ -58,9 +65,11 @@ def _coerced(df: DataFrame, dates: list[str], numbers: list[str], params: Params
     return df.withColumns(parsed) if parsed else df
 
 
-def coerce_employee_dates(df: DataFrame, params: Params = DEFAULT, seen: Observation | None = None) -> DataFrame:
+def coerce_employee_dates(
+    df: DataFrame, params: Params = DEFAULT, seen: Observation | None = None, rows: DataFrame | None = None
+) -> DataFrame:
     """Hire, term and birth dates to naive timestamps; bad values to null."""
-    return _coerced(df, [c for c in EMPLOYEE_DATE_COLS if c in df.columns], [], params, seen)
+    return _coerced(df, [c for c in EMPLOYEE_DATE_COLS if c in df.columns], [], params, seen, rows, [EMPLOYEE_KEY])
 
 
 def with_is_active(df: DataFrame) -> DataFrame:
@@ -78,7 +87,7 @@ def transform_employees(df: DataFrame, params: Params = DEFAULT, seen: Observati
     """E5: E1 to E4 in order."""
     return (
         df.transform(dedup_employees)
-        .transform(coerce_employee_dates, params, seen)
+        .transform(coerce_employee_dates, params, seen, df)
         .transform(with_is_active)
         .transform(with_tenure_days, params)
     )
@@ -92,9 +101,11 @@ def dedup_timesheets(df: DataFrame) -> DataFrame:
     return keep_first(df, list(TIMESHEET_KEY), INGEST_COL)
 
 
-def coerce_timesheet_datetimes(df: DataFrame, params: Params = DEFAULT, seen: Observation | None = None) -> DataFrame:
+def coerce_timesheet_datetimes(
+    df: DataFrame, params: Params = DEFAULT, seen: Observation | None = None, rows: DataFrame | None = None
+) -> DataFrame:
     """The five date-time columns to naive timestamps; bad values to null."""
-    return _coerced(df, list(TIMESHEET_TS_COLS), [c for c in ("hours_worked",) if c in df.columns], params, seen)
+    return _coerced(df, list(TIMESHEET_TS_COLS), [c for c in ("hours_worked",) if c in df.columns], params, seen, rows, TIMESHEET_KEY)
 
 
 def with_minutes(df: DataFrame) -> DataFrame:
@@ -123,7 +134,7 @@ def transform_timesheets(df: DataFrame, params: Params = DEFAULT, seen: Observat
     """T1 to T8 in order."""
     return (
         df.transform(dedup_timesheets)
-        .transform(coerce_timesheet_datetimes, params, seen)
+        .transform(coerce_timesheet_datetimes, params, seen, df)
         .transform(with_minutes)
         .transform(with_flags, params)
     )
